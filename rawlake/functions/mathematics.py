@@ -38,12 +38,11 @@ def multiply(value: Column, dtype: T.DataType, other: Any) -> Column:
 def divide(value: Column, dtype: T.DataType, other: Any) -> Column:
     if not _floating(dtype, other):
         return divide_checked(value, dtype, other)
-    other = F.lit(float(other))
-    number = value.cast("double")
-    by_zero = F.when(F.isnan(number) | (number == 0), NAN).otherwise(
-        F.when((number > 0) == (F.atan2(F.lit(0.0), other) == 0), INF).otherwise(-INF)
-    )
-    return F.when(value.isNull(), None).when(other == 0, by_zero).otherwise(F.try_divide(number, other))
+    other, number = float(other), value.cast("double")
+    if other != 0:
+        return number / F.lit(other)
+    above, below = (INF, -INF) if math.copysign(1, other) > 0 else (-INF, INF)
+    return F.when(F.isnan(number) | (number == 0), NAN).when(number > 0, above).when(number < 0, below)
 
 
 @function("divide_checked")

@@ -369,8 +369,8 @@ def winsorize(
     last = F.col("_size") - 1
     spots = sizes.select(
         group,
-        F.floor(F.lit(lower_limit) * last).cast("bigint").alias("_lo"),
-        F.ceil(F.lit(upper_limit) * last).cast("bigint").alias("_hi"),
+        F.round(F.lit(lower_limit) * last).cast("bigint").alias("_lo"),
+        F.round(F.lit(upper_limit) * last).cast("bigint").alias("_hi"),
     )
     # Only the two rows at those places are looked up per group.
     picked = placed.join(spots, group).where((F.col("_pos") == F.col("_lo")) | (F.col("_pos") == F.col("_hi")))

@@ -56,12 +56,12 @@ def apply_function(
     name: str,
     *args: Any,
     into: str | None = None,
-    order: tuple[str, str] | None = None,
+    row_order: tuple[str, str] | None = None,
     **kwargs: Any,
 ) -> DataFrame:
     """Replace ``column`` (or fill ``into``) by a function of it.
 
-    Order-dependent functions need ``order``: the columns that name the file
+    Order-dependent functions need ``row_order``: the columns that name the file
     and the row number in it. They default to the ones of a scan.
     """
     from rawlake.functions import ordered
@@ -69,7 +69,7 @@ def apply_function(
     _load()
     into = into or column
     if name in ordered.FUNCTIONS:
-        group, at = order or _order_columns(df, name)
+        group, at = row_order or _order_columns(df, name)
         return ordered.FUNCTIONS[name](df, column, into, group, at, *args, **kwargs)
     value = F.col(f"`{column}`")
     return df.withColumn(into, build(name, value, df.schema[column].dataType, *args, **kwargs))

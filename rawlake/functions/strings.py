@@ -83,11 +83,11 @@ def repeat(value: Column, dtype: T.DataType, num_repeats: int) -> Column:
 # -- padding and trimming ----------------------------------------------------------
 
 
-def _pad(where: str):
+def _pad(where: str, size):
     def builder(
         value: Column, dtype: T.DataType, width: int, padding: str = " ", lean_left_on_odd_padding: bool = True
     ) -> Column:
-        room = F.greatest(F.lit(width) - F.length(value), F.lit(0))
+        room = F.greatest(F.lit(width) - size(value), F.lit(0))
         if where == "center":
             left = F.floor((room if lean_left_on_odd_padding else room + 1) / 2).cast("int")
         else:
@@ -97,10 +97,11 @@ def _pad(where: str):
     return builder
 
 
-for _kind in ("utf8", "ascii"):
-    function(f"{_kind}_lpad")(_pad("left"))
-    function(f"{_kind}_rpad")(_pad("right"))
-    function(f"{_kind}_center")(_pad("center"))
+# The ASCII variants measure bytes.
+for _kind, _size in (("utf8", F.length), ("ascii", F.octet_length)):
+    function(f"{_kind}_lpad")(_pad("left", _size))
+    function(f"{_kind}_rpad")(_pad("right", _size))
+    function(f"{_kind}_center")(_pad("center", _size))
 
 
 @function("utf8_zero_fill", "utf8_zfill")

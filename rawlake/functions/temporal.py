@@ -267,7 +267,9 @@ def _rounded(how: str):
         if how == "floor":
             result = low
         elif how == "ceil":
-            result = high if ceil_is_strictly_greater else F.when(number == low, low).otherwise(high)
+            # Calendar units always move on to the next start.
+            strict = ceil_is_strictly_greater or unit in UNIT_MONTHS
+            result = high if strict else F.when(number == low, low).otherwise(high)
         else:
             result = F.when(number - low >= high - number, high).otherwise(low)
         return from_micros(result, dtype)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlake.operators.convert import FALSE_TOKENS, NULL_TOKENS, TIMESTAMP_FORMATS, TRUE_TOKENS
+from rawlake.operators.convert import FALSE_TOKENS, ISO8601, NULL_TOKENS, TIMESTAMP_FORMATS, TRUE_TOKENS
 from rawlake.functions.timeformat import to_spark_pattern
 from rawlake.sources.scan import Scan
 from rawlake.types import REQUIRED
@@ -25,28 +25,33 @@ _INT = r"^[ \t]*(-?\d{1,19}|0[xX][0-9a-fA-F]{1,16})[ \t]*$"
 _DOUBLE = r"(?i)^[ \t]*([+-]?(inf|infinity|nan)|-?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?)[ \t]*$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _SECONDS = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}(:\d{2})?)?)?$"
+_ZONED = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2})?(Z|[+-]\d{2}:?\d{2})$"
 _FRACTION = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$"
 
 
 def _candidates(text: Column, options: dict[str, Any]) -> list[tuple[str, Column]]:
     """Types in the order they are tried, and what a cell must look like."""
-    formats = options.get("timestamp_parsers")
+    formats = options.get("timestamp_parsers") or TIMESTAMP_FORMATS
     found = [
         ("int64", text.rlike(_INT) & text.try_cast("decimal(38,0)").between(-(2**63), 2**63 - 1)
          | text.rlike("^0[xX]")),
         ("bool", text.isin(*options.get("true_values", TRUE_TOKENS), *options.get("false_values", FALSE_TOKENS))),
         ("date32", text.rlike(_DATE) & text.try_cast("date").isNotNull()),
     ]
-    if formats:
-        parsed = [F.try_to_timestamp(text, F.lit(to_spark_pattern(f))).isNotNull() for f in formats]
-        anyof = parsed[0]
-        for p in parsed[1:]:
-            anyof = anyof | p
+    patterns = [to_spark_pattern(f) for f in formats if f != ISO8601]
+    if patterns:
+        anyof = F.lit(False)
+        for pattern in patterns:
+            anyof = anyof | F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
         found.append(("timestamp[s]", anyof))
-    else:
+    if ISO8601 in formats:
         padded = F.when(text.rlike(r"[ T]\d{2}$"), F.concat(text, F.lit(":00"))).otherwise(text)
         real = padded.try_cast("timestamp_ntz").isNotNull()
-        found += [("timestamp[s]", text.rlike(_SECONDS) & real), ("timestamp[us]", text.rlike(_FRACTION) & real)]
+        found += [
+            ("timestamp[s]", text.rlike(_SECONDS) & real),
+            ("timestamp[s, tz=UTC]", text.rlike(_ZONED) & F.try_to_timestamp(text).isNotNull()),
+            ("timestamp[us]", text.rlike(_FRACTION) & real),
+        ]
     found.append(("double", text.rlike(_DOUBLE)))
     return found
 

@@ -163,7 +163,7 @@ def _additional(df: DataFrame, name: str, spec: dict[str, Any], template: PathTe
     df = df.withColumn(name, value)
     if spec.get("func"):
         df = apply_function(
-            df, name, spec["func"], *(spec.get("func_args") or []), order=None, **(spec.get("func_kwargs") or {})
+            df, name, spec["func"], *(spec.get("func_args") or []), **(spec.get("func_kwargs") or {})
         )
     have = df.schema[name].dataType
     target, _ = parse_type(spec["dtype"])
