@@ -155,16 +155,14 @@ def logb_checked(value: Column, dtype: T.DataType, base: float) -> Column:
 # -- rounding ------------------------------------------------------------------
 
 
-def _whole(fn):
-    """ceil or floor that stays a double and holds for any magnitude."""
+def _floor(number: Column) -> Column:
+    """floor that stays a double and holds for any magnitude."""
+    return F.when((F.abs(number) >= EXACT) | (number == 0), number).otherwise(F.floor(number).cast("double"))
 
-    def apply(number: Column) -> Column:
-        return F.when(F.abs(number) >= EXACT, number).otherwise(fn(number).cast("double"))
 
-    return apply
-
-
-_floor, _ceil = _whole(F.floor), _whole(F.ceil)
+def _ceil(number: Column) -> Column:
+    # Through floor, so that what rounds up to zero keeps its sign.
+    return -_floor(-number)
 
 
 @function("floor")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rawlake.functions import ordered
 from rawlake.operators import ordinal, sink
 from rawlake.operators.columns import apply_filters
 from rawlake.operators.lineage import add_lineage
@@ -115,8 +116,7 @@ class Job:
         target = unify(output_schema(self.schema), lineage_schema(self.metadata))
         if not pieces:
             return self.spark.createDataFrame([], target)
-        numbering = self.metadata.get("standard_metadata", True)
-        if numbering:
+        if self._numbered():
             pieces = [(s.number(), i) for s, i in pieces]
             if self.aggregate and len(pieces) > 1:
                 counts = scans.union_scans([s.counts for s, _ in pieces])
@@ -125,12 +125,17 @@ class Job:
         df = scans.union_scans(frames)
         tags = [c for c in [*TAGS, *ZIP_TAGS] if keep_tags]
         data = [f.name for f in target]
-        extras = [c for c in df.columns if c not in data and c not in [*TAGS, *ZIP_TAGS]]
+        extras = [c for c in df.columns if c not in data and c not in [*TAGS, *ZIP_TAGS, *NUMBERS, "_index", "_ktime"]]
         if not extras and not self.transforms:
             kept = conform(df, target)
             return kept if not tags else df.select(*[F.col(f"`{c}`") for c in data], *tags)
         return df.select(*[F.col(f"`{c}`") for c in data + extras], *tags)
 
+    def _numbered(self) -> bool:
+        """Whether rows need their number: for the output or a function."""
+        functions = [f.get("func") for f in (self.metadata.get("additional_metadata") or {}).values()]
+        return self.metadata.get("standard_metadata", True) or any(f in ordered.FUNCTIONS for f in functions)
+
     def _scan(self, files: DataFrame, i: int) -> list[Scan]:
         if self.format is None:
             return [scans.scan_parquet(self.spark, scans._paths(files), self.schema, i)]
@@ -143,7 +148,7 @@ class Job:
             values = typed_columns(scan.columns, self.schema, self.format.convert)
         tags = [c for c in [*TAGS, *ZIP_TAGS, *NUMBERS] if c in scan.df.columns]
         df = scan.df.select(*values, *tags)
-        if NUMBERS[0] in tags:
+        if self._numbered():
             df = df.withColumn("_index", F.col("_gindex" if self.aggregate else "_findex")).drop(*NUMBERS)
         df = apply_filters(df, self.input.get("filters") or [])
         for transform in self.transforms:
@@ -179,9 +184,7 @@ class Job:
         for i, template in enumerate(self.templates):
             keyed = F.when(F.col("_tord") == i, self.output_path(F.col("_fp"), template)).otherwise(keyed)
         watch = Observation()
-        df = df.observe(watch, F.count(F.lit(1)).alias("rows"), F.count_distinct("_fp").alias("x")) if False else df.observe(
-            watch, F.count(F.lit(1)).alias("rows")
-        )
+        df = df.observe(watch, F.count(F.lit(1)).alias("rows"))
         drop = [*TAGS, *ZIP_TAGS]
         outputs = sink.write_outputs(df.withColumn(sink.OUT_KEY, keyed).drop(*drop), sink.OUT_KEY, self.basedir, **options)
         count = sum(f.count() for f in files)

@@ -128,7 +128,7 @@ def fn_logic(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT conv_id, turn, role, md5(upper(replace(text, 'ß', 'ẞ'))) AS upped, md5(lower(text)) AS lowered, md5(reverse(text)) AS reversed,
        upper(substr(role, 1, 1)) || lower(substr(role, 2)) AS capital, role || role AS doubled,
        CASE WHEN length(role) < 12 THEN lpad(role, 12, '*') ELSE role END AS padded, CASE WHEN length(role) < 12 THEN rpad(role, 12, '.') ELSE role END AS tail_padded,
-       lpad(CAST(turn AS VARCHAR), greatest(4, length(CAST(turn AS VARCHAR))), '0') AS zeros, md5(trim(text, 'aeiou ')) AS trimmed, md5(ltrim(text, 'abcE')) AS left_trimmed,
+       lpad(CAST(turn AS VARCHAR), CAST(greatest(4, length(CAST(turn AS VARCHAR))) AS INTEGER), '0') AS zeros, md5(trim(text, 'aeiou ')) AS trimmed, md5(ltrim(text, 'abcE')) AS left_trimmed,
        md5(rtrim(text, '.?! ')) AS right_trimmed, substr(text, 3, 8) AS sliced, right(text, 5) AS last_five, substr(text, 1, 2) || '##' || substr(text, 6) AS spliced,
        md5(replace(text, 'an', '<AN>')) AS replaced, md5(regexp_replace(text, '([a-e])([f-z])', '\\2\\1', 'g')) AS swapped,
        role || '-' || turn || '-x' AS joined, md5(regexp_replace(text, 'e', 'E')) AS first_only FROM conversations""",
@@ -208,7 +208,7 @@ def fn_temporal(spark: SparkSession, sf: str) -> DataFrame:
        strftime(CASE WHEN ts = date_trunc('day', ts) THEN ts ELSE date_trunc('day', ts) + INTERVAL 1 DAY END, '%Y-%m-%d %H:%M:%S.%f') AS day_ceil,
        strftime(date_trunc('month', ts) + INTERVAL 1 MONTH, '%Y-%m-%d %H:%M:%S.%f') AS month_ceil,
        strftime(date_trunc('minute', ts + INTERVAL 30 SECOND), '%Y-%m-%d %H:%M:%S.%f') AS minute_round,
-       date_diff('year', ts, o) AS years, date_diff('quarter', ts, o) AS quarters, date_diff('week', ts, o) AS weeks, date_diff('day', ts, o) AS days, date_diff('hour', ts, o) AS hours,
+       date_diff('year', ts, o) AS years, date_diff('quarter', ts, o) AS quarters, CAST((CAST(date_trunc('week', o) AS DATE) - CAST(date_trunc('week', ts) AS DATE)) // 7 AS BIGINT) AS weeks, date_diff('day', ts, o) AS days, date_diff('hour', ts, o) AS hours,
        date_diff('minute', ts, o) AS minutes, date_diff('second', ts, o) AS seconds, date_diff('millisecond', ts, o) AS millis, date_diff('microsecond', ts, o) AS micros,
        date_diff('microsecond', ts, o) * 1000 AS nanos FROM (SELECT *, TIMESTAMP '2025-05-05 05:05:05.000005' AS o FROM events)""",
 )
@@ -263,9 +263,9 @@ _W = "(PARTITION BY day ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND C
 
 @query(
     "fn_cumulative",
-    f"""SELECT event_id, round(sum(value) OVER {_W}, 4) AS running, max(value) OVER {_W} AS high, min(value) OVER {_W} AS low,
-        CASE WHEN gaps IS NOT NULL THEN round(sum(gaps) OVER {_W}, 4) END AS skipping, CASE WHEN gaps IS NOT NULL THEN round(avg(gaps) OVER {_W}, 4) END AS mean,
-        CASE WHEN count(*) OVER {_W} = count(gaps) OVER {_W} THEN round(sum(gaps) OVER {_W}, 4) END AS until_null,
+    f"""SELECT event_id, round(sum(value) OVER {_W}, 8) AS running, max(value) OVER {_W} AS high, min(value) OVER {_W} AS low,
+        CASE WHEN gaps IS NOT NULL THEN round(sum(gaps) OVER {_W}, 8) END AS skipping, CASE WHEN gaps IS NOT NULL THEN round(avg(gaps) OVER {_W} / 7919, 10) END AS mean,
+        CASE WHEN count(*) OVER {_W} = count(gaps) OVER {_W} THEN round(sum(gaps) OVER {_W}, 8) END AS until_null,
         CASE WHEN sum(user_id % 2) OVER {_W} % 2 = 0 THEN 1 ELSE -1 END AS product FROM ({_E})""",
 )
 def fn_cumulative(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,8 +276,9 @@ def fn_cumulative(spark: SparkSession, sf: str) -> DataFrame:
         ("until_null", "gaps", "cumulative_sum_checked", {}), ("product", "sign", "cumulative_prod", {}),
     ]:
         df = apply_function(df, column, fn, into=into, **kwargs)
-    sums = [F.round(c, 4).alias(c) for c in ("running", "skipping", "mean", "until_null")]
-    return df.select("event_id", "high", "low", *sums, "product")
+    sums = [F.round(c, 8).alias(c) for c in ("running", "skipping", "until_null")]
+    # Divided by a prime, the mean has no ties to round.
+    return df.select("event_id", "high", "low", *sums, F.round(F.col("mean") / 7919, 10).alias("mean"), "product")
 
 
 @query(

@@ -124,7 +124,7 @@ def infer_common_type(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "infer_manifest",
     """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp,
-              o_custkey % 2 = 0 AS flag, o_custkey + CASE WHEN month(o_orderdate) % 2 = 0 THEN 0.0 ELSE 0.5 END AS mixed, o_orderpriority
+              o_custkey % 2 = 0 AS flag, o_custkey + CASE WHEN month(o_orderdate) % 2 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS mixed, o_orderpriority
        FROM orders""",
 )
 def infer_manifest(spark: SparkSession, sf: str) -> DataFrame:

@@ -129,7 +129,7 @@ def schema_unify(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")
     )
-    supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.lit("supplier").alias("note"))
+    supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.when(F.col("s_suppkey").isNotNull(), "supplier").alias("note"))
     target = unify(nation.schema, supplier.schema)
     return schema.conform(nation.unionByName(supplier, allowMissingColumns=True), target)
 

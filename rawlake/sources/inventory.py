@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
@@ -37,9 +38,17 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def one_glob(globs: list[str]) -> str:
+    """A single glob for several, with their differing ends as alternatives."""
+    if len(globs) == 1:
+        return globs[0]
+    shared = os.path.commonprefix(globs).rpartition("/")[0] + "/"
+    return shared + "{" + ",".join(g.removeprefix(shared) for g in globs) + "}"
+
+
 def list_files(spark: SparkSession, globs: list[str]) -> DataFrame:
     """Files below the globs; contents are never read."""
-    pattern = globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"
+    pattern = one_glob(globs)
     try:
         found = spark.read.format("binaryFile").load(pattern)
     except AnalysisException as error:

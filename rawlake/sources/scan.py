@@ -172,7 +172,7 @@ def read_plain(spark: SparkSession, paths: list[str], names: list[str], fmt: Tex
 
 def text_lines(spark: SparkSession, paths: list[str], fmt: TextFormat, tord: int) -> DataFrame:
     """Tagged lines of text files, numbered within their task."""
-    value = F.col("value") if fmt.utf8 else F.decode(F.col("value").cast("binary"), F.lit(fmt.encoding))
+    value = F.col("value") if fmt.utf8 else F.decode(F.col("value").cast("binary"), fmt.encoding)
     df = ordinal.tag_scan(spark.read.text(paths), tord).withColumn("value", value)
     return _with_zip_tags(df).withColumn("_mid", F.monotonically_increasing_id())
 
