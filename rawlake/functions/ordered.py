@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rawlake.functions.registry import is_float, is_int
-from rawlake.session import materialize
+from rawlake.session import bounded_broadcast, materialize
 
 BLOCK = 1_000_000
-RANGES = 64
 
 FUNCTIONS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -53,7 +52,14 @@ def _carry(
     # One row per million rows of a file.
     before = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     carried = blocks.select(group, "_blk", *[fold[n](F.col(n)).over(before).alias(f"_c_{n}") for n in summaries])
-    return df.join(carried, [group, "_blk"])
+    return _join_side(df, carried, [group, "_blk"])
+
+
+def _join_side(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join summaries to rows. They are written out first: the plan then reads
+    the rows once however many functions are stacked, and their size is known."""
+    table, _ = bounded_broadcast(materialize(side, "summaries"))
+    return df.join(table, keys, how)
 
 
 def _within(group: str, at: str, backward: bool = False):
@@ -125,7 +131,7 @@ FUNCTIONS["cumulative_min"] = _cumulative("min")
 def cumulative_prod(
     df: DataFrame, column: str, into: str, group: str, at: str, start: Any = None, skip_nulls: bool = False
 ) -> DataFrame:
-    """Running product, as sign, zeros and magnitude.
+    """Running product, with signs and zeros counted apart.
 
     Integers stay exact: only factors other than 0, 1 and -1 enter the product,
     and no more than 62 of them fit before it overflows and raises.
@@ -158,7 +164,6 @@ def cumulative_prod(
         local = F.collect_list("_c_f").over(w)
         product = multiply(F.concat(F.col("_c_prior"), local))
     else:
-        df = df.withColumn("_c_log", F.when(F.col("_c_f").isNotNull(), F.ln(F.abs("_c_f"))))
         blocks = df.groupBy(group, "_blk").agg(
             F.product("_c_f").alias("f"),
             *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()],
@@ -169,7 +174,7 @@ def cumulative_prod(
             *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_c_{n}") for n in flags],
         )
         product = F.col("_c_prior") * F.coalesce(F.product("_c_f").over(w), F.lit(1.0))
-    df = df.join(carried, [group, "_blk"])
+    df = _join_side(df, carried, [group, "_blk"])
 
     def so_far(name: str) -> Column:
         return F.sum(F.coalesce(flags[name], F.lit(False)).cast("int")).over(w) + F.col(f"_c_{name}")
@@ -217,7 +222,7 @@ def pairwise_diff(df: DataFrame, column: str, into: str, group: str, at: str, pe
             {"_blk": F.col("_blk") + (1 if period > 0 else -1), "_c_own": F.lit(False)}
         )
         w = Window.partitionBy(group, "_blk").orderBy(at)
-        both = own.unionByName(lent)
+        both = own.unionByName(materialize(lent, "block-edges"))
         moved = F.lag(value, reach).over(w) if period > 0 else F.lead(value, reach).over(w)
         return _put(both.withColumn("_c_d", value - moved).where("_c_own"), into, F.col("_c_d"))
     other = df.select(group, (F.col(at) + period).alias(at), value.alias("_c_o"))
@@ -243,9 +248,9 @@ def positions(
     value = F.col(f"`{column}`")
     df = df.withColumns({"_cls": _sort_class(value, dtype, null_placement), "_val": value})
     keys = [F.col(group), F.col("_cls"), F.col("_val").desc() if descending else F.col("_val").asc(), F.col(at)]
-    ranged = df.repartitionByRange(RANGES, *keys).withColumn("_range", F.spark_partition_id())
+    ranged = df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
     ranged = materialize(ranged, "sorted-ranges")
-    # At most RANGES rows per group.
+    # At most one row per shuffle partition and group.
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select(group, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
@@ -376,4 +381,4 @@ def winsorize(
     picked = placed.join(spots, group).where((F.col("_pos") == F.col("_lo")) | (F.col("_pos") == F.col("_hi")))
     bounds = picked.groupBy(group).agg(F.min(column).alias("_c_lo"), F.max(column).alias("_c_hi"))
     clipped = F.least(F.greatest(value, F.col("_c_lo")), F.col("_c_hi"))
-    return _put(df.join(bounds, group, "left"), into, F.when(real, clipped).otherwise(value))
+    return _put(_join_side(df, bounds, [group], "left"), into, F.when(real, clipped).otherwise(value))

@@ -7,6 +7,7 @@ the scan itself. Only a time read out of file headers needs a per-file table.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -31,9 +32,9 @@ HEADER_FORMATS = [
 ]
 
 
-def file_facts(path: Column | None = None) -> dict[str, Column]:
+def file_facts() -> dict[str, Column]:
     """Fields a ``metadata.<field>`` source may name."""
-    path = F.col("_fp") if path is None else path
+    path = F.col("_path")
     member = F.substring_index(path, "|", -1)
     return {
         "file_path": path,
@@ -75,7 +76,7 @@ def header_times(
     fmt: str | list[str] | None = None,
     encoding: str = "utf-8",
 ) -> DataFrame:
-    """Knowledge time per file (``_fp``, ``_ktime``) from a line of its head."""
+    """Knowledge time per file (``_path``, ``_ktime``) from a line of its head."""
     peeked = heads.peek(inventory, has_header=False, encoding=encoding, keep=line)
     target = F.trim(F.get("head", F.lit(line - 1)))
     found = F.regexp_extract(target, java_regex(pattern), 1)
@@ -93,7 +94,7 @@ def header_times(
         .when(~target.rlike(java_regex(pattern)), fail(f"Header pattern not found in line {line} of "))
         .otherwise(F.coalesce(*tries, fail("Header time cannot be read in ")))
     )
-    return peeked.select(F.col("path").alias("_fp"), value.alias("_ktime"))
+    return peeked.select(F.col("path").alias("_path"), value.alias("_ktime"))
 
 
 def java_regex(pattern: str) -> str:
@@ -101,59 +102,80 @@ def java_regex(pattern: str) -> str:
     return pattern.replace("(?P<", "(?<")
 
 
-def add_lineage(
-    df: DataFrame,
+def path_columns(
     template: PathTemplate,
     metadata: dict[str, Any] | None,
-    creation_time: dt.datetime,
-    inventory: DataFrame | None = None,
+    inventory: DataFrame,
     encoding: str = "utf-8",
-) -> DataFrame:
-    """Append additional columns, then the standard ones.
+    output_key: Column | None = None,
+) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds to any frame with ``_path`` all that the file says
+    about its rows: name, variables, knowledge time, output key.
 
-    ``df`` carries the file tags of a scan, and ``_index`` if standard columns
-    are wanted.
+    Numbered scans run it on their table of splits, so that patterns are
+    matched once per split and not once per row.
     """
     metadata = metadata or {}
-    path = F.col("_fp")
-    for name, spec in (metadata.get("additional_metadata") or {}).items():
-        df = _additional(df, name, spec, template)
-    if not metadata.get("standard_metadata", True):
-        return df
-
+    standard = metadata.get("standard_metadata", True)
     knowledge = metadata.get("knowledge_time") or {}
     source, tz = knowledge.get("from"), knowledge.get("tz", "UTC")
     if source not in KNOWLEDGE_SOURCES:
         raise ValueError(f"Unknown knowledge_time source '{source}'")
-    if source == "csv_header":
+    times = None
+    if standard and source == "csv_header":
         if not knowledge.get("header_pattern"):
             raise ValueError("knowledge_time from csv_header needs header_pattern")
-        times = header_times(
+        found = header_times(
             inventory, knowledge["header_pattern"], knowledge.get("header_line") or 1, tz,
             knowledge.get("format"), encoding,
         )
-        side, _ = bounded_broadcast(materialize(times, "header-times"))
-        df = df.join(side, "_fp", "left")
-        known = F.col("_ktime")
-    elif source == "file_mtime":
-        known = F.col("_mtime")
-    else:
-        known = name_time(template.parts(path), tz)
-    return df.withColumn("_knowledge_time", known).withColumns(
+        times = materialize(found, "header-times")
+
+    def decorate(df: DataFrame) -> DataFrame:
+        path = F.col("_path")
+        columns = {f"_v_{name}": value for name, value in template.variables(path).items()}
+        if standard:
+            columns["_source_file"] = base_name(path)
+            if source in (None, "file_name"):
+                columns["_ktime"] = name_time(template.parts(path), tz)
+        if output_key is not None:
+            columns["_out_key"] = output_key
+        df = df.withColumns(columns) if columns else df
+        if times is not None:
+            df = df.join(bounded_broadcast(times)[0], "_path", "left")
+        return df
+
+    return decorate
+
+
+def add_lineage(df: DataFrame, metadata: dict[str, Any] | None, creation_time: dt.datetime) -> DataFrame:
+    """Append additional columns, then the standard ones.
+
+    ``df`` carries file tags, the columns of ``path_columns`` and, if standard
+    columns are wanted, ``_index``.
+    """
+    metadata = metadata or {}
+    for name, spec in (metadata.get("additional_metadata") or {}).items():
+        df = _additional(df, name, spec)
+    if not metadata.get("standard_metadata", True):
+        return df
+    from_mtime = (metadata.get("knowledge_time") or {}).get("from") == "file_mtime"
+    known = F.col("_mtime") if from_mtime else F.col("_ktime")
+    return df.withColumns(
         {
-            "_source_file": base_name(path),
             "_source_file_mtime": F.col("_mtime"),
             "_creation_time": F.lit(creation_time).cast("timestamp"),
-            "_knowledge_date": F.to_date("_knowledge_time"),
+            "_knowledge_time": known,
+            "_knowledge_date": F.to_date(known),
         }
     )
 
 
-def _additional(df: DataFrame, name: str, spec: dict[str, Any], template: PathTemplate) -> DataFrame:
+def _additional(df: DataFrame, name: str, spec: dict[str, Any]) -> DataFrame:
     kind, _, key = spec["source"].partition(".")
     key = key.split(".")[0]
     if kind == "extract_vars":
-        value = template.variables(F.col("_fp"))[key]
+        value = F.col(f"`_v_{key}`")
     elif kind == "metadata":
         value = file_facts()[key]
     elif kind == "column":

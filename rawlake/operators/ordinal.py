@@ -10,22 +10,28 @@ rows are joined on the split key, of which no group exceeds one split.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rawlake.session import bounded_broadcast, materialize
-from rawlake.sources.inventory import scan_path
+
+Decorate = Callable[[DataFrame], DataFrame]
 
 SPLIT = ["_tord", "_fp", "_bs"]
-RANGES = 64
 
 
 def tag_scan(df: DataFrame, template_ord: int = 0) -> DataFrame:
-    """Add file, split start and file facts to a scan of files."""
+    """Add file, split start and file facts to a scan of files.
+
+    All of them are constant per split; ``_fp`` is the path as the scan gives
+    it, so nothing is computed per row here.
+    """
     return df.withColumns(
         {
             "_tord": F.lit(template_ord),
-            "_fp": scan_path(),
+            "_fp": F.col("_metadata.file_path"),
             "_bs": F.col("_metadata.file_block_start"),
             "_mtime": F.col("_metadata.file_modification_time"),
             "_size": F.col("_metadata.file_size"),
@@ -40,13 +46,13 @@ def running_offsets(counts: DataFrame, value: str, label: str) -> DataFrame:
     Range-partitioned, so no task sees more than its share of the splits; only
     one total per range is summed in one place.
     """
-    ranged = counts.repartitionByRange(RANGES, *SPLIT).withColumn("_range", F.spark_partition_id())
+    ranged = counts.repartitionByRange(*SPLIT).withColumn("_range", F.spark_partition_id())
     ranged = materialize(ranged, label)
     in_range = Window.partitionBy("_range").orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_range").agg(F.sum(value).alias("_n"))
     starts = totals.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    # At most RANGES rows.
+    # At most one row per shuffle partition.
     offsets = ranged.join(F.broadcast(starts), "_range").withColumn(
         "_goff", F.col("_start") + F.coalesce(F.sum(value).over(in_range), F.lit(0))
     )
@@ -57,16 +63,14 @@ def running_offsets(counts: DataFrame, value: str, label: str) -> DataFrame:
     return offsets.drop("_range", "_start", "_first")
 
 
-def split_offsets(df: DataFrame, *extra: Column, per_file: DataFrame | None = None) -> DataFrame:
+def split_offsets(df: DataFrame, decorate: Decorate | None = None) -> DataFrame:
     """Offsets of every split of ``df`` (which carries ``_mid``), written out.
 
-    ``extra`` aggregates are kept per split; ``per_file`` columns are added.
+    ``decorate`` adds what follows from the path, once per split.
     """
-    counts = df.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"), *extra)
+    counts = df.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     offsets = running_offsets(counts, "_n", "split-counts")
-    if per_file is not None:
-        offsets = offsets.join(per_file, ["_tord", "_fp"], "left")
-    return materialize(offsets, "split-offsets")
+    return materialize(decorate(offsets) if decorate else offsets, "split-offsets")
 
 
 def join_offsets(df: DataFrame, offsets: DataFrame) -> tuple[DataFrame, bool]:
@@ -89,14 +93,14 @@ def _numbers(df: DataFrame) -> DataFrame:
     return df.withColumns(numbers).drop(*_SCRATCH)
 
 
-def number_scan(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def number_scan(df: DataFrame, decorate: Decorate | None = None) -> tuple[DataFrame, DataFrame]:
     """Number the rows of a tagged scan in file order.
 
     ``_findex`` restarts at 0 in each file; ``_gindex`` runs on over all files,
     by template, path and position. The second frame has the split offsets.
     """
     tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    offsets = split_offsets(tagged)
+    offsets = split_offsets(tagged, decorate)
     joined, _ = join_offsets(tagged, offsets)
     return _numbers(joined), offsets
 

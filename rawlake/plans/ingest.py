@@ -6,22 +6,22 @@ import datetime as dt
 import os
 import re
 from collections.abc import Callable
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rawlake.functions import ordered
 from rawlake.operators import ordinal, sink
 from rawlake.operators.columns import apply_filters
-from rawlake.operators.lineage import add_lineage
+from rawlake.operators.lineage import add_lineage, path_columns
 from rawlake.operators.schema import conform, native_columns, typed_columns
 from rawlake.session import configure, materialize
 from rawlake.sources import scan as scans
-from rawlake.sources.inventory import base_name, discover, range_globs
-from rawlake.sources.scan import NUMBERS, TAGS, ZIP_TAGS, Scan, TextFormat
-from rawlake.sources.templates import PARTS, PathTemplate
+from rawlake.sources.inventory import base_name, discover
+from rawlake.sources.scan import NUMBERS, Scan, TextFormat
+from rawlake.sources.templates import PathTemplate
 from rawlake.types import lineage_schema, load_manifest, output_schema, unify
 
 # Readers a job may name, and what they stand for here.
@@ -105,55 +105,57 @@ class Job:
         end: str | None = None,
         allow_empty: bool = False,
         inventories: list[DataFrame] | None = None,
-        keep_tags: bool = False,
+        keyed: bool = False,
     ) -> DataFrame:
-        """Typed rows with lineage columns, in manifest order."""
+        """Typed rows with lineage columns, in manifest order; ``keyed`` adds
+        the path of the output each row belongs to."""
         inventories = inventories or self.inventory(start, end, allow_empty)
-        pieces: list[tuple[Scan, int]] = []
-        for i, files in enumerate(inventories):
-            if not files.isEmpty():
-                pieces += [(s, i) for s in self._scan(files, i)]
         target = unify(output_schema(self.schema), lineage_schema(self.metadata))
+        pieces: list[tuple[Scan, ordinal.Decorate]] = []
+        for i, (files, template) in enumerate(zip(inventories, self.templates)):
+            if files.isEmpty():
+                continue
+            key = self.output_path(F.col("_path"), template) if keyed else None
+            decorate = path_columns(template, self.metadata, files, self.input.get("encoding") or "utf-8", key)
+            pieces += [(scan, decorate) for scan in self._scan(files, i, decorate)]
         if not pieces:
             return self.spark.createDataFrame([], target)
         if self._numbered():
-            pieces = [(s.number(), i) for s, i in pieces]
+            pieces = [(scan.number(with_path(decorate, scan)), decorate) for scan, decorate in pieces]
             if self.aggregate and len(pieces) > 1:
-                counts = scans.union_scans([s.counts for s, _ in pieces])
-                pieces = [(Scan(ordinal.number_across(s.df, counts), s.columns, s.order, s.counts), i) for s, i in pieces]
-        frames = [self._typed(s, inventories[i], self.templates[i]) for s, i in pieces]
-        df = scans.union_scans(frames)
-        tags = [c for c in [*TAGS, *ZIP_TAGS] if keep_tags]
+                counts = scans.union_scans([scan.counts for scan, _ in pieces])
+                pieces = [(replace(s, df=ordinal.number_across(s.df, counts)), d) for s, d in pieces]
+        df = scans.union_scans([self._typed(scan, decorate) for scan, decorate in pieces])
         data = [f.name for f in target]
-        extras = [c for c in df.columns if c not in data and c not in [*TAGS, *ZIP_TAGS, *NUMBERS, "_index", "_ktime"]]
-        if not extras and not self.transforms:
-            kept = conform(df, target)
-            return kept if not tags else df.select(*[F.col(f"`{c}`") for c in data], *tags)
-        return df.select(*[F.col(f"`{c}`") for c in data + extras], *tags)
+        extras = [c for c in df.columns if c not in data and not c.startswith("_")] if self.transforms else []
+        if keyed:
+            return df.select(*[F.col(f"`{c}`") for c in data + extras], sink.OUT_KEY)
+        return df.select(*[F.col(f"`{c}`") for c in data + extras]) if extras else conform(df, target)
 
     def _numbered(self) -> bool:
         """Whether rows need their number: for the output or a function."""
         functions = [f.get("func") for f in (self.metadata.get("additional_metadata") or {}).values()]
         return self.metadata.get("standard_metadata", True) or any(f in ordered.FUNCTIONS for f in functions)
 
-    def _scan(self, files: DataFrame, i: int) -> list[Scan]:
+    def _scan(self, files: DataFrame, i: int, decorate: ordinal.Decorate) -> list[Scan]:
         if self.format is None:
             return [scans.scan_parquet(self.spark, scans._paths(files), self.schema, i)]
-        return scans.scan_text(files, self.format, self.schema, i, self.input.get("extra", "raise"))
+        return scans.scan_text(files, self.format, self.schema, i, self.input.get("extra", "raise"), decorate)
 
-    def _typed(self, scan: Scan, files: DataFrame, template: PathTemplate) -> DataFrame:
+    def _typed(self, scan: Scan, decorate: ordinal.Decorate) -> DataFrame:
+        df = scan.df if scan.decorated else with_path(decorate, scan)(scan.df)
         if self.format is None:
             values = native_columns(scan.columns, self.schema)
         else:
             values = typed_columns(scan.columns, self.schema, self.format.convert)
-        tags = [c for c in [*TAGS, *ZIP_TAGS, *NUMBERS] if c in scan.df.columns]
-        df = scan.df.select(*values, *tags)
+        carried = [c for c in df.columns if c.startswith("_") and c not in scan.columns]
+        df = df.select(*values, *carried)
         if self._numbered():
             df = df.withColumn("_index", F.col("_gindex" if self.aggregate else "_findex")).drop(*NUMBERS)
         df = apply_filters(df, self.input.get("filters") or [])
         for transform in self.transforms:
             df = df.transform(transform)
-        return add_lineage(df, template, self.metadata, self.creation_time, files, self.input.get("encoding") or "utf-8")
+        return add_lineage(df, self.metadata, self.creation_time)
 
     # -- writing ---------------------------------------------------------------
 
@@ -173,22 +175,19 @@ class Job:
         """Ingest a key range: one output per raw file or, in aggregate mode,
         one per distinct output path."""
         files = self.inventory(start, end, allow_empty)
-        df = self.rows(start, end, allow_empty, files, keep_tags=True)
-        return self.write_rows(df, files)
-
-    def write_rows(self, df: DataFrame, files: list[DataFrame]) -> dict[str, Any]:
-        options = {k: str(v) for k, v in (self.output.get("writer_kwargs") or {}).items()}
-        if "_fp" not in df.columns:
+        df = self.rows(start, end, allow_empty, files, keyed=True)
+        if sink.OUT_KEY not in df.columns:
             return {"outputs": [], "files": 0, "rows": 0}
-        keyed = F.lit(None).cast("string")
-        for i, template in enumerate(self.templates):
-            keyed = F.when(F.col("_tord") == i, self.output_path(F.col("_fp"), template)).otherwise(keyed)
+        options = {k: str(v) for k, v in (self.output.get("writer_kwargs") or {}).items()}
         watch = Observation()
         df = df.observe(watch, F.count(F.lit(1)).alias("rows"))
-        drop = [*TAGS, *ZIP_TAGS]
-        outputs = sink.write_outputs(df.withColumn(sink.OUT_KEY, keyed).drop(*drop), sink.OUT_KEY, self.basedir, **options)
-        count = sum(f.count() for f in files)
-        return {"outputs": outputs, "files": count, "rows": watch.get["rows"] if outputs else 0}
+        outputs = sink.write_outputs(df, sink.OUT_KEY, self.basedir, **options)
+        return {"outputs": outputs, "files": sum(f.count() for f in files), "rows": watch.get["rows"]}
+
+
+def with_path(decorate: ordinal.Decorate, scan: Scan) -> ordinal.Decorate:
+    """``decorate`` for frames of a scan, which know the path as scanned."""
+    return lambda df: decorate(scans.with_path(df, encoded=scan.order is None))
 
 
 def fill_template(template: str, values: dict[str, Column]) -> Column:
@@ -210,4 +209,4 @@ def ingest(spark: SparkSession, config: dict, table: str, start: str | None = No
     return Job(spark, config, table, **kwargs).rows(start, end)
 
 
-__all__ = ["FORMATS", "Job", "PARTS", "T", "fill_template", "ingest", "range_globs", "text_format"]
+__all__ = ["FORMATS", "Job", "fill_template", "ingest", "text_format"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +39,32 @@ def configure(spark: SparkSession) -> SparkSession:
         spark.conf.set(
             "spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism)
         )
+    _ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor."""
+    from rawlake.sources import remote
+
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent).as_posix())
+    path = f"{shared_dir(spark)}/rawlake/package-{application}/rawlake.zip"
+    with remote.open_output(path) as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(application)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)

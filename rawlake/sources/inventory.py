@@ -28,10 +28,9 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def scan_path() -> Column:
-    """Path of the file a row was scanned from, decoded to its plain form."""
-    encoded = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")
-    return plain_path(F.url_decode(encoded))
+def decoded_path(path: Column) -> Column:
+    """Plain form of a path as scans report it (URI-encoded)."""
+    return plain_path(F.url_decode(F.regexp_replace(path, r"\+", "%2B")))
 
 
 def base_name(path: Column) -> Column:

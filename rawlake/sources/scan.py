@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from rawlake.operators import ordinal
 from rawlake.session import bounded_broadcast, materialize
 from rawlake.sources import archive, heads
+from rawlake.sources.inventory import decoded_path
 
 # More distinct headers than this are resolved row by row instead of one scan
 # per header.
@@ -113,23 +114,29 @@ class Scan:
 
     ``order`` names the column that holds the line number when rows no longer
     come in scan order. ``counts`` has the rows of every split once the rows
-    are numbered.
+    are numbered. ``decorated`` tells that path-derived columns are there.
     """
 
     df: DataFrame
     columns: list[str]
     order: str | None = None
     counts: DataFrame | None = None
+    decorated: bool = False
 
-    def number(self) -> Scan:
-        """Add the row number within the file and within the scan."""
+    def number(self, decorate: ordinal.Decorate | None = None) -> Scan:
+        """Add the row number within the file and within the scan.
+
+        ``decorate`` adds path-derived columns, on the split side if it can.
+        """
         if self.counts is not None:
             return self
         if self.order:
             df, offsets = ordinal.renumber(self.df, self.order)
-        else:
-            df, offsets = ordinal.number_scan(self.df)
-        return Scan(df, self.columns, self.order, offsets.select(*ordinal.SPLIT, "_n"))
+            return Scan(df, self.columns, self.order, offsets.select(*ordinal.SPLIT, "_n"), self.decorated)
+        decorate = None if self.decorated else decorate
+        df, offsets = ordinal.number_scan(self.df, decorate)
+        counts = offsets.select(*ordinal.SPLIT, "_n")
+        return Scan(df, self.columns, None, counts, self.decorated or decorate is not None)
 
 
 def _paths(files: DataFrame) -> list[str]:
@@ -156,6 +163,11 @@ def _check_names(names: list[str]) -> None:
         raise ValueError(f"Header repeats column names: {sorted(repeated)}")
 
 
+def with_path(df: DataFrame, encoded: bool) -> DataFrame:
+    """Add the plain path; scans report it encoded, unpacked lines do not."""
+    return df.withColumn("_path", decoded_path(F.col("_fp")) if encoded else F.col("_fp"))
+
+
 # -- plain CSV ---------------------------------------------------------------
 
 
@@ -183,11 +195,13 @@ def _overlap(low: Column, high: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), end - F.greatest(F.col("_foff"), low))
 
 
-def data_lines(lines: DataFrame, starts: DataFrame, fmt: TextFormat, keep_order: bool) -> Scan:
+def data_lines(
+    lines: DataFrame, starts: DataFrame, fmt: TextFormat, keep_order: bool, decorate: ordinal.Decorate | None = None
+) -> Scan:
     """Cut preamble, trailer, sections and blank lines.
 
-    ``starts`` has ``_fp`` and ``_start`` (line number of the first data line)
-    plus columns to carry over to the rows.
+    ``starts`` has ``_path`` and ``_start`` (line number of the first data
+    line) plus columns to carry over to the rows.
     """
     trimmed = F.regexp_replace("value", r"\s+$", "")
     extra = [F.count_if(F.col("value") == "").alias("_blank")]
@@ -195,7 +209,10 @@ def data_lines(lines: DataFrame, starts: DataFrame, fmt: TextFormat, keep_order:
         mark = F.when(trimmed.isin(heads.START_DATA, heads.END_DATA), F.struct("_mid", trimmed.alias("kind")))
         extra.append(F.collect_list(mark).alias("_marks"))
     counted = lines.groupBy(*ordinal.SPLIT).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"), *extra)
-    splits = ordinal.running_offsets(counted, "_n", "split-counts").join(starts, ["_tord", "_fp"], "left")
+    splits = ordinal.running_offsets(counted, "_n", "split-counts")
+    splits = with_path(splits, encoded=keep_order).join(starts, "_path", "left")
+    if decorate:
+        splits = decorate(splits)
     start, stop = F.col("_start"), F.col("_file_rows") - fmt.skipfooter
     if fmt.sectioned:
         sections = materialize(_sections(splits), "sections")
@@ -236,11 +253,12 @@ def data_lines(lines: DataFrame, starts: DataFrame, fmt: TextFormat, keep_order:
         inside = line - F.greatest(F.col("_foff"), F.col("_low"))
         kept = kept.withColumns({"_findex": F.col("_fkept") + inside, "_gindex": F.col("_gkept") + inside})
         numbered = NUMBERS
-    carry = [c for c in starts.columns if c not in ("_tord", "_fp", "_start")]
+    own = {*lines.columns, *counted.columns, "_goff", "_foff", "_file_rows", "_start", "_spans"}
+    carry = [c for c in splits.columns if c not in own and c not in ("_kept", "_low", "_high", "_gkept", "_fkept")]
     df = kept.select("value", *TAGS, *ZIP_TAGS, "_line", *numbered, *carry)
     order = None if small and keep_order else "_line"
     counts = splits.select(*ordinal.SPLIT, F.col("_kept").alias("_n")) if simple else None
-    return Scan(df, [], order, counts)
+    return Scan(df, [], order, counts, decorate is not None)
 
 
 def _sections(splits: DataFrame) -> DataFrame:
@@ -270,7 +288,7 @@ def parse_lines(scan: Scan, names: list[str], fmt: TextFormat) -> Scan:
     tags = [c for c in scan.df.columns if c not in ("value", "names")]
     df = scan.df.withColumn("_row", row)
     cells = [F.col("_row")[f"c{i}"].alias(n) for i, n in enumerate(names)]
-    return Scan(df.select(*cells, *tags), names, scan.order, scan.counts)
+    return Scan(df.select(*cells, *tags), names, scan.order, scan.counts, scan.decorated)
 
 
 def parse_mixed(scan: Scan, wanted: list[str], fmt: TextFormat, widths: list[int]) -> Scan:
@@ -286,7 +304,7 @@ def parse_mixed(scan: Scan, wanted: list[str], fmt: TextFormat, widths: list[int
     df = scan.df.withColumn("_cells", F.map_from_arrays("names", cells))
     tags = [c for c in scan.df.columns if c not in ("value", "names")]
     picked = [F.try_element_at("_cells", F.lit(n)).alias(n) for n in wanted]
-    return Scan(df.select(*picked, *tags), wanted, scan.order, scan.counts)
+    return Scan(df.select(*picked, *tags), wanted, scan.order, scan.counts, scan.decorated)
 
 
 # -- choosing ----------------------------------------------------------------
@@ -298,7 +316,7 @@ def scan_text(
     schema: T.StructType,
     template_ord: int = 0,
     extra: str = "raise",
-    globs: list[str] | None = None,
+    decorate: ordinal.Decorate | None = None,
 ) -> list[Scan]:
     """Text scans covering all files of ``inventory``.
 
@@ -342,32 +360,28 @@ def scan_text(
         chosen = inventory.join(packed.select("path"), "path", "left_semi")
         quote = fmt.quote_char if fmt.newlines_in_values else None
         lines = archive.unpack_lines(chosen, template_ord, fmt.encoding, quote)
-        scans += _parse_groups(lines, packed, fmt, schema, template_ord, groups, keep_order=False)
+        scans += _parse_groups(lines, packed, fmt, schema, groups, False, decorate)
     if by_line:
         if not plain.isEmpty():
             lines = text_lines(spark, _paths(plain), fmt, template_ord)
-            scans += _parse_groups(lines, plain, fmt, schema, template_ord, groups, keep_order=True)
+            scans += _parse_groups(lines, plain, fmt, schema, groups, True, decorate)
         return scans
     for group in groups or []:
         _check_names(group["names"])
         members = plain.where(F.col("names") == F.array(*[F.lit(n) for n in group["names"]]))
-        if globs and len(groups) == 1 and not has_packed:
-            paths = globs
-        else:
-            paths = _paths(members)
+        paths = _paths(members)
         if paths:
             scans.append(Scan(read_plain(spark, paths, group["names"], fmt, template_ord), group["names"]))
     return scans
 
 
 def _parse_groups(
-    lines: DataFrame, peeked: DataFrame, fmt: TextFormat, schema: T.StructType, tord: int, groups: list | None, keep_order: bool
+    lines: DataFrame, peeked: DataFrame, fmt: TextFormat, schema: T.StructType, groups: list | None, keep_order: bool,
+    decorate: ordinal.Decorate | None,
 ) -> list[Scan]:
-    starts = peeked.select(
-        F.lit(tord).alias("_tord"), F.col("path").alias("_fp"), F.col("data_start").alias("_start"), "names"
-    )
+    starts = peeked.select(F.col("path").alias("_path"), F.col("data_start").alias("_start"), "names")
     single = groups is not None and len(groups) == 1
-    scan = data_lines(lines, starts.drop("names") if single else starts, fmt, keep_order)
+    scan = data_lines(lines, starts.drop("names") if single else starts, fmt, keep_order, decorate)
     if single:
         _check_names(groups[0]["names"])
         return [parse_lines(scan, groups[0]["names"], fmt)]
