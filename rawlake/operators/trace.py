@@ -30,27 +30,29 @@ def template_groups(template: str) -> tuple[str, list[str]]:
     return "".join(out), names
 
 
-def parse_path(path: Column, template: str, strict: bool = True) -> dict[str, Column]:
+def parse_path(df: DataFrame, path: Column, template: str, strict: bool = True) -> tuple[DataFrame, dict[str, Column]]:
     """Variables and date parts of a path made from ``template``.
 
     A placeholder that occurs twice must have one value. With ``strict`` a path
-    that does not fit raises, else its values are null.
+    that does not fit raises, else its values are null. The columns refer to
+    the returned frame, where the path was matched once.
     """
     pattern, names = template_groups(template)
     cells = regex_groups(path, pattern, len(names))
     if strict:
         bad = F.raise_error(F.concat(F.lit("Path does not fit the template: "), path)).cast("array<string>")
         cells = F.coalesce(cells, bad)
+    df = df.withColumn("_cells", cells)
     found: dict[str, Column] = {}
     for name in dict.fromkeys(names):
-        values = [F.get(cells, F.lit(i)) for i, n in enumerate(names) if n == name]
+        values = [F.get("_cells", F.lit(i)) for i, n in enumerate(names) if n == name]
         value = values[0]
         for other in values[1:]:
             message = F.concat(F.lit(f"Placeholder {{{name}}} has two values in "), path)
             value = F.when(value == other, value).when(value.isNull(), None).otherwise(F.raise_error(message))
         found[name] = value
     dates = derive_parts({k: v for k, v in found.items() if k in DIGITS}, keep_first=True)
-    return {**found, **dates}
+    return df, {**found, **dates}
 
 
 def relative(path: Column, basedir: str) -> Column:
@@ -61,7 +63,7 @@ def relative(path: Column, basedir: str) -> Column:
 def parse_outputs(outputs: DataFrame, template: str, basedir: str = "", table: str | None = None) -> DataFrame:
     """Add ``vars`` (a map) and the key columns to output paths (``output``)."""
     path = relative(F.col("output"), basedir) if basedir else F.col("output")
-    values = parse_path(path, template)
+    outputs, values = parse_path(outputs, path, template)
     if table is not None:
         values["table"] = F.lit(table)
     return _with_vars(outputs, values)
@@ -72,9 +74,8 @@ def parse_raw(raw: DataFrame, templates: list[str]) -> DataFrame:
     belong to several templates, and to none."""
     frames = []
     for i, template in enumerate(templates):
-        values = parse_path(F.col("path"), template, strict=False)
-        pattern, _ = template_groups(template)
-        fits = raw.where(F.col("path").rlike(f"^(?:{pattern})")).withColumn("template_ord", F.lit(i))
+        parsed, values = parse_path(raw, F.col("path"), template, strict=False)
+        fits = parsed.where(F.col("_cells").isNotNull()).withColumn("template_ord", F.lit(i))
         frames.append(_with_vars(fits, values))
     whole = frames[0]
     for frame in frames[1:]:
@@ -84,7 +85,7 @@ def parse_raw(raw: DataFrame, templates: list[str]) -> DataFrame:
 
 def _with_vars(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     pairs = [x for name, value in values.items() for x in (F.lit(name), value)]
-    return df.withColumn("vars", F.create_map(*pairs)).withColumn("d", F.try_element_at("vars", F.lit("YYYYMMDD")))
+    return df.withColumn("vars", F.create_map(*pairs)).drop("_cells").withColumn("d", F.try_element_at("vars", F.lit("YYYYMMDD")))
 
 
 def trace(outputs: DataFrame, raw: DataFrame, how: str = "left", by: tuple[str, ...] = (), key: str = "YYYYMMDD") -> DataFrame:

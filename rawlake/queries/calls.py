@@ -36,7 +36,7 @@ class Calls:
 
 
 def rounded(value: Column) -> Column:
-    return F.round(value, 6)
+    return F.rint(value * 1e6) / 1e6
 
 
 def bigint(value: Column) -> Column:

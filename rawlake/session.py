@@ -23,6 +23,9 @@ _SETTINGS = {
     "spark.sql.csv.parser.columnPruning.enabled": "false",
     # Date parts MM and mm, and source columns, differ by case alone.
     "spark.sql.caseSensitive": "true",
+    # Wide projections of guarded conversions generate methods the JVM would
+    # not compile; beyond its limit Spark shall use its split-up form.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
