@@ -69,7 +69,8 @@ def safe_cast(value: Column, source: Type, target: Type) -> Column:
         F.concat(F.lit(f"Cast to {target.simpleString()} would change "), value.cast("string"))
     ).cast(target)
     if floating and isinstance(target, T.IntegralType):
-        exact = F.when(value == F.floor(value), value.cast(target))
+        fits = (value >= -(2.0**63)) & (value < 2.0**63)
+        exact = F.when(fits & (value == F.floor(value)), value.cast(target))
         return F.when(value.isNull(), None).otherwise(F.coalesce(exact, bad))
     if isinstance(source, T.LongType) and isinstance(target, T.DoubleType):
         limit = 2**53
@@ -165,7 +166,7 @@ def apply_filters(df: DataFrame, filters: list) -> DataFrame:
     of such lists (any may hold). Plain predicates, so scans take them over."""
     if not filters:
         return df
-    groups = filters if isinstance(filters[0], list) else [filters]
+    groups = filters if isinstance(filters[0][0], (list, tuple)) else [filters]
     anyof = F.lit(False)
     for group in groups:
         allof = F.lit(True)

@@ -45,10 +45,8 @@ def required_columns(headers: DataFrame, schema: T.StructType) -> DataFrame:
 
     ``headers`` has one row per file and column (``path``, ``name``).
     """
-    spark = headers.sparkSession
-    names = [(f.name,) for f in schema if operation(f) == REQUIRED]
-    required = spark.createDataFrame(names, "name string")  # one row per manifest column
-    wanted = headers.select("path").distinct().crossJoin(F.broadcast(required))
+    names = F.array(*[F.lit(f.name) for f in schema if operation(f) == REQUIRED])
+    wanted = headers.select("path").distinct().withColumn("name", F.explode(names))
     return wanted.join(headers, ["path", "name"], "left_anti")
 
 

@@ -48,17 +48,17 @@ def write_parquet(df: DataFrame, target: str, **options: str) -> None:
     _fs(spark, staged)[0].delete(_fs(spark, staged.rpartition("/")[0])[1], True)
 
 
-def write_outputs(df: DataFrame, key: str, basedir: str, **options: str) -> list[str]:
-    """One dataset per value of ``key``, the path below ``basedir``.
+def write_outputs(df: DataFrame, basedir: str, **options: str) -> list[str]:
+    """One dataset per value of ``_out_key``, the path below ``basedir``.
 
     A single job writes all of them; publishing is a rename per output. Rows
     are not shuffled first: a task writes to the outputs of the files it reads.
     """
     spark = df.sparkSession
     staged = f"{basedir.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    df.withColumn(OUT_KEY, F.col(key)).drop(*([key] if key != OUT_KEY else [])).write.options(**options).partitionBy(
-        OUT_KEY
-    ).parquet(staged)
+    # Writing by output needs tasks sorted by it anyway; rows keep their order.
+    order = [OUT_KEY, *(["_index"] if "_index" in df.columns else [])]
+    df.sortWithinPartitions(*order).write.options(**options).partitionBy(OUT_KEY).parquet(staged)
     fs, root = _fs(spark, staged)
     outputs = []
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName

@@ -6,7 +6,7 @@ import datetime as dt
 import os
 import re
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -19,7 +19,7 @@ from rawlake.operators.lineage import add_lineage, path_columns
 from rawlake.operators.schema import conform, native_columns, typed_columns
 from rawlake.session import configure, materialize
 from rawlake.sources import scan as scans
-from rawlake.sources.inventory import base_name, discover
+from rawlake.sources.inventory import base_name, discover, list_files, one_glob, range_globs
 from rawlake.sources.scan import NUMBERS, Scan, TextFormat
 from rawlake.sources.templates import PathTemplate
 from rawlake.types import lineage_schema, load_manifest, output_schema, unify
@@ -37,6 +37,14 @@ def text_format(spec: dict[str, Any]) -> TextFormat:
     return make(spec.get("options"), **direct)
 
 
+@dataclass
+class Found:
+    """Files of a template; ``glob`` names exactly these, if one does."""
+
+    files: DataFrame
+    glob: str | None = None
+
+
 class Job:
     """A table to ingest.
 
@@ -88,14 +96,19 @@ class Job:
 
     # -- reading ---------------------------------------------------------------
 
-    def inventory(self, start: str | None = None, end: str | None = None, allow_empty: bool = False) -> list[DataFrame]:
+    def inventory(self, start: str | None = None, end: str | None = None, allow_empty: bool = False) -> list[Found]:
         """Inventory per template, for an inclusive key range or everything."""
         end = start if end is None else end
         found = []
         for template in self.templates:
+            globs = [template.glob()] if start is None else range_globs(template, start, end)
             files = discover(self.spark, template, start, end, creation_time=self.creation_time)
-            found.append(materialize(files.where("matched"), "inventory"))
-        if not allow_empty and all(f.isEmpty() for f in found):
+            files = materialize(files.where("matched"), "inventory")
+            # If the globs name exactly these files, scans take the globs and
+            # no list of paths has to pass through the driver.
+            exact = not template.is_zip and list_files(self.spark, globs).count() == files.count()
+            found.append(Found(files, one_glob(globs) if exact else None))
+        if not allow_empty and all(f.files.isEmpty() for f in found):
             raise FileNotFoundError(f"No raw files for table '{self.table}' in {start}..{end}")
         return found
 
@@ -104,20 +117,21 @@ class Job:
         start: str | None = None,
         end: str | None = None,
         allow_empty: bool = False,
-        inventories: list[DataFrame] | None = None,
+        inventories: list[Found] | None = None,
         keyed: bool = False,
     ) -> DataFrame:
         """Typed rows with lineage columns, in manifest order; ``keyed`` adds
         the path of the output each row belongs to."""
-        inventories = inventories or self.inventory(start, end, allow_empty)
+        if inventories is None:
+            inventories = self.inventory(start, end, allow_empty)
         target = unify(output_schema(self.schema), lineage_schema(self.metadata))
         pieces: list[tuple[Scan, ordinal.Decorate]] = []
-        for i, (files, template) in enumerate(zip(inventories, self.templates)):
-            if files.isEmpty():
+        for i, (found, template) in enumerate(zip(inventories, self.templates)):
+            if found.files.isEmpty():
                 continue
             key = self.output_path(F.col("_path"), template) if keyed else None
-            decorate = path_columns(template, self.metadata, files, self.input.get("encoding") or "utf-8", key)
-            pieces += [(scan, decorate) for scan in self._scan(files, i, decorate)]
+            decorate = path_columns(template, self.metadata, found.files, self.input.get("encoding") or "utf-8", key)
+            pieces += [(scan, decorate) for scan in self._scan(found, i, decorate)]
         if not pieces:
             return self.spark.createDataFrame([], target)
         if self._numbered():
@@ -137,10 +151,11 @@ class Job:
         functions = [f.get("func") for f in (self.metadata.get("additional_metadata") or {}).values()]
         return self.metadata.get("standard_metadata", True) or any(f in ordered.FUNCTIONS for f in functions)
 
-    def _scan(self, files: DataFrame, i: int, decorate: ordinal.Decorate) -> list[Scan]:
+    def _scan(self, found: Found, i: int, decorate: ordinal.Decorate) -> list[Scan]:
+        files, glob = found.files, found.glob
         if self.format is None:
-            return [scans.scan_parquet(self.spark, scans._paths(files), self.schema, i)]
-        return scans.scan_text(files, self.format, self.schema, i, self.input.get("extra", "raise"), decorate)
+            return [scans.scan_parquet(self.spark, [glob] if glob else scans.path_list(files), self.schema, i)]
+        return scans.scan_text(files, self.format, self.schema, i, self.input.get("extra", "raise"), decorate, glob)
 
     def _typed(self, scan: Scan, decorate: ordinal.Decorate) -> DataFrame:
         df = scan.df if scan.decorated else with_path(decorate, scan)(scan.df)
@@ -181,8 +196,8 @@ class Job:
         options = {k: str(v) for k, v in (self.output.get("writer_kwargs") or {}).items()}
         watch = Observation()
         df = df.observe(watch, F.count(F.lit(1)).alias("rows"))
-        outputs = sink.write_outputs(df, sink.OUT_KEY, self.basedir, **options)
-        return {"outputs": outputs, "files": sum(f.count() for f in files), "rows": watch.get["rows"]}
+        outputs = sink.write_outputs(df, self.basedir, **options)
+        return {"outputs": outputs, "files": sum(f.files.count() for f in files), "rows": watch.get["rows"]}
 
 
 def with_path(decorate: ordinal.Decorate, scan: Scan) -> ordinal.Decorate:
@@ -209,4 +224,4 @@ def ingest(spark: SparkSession, config: dict, table: str, start: str | None = No
     return Job(spark, config, table, **kwargs).rows(start, end)
 
 
-__all__ = ["FORMATS", "Job", "fill_template", "ingest", "text_format"]
+__all__ = ["FORMATS", "Found", "Job", "fill_template", "ingest", "text_format"]

@@ -10,10 +10,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Broadcast joins are used for a side only after it was counted; above this
-# many rows the join is left to a shuffle on keys that are bounded per group.
-MAX_BROADCAST_ROWS = 2_000_000
+# Broadcast joins are used for a side only after it was measured; above this
+# size the join is left to a shuffle on keys that are bounded per group.
+MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -94,13 +95,25 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Rough in-memory size: text by its length, other cells as 16 bytes."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    fixed = 16 * (len(df.columns) + 2)
+    nested = [
+        F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        for f in df.schema
+        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))
+    ]
+    per_row = sum([*text, *nested], F.lit(fixed)).cast("bigint")
+    return df.agg(F.sum(per_row)).first()[0] or 0
+
+
 def bounded_broadcast(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
-    """Hint ``df`` for broadcast if it has at most ``limit`` rows.
+    """Hint ``df`` for broadcast if it takes at most ``limit`` bytes.
 
     Returns the frame and whether the hint was given, so that callers can take
-    a shuffle-safe way otherwise. ``df`` should be cheap to count (a written
-    table).
+    a shuffle-safe way otherwise. ``df`` is a written table, cheap to measure.
     """
-    limit = MAX_BROADCAST_ROWS if limit is None else limit
-    small = df.limit(limit + 1).count() <= limit
+    limit = MAX_BROADCAST_BYTES if limit is None else limit
+    small = measured_bytes(df) <= limit
     return (F.broadcast(df) if small else df), small

@@ -139,7 +139,7 @@ class Scan:
         return Scan(df, self.columns, None, counts, self.decorated or decorate is not None)
 
 
-def _paths(files: DataFrame) -> list[str]:
+def path_list(files: DataFrame) -> list[str]:
     """Path list for a reader; Spark's file index holds the same list."""
     escaped = F.regexp_replace("path", r"([\[\]{}*?\\])", r"\\$1")
     return [r[0] for r in files.select(escaped).collect()]
@@ -317,11 +317,13 @@ def scan_text(
     template_ord: int = 0,
     extra: str = "raise",
     decorate: ordinal.Decorate | None = None,
+    glob: str | None = None,
 ) -> list[Scan]:
     """Text scans covering all files of ``inventory``.
 
     Checks every file's header against ``schema`` before anything is read:
-    missing required columns and unknown extra ones raise.
+    missing required columns and unknown extra ones raise. ``glob`` names the
+    same files, if there is one that does.
     """
     from rawlake.operators.schema import check_headers
 
@@ -363,13 +365,14 @@ def scan_text(
         scans += _parse_groups(lines, packed, fmt, schema, groups, False, decorate)
     if by_line:
         if not plain.isEmpty():
-            lines = text_lines(spark, _paths(plain), fmt, template_ord)
+            paths = [glob] if glob and not has_packed else path_list(plain)
+            lines = text_lines(spark, paths, fmt, template_ord)
             scans += _parse_groups(lines, plain, fmt, schema, groups, True, decorate)
         return scans
     for group in groups or []:
         _check_names(group["names"])
         members = plain.where(F.col("names") == F.array(*[F.lit(n) for n in group["names"]]))
-        paths = _paths(members)
+        paths = [glob] if glob and len(groups) == 1 and not has_packed else path_list(members)
         if paths:
             scans.append(Scan(read_plain(spark, paths, group["names"], fmt, template_ord), group["names"]))
     return scans

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rawlake.operators import sink
+from rawlake.plans.ingest import Found
 from rawlake.session import materialize
 from rawlake.sources.inventory import describe, plain_path
 
@@ -44,8 +45,8 @@ def ingest_batch(job: Any, files: DataFrame, batch_id: int, target: str, templat
     )
     found = describe(listed, job.templates[template_ord], job.creation_time).where("matched")
     inventory = materialize(found, "stream-inventory")
-    empty = inventory.limit(0)
-    inventories = [inventory if i == template_ord else empty for i in range(len(job.templates))]
+    nothing_new = inventory.limit(0)
+    inventories = [Found(inventory if i == template_ord else nothing_new) for i in range(len(job.templates))]
     rows = job.rows(inventories=inventories)
     if job.aggregate and "_index" in rows.columns:
         rows = rows.withColumn("_index", F.col("_index") + rows_before(job, target, batch_id))

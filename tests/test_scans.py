@@ -54,7 +54,7 @@ def tiny_splits(spark):
 @pytest.mark.parametrize("aggregate", [True, False])
 def test_row_numbers_survive_splits(spark, tmp_path, tiny_splits, monkeypatch, broadcast, aggregate):
     if not broadcast:
-        monkeypatch.setattr(session, "MAX_BROADCAST_ROWS", 0)
+        monkeypatch.setattr(session, "MAX_BROADCAST_BYTES", 0)
     sizes = {"20240101": 200, "20240102": 3, "20240103": 150}
     for d, n in sizes.items():
         write(tmp_path / f"f_{d}.csv", "k,s,x\n" + body(n))
@@ -70,7 +70,7 @@ def test_row_numbers_survive_splits(spark, tmp_path, tiny_splits, monkeypatch, b
 @pytest.mark.parametrize("blanks", [True, False])
 def test_line_lane_numbers(spark, tmp_path, tiny_splits, monkeypatch, broadcast, blanks):
     if not broadcast:
-        monkeypatch.setattr(session, "MAX_BROADCAST_ROWS", 0)
+        monkeypatch.setattr(session, "MAX_BROADCAST_BYTES", 0)
     gap = "\n" if blanks else ""
     for d, n in {"20240101": 120, "20240102": 2}.items():
         text = "# one\n# two\nk|s|x\n" + body(n).replace(",", "|").replace("|name 1|", f"|name 1|") + gap + "7|last|1.5\nEND\n"
