@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import bz2
 import gzip
-import io
 import lzma
 import zipfile
 from collections.abc import Iterator
@@ -17,7 +16,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawlake.session import work_path
 from rawlake.sources import remote
 
 _WRITERS = {"gzip": gzip.open, "bz2": bz2.open, "xz": lzma.open}
@@ -123,10 +121,3 @@ def csv_line(*cells: Column, sep: str = ",") -> Column:
         needs = text.rlike(rf'[\n\r"]') | text.contains(sep) | (text == "")
         out.append(F.coalesce(F.when(needs, quoted).otherwise(text), F.lit("")))
     return F.concat_ws(sep, *out)
-
-
-def fresh_root(rows: DataFrame, label: str) -> str:
-    return work_path(rows.sparkSession, label)
-
-
-__all__ = ["csv_line", "fresh_root", "io", "stage_lines"]

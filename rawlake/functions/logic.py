@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlake.functions.registry import fail, function, is_float
+from rawlake.functions.registry import function, is_float
 
 
 def _compare(op, nan_answer: bool):
@@ -130,7 +130,3 @@ def cast(value: Column, dtype: T.DataType, target_type: str, safe: bool = True)
 
     target = spark_type(target_type)
     return safe_cast(value, dtype, target) if safe else value.cast(target)
-
-
-def unsupported(name: str, why: str) -> None:
-    function(name)(lambda value, dtype, *a, **k: fail(f"{name}: {why}", dtype))

@@ -10,7 +10,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rawlake.operators.convert import FALSE_TOKENS, ISO8601, NULL_TOKENS, TIMESTAMP_FORMATS, TRUE_TOKENS
 from rawlake.functions.timeformat import to_spark_pattern
@@ -147,8 +146,4 @@ def infer_manifest(scans: list[Scan], options: dict[str, Any] | None = None) ->
     return {"schema": entries}
 
 
-def text_schema(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
 __all__ = ["TIMESTAMP_FORMATS", "column_order", "common_type", "file_types", "fold_types", "infer_manifest", "logical_type"]

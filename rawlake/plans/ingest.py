@@ -24,17 +24,15 @@ from rawlake.sources.scan import NUMBERS, Scan, TextFormat
 from rawlake.sources.templates import PathTemplate
 from rawlake.types import lineage_schema, load_manifest, output_schema, unify
 
-# Readers a job may name, and what they stand for here.
-FORMATS = ("csv", "pipe", "sectioned", "parquet")
-
-
 def text_format(spec: dict[str, Any]) -> TextFormat:
     direct = {k: spec[k] for k in ("encoding", "skipfooter") if spec.get(k) is not None}
     kind = spec.get("format", "csv")
     if kind == "sectioned":
         return TextFormat.sections(**direct)
-    make = TextFormat.pipe_preset if kind == "pipe" else TextFormat.from_options
-    return make(spec.get("options"), **direct)
+    makers = {"csv": TextFormat.from_options, "pipe": TextFormat.pipe_preset}
+    if kind not in makers:
+        raise ValueError(f"Unknown input format '{kind}'")
+    return makers[kind](spec.get("options"), **direct)
 
 
 @dataclass
@@ -224,4 +222,4 @@ def ingest(spark: SparkSession, config: dict, table: str, start: str | None = No
     return Job(spark, config, table, **kwargs).rows(start, end)
 
 
-__all__ = ["FORMATS", "Found", "Job", "fill_template", "ingest", "text_format"]
+__all__ = ["Found", "Job", "fill_template", "ingest", "text_format"]

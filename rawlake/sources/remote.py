@@ -68,6 +68,8 @@ def open_decoded(path: str) -> tuple[io.BufferedIOBase, str | None]:
 
 def lines(path: str, encoding: str = "utf-8") -> Iterator[str]:
     """Text lines without their ends, decoded while streaming."""
+    if encoding.lower() in ("utf-8", "utf8"):
+        encoding = "utf-8-sig"  # a byte order mark is no data
     stream, _ = open_decoded(path)
     with io.TextIOWrapper(stream, encoding=encoding, newline=None) as text:
         for line in text:

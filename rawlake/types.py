@@ -87,6 +87,20 @@ def spark_type(text: str) -> T.DataType:
     return parse_type(text)[0]
 
 
+def type_name(dtype: T.DataType) -> str:
+    """Manifest type string of a Spark type; what has none is text."""
+    if isinstance(dtype, T.IntegralType):
+        return "int64"
+    if isinstance(dtype, (T.FractionalType, T.DecimalType)):
+        return "double"
+    if isinstance(dtype, T.TimestampType):
+        return "timestamp[us, tz=UTC]"
+    if isinstance(dtype, T.ArrayType):
+        return f"list<{type_name(dtype.elementType)}>"
+    names = {T.DateType: "date32", T.BooleanType: "bool", T.TimestampNTZType: "timestamp[us]"}
+    return names.get(type(dtype), "string")
+
+
 def load_manifest(spark: SparkSession, source: str | dict) -> T.StructType:
     """Manifest (dict, JSON text or path) to ``StructType``.
 

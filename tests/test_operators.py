@@ -194,3 +194,23 @@ def test_filters(spark):
     df = spark.range(10).toDF("k")
     assert columns.apply_filters(df, [["k", ">", 3], ["k", "not in", [5, 6]]]).count() == 4
     assert columns.apply_filters(df, [[["k", "<", 2]], [["k", "==", 9]]]).count() == 3
+
+
+def test_bootstrap_manifest(spark, tmp_path):
+    from rawlake.plans.bootstrap import infer_table
+
+    _stage(spark, f"{tmp_path}/raw", ["20240101", "20240102", "20240103"])
+    settings = config([f"{tmp_path}/raw/f_{{YYYYMMDD}}.csv"], {})
+    manifest = infer_table(spark, settings, "t", sample=2, path=f"{tmp_path}/m/t.json")
+    assert [(c["name"], c["type"]) for c in manifest["schema"].values()] == [("k", "int64"), ("day", "int64")]
+    settings["manifest"] = {"file_template": f"{tmp_path}/m/{{table}}.json"}
+    assert Job(spark, settings, "t").rows().count() == 30
+    spark.range(3).selectExpr("id k", "cast(id as float) x", "array(id) l").write.parquet(f"{tmp_path}/p_20240101.parquet")
+    settings = config([f"{tmp_path}/p_{{YYYYMMDD}}.parquet/*.parquet"], {}, {"format": "parquet"})
+    assert [c["type"] for c in infer_table(spark, settings, "t")["schema"].values()] == ["int64", "double", "list<int64>"]
+
+
+def test_byte_order_mark(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "f_20240101.csv").write_bytes(b"\xef\xbb\xbfk,day\n1,x\n")
+    assert [(r["k"], r["day"]) for r in _job(spark, tmp_path).rows().collect()] == [(1, "x")]
