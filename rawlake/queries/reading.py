@@ -358,13 +358,13 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
     return Job(spark, settings, "t").rows().select(*SUPPLIER_TYPES, "_source_file", "_index")
 
 
-@query("scan_encoding", "SELECT doc_id, lang, md5(word) AS digest FROM (SELECT doc_id, lang, regexp_replace(substr(text, 1, 200), '[^a-zA-Zàâçéèêëîïôûùüÿñäöüßáíóú ]', '', 'g') AS word FROM documents)")
+@query("scan_encoding", "SELECT doc_id, lang, md5(word) AS digest FROM (SELECT doc_id, lang, regexp_replace(text, '[^a-zA-Zàâçéèêëîïôûùüÿñäöüßáíóú ]', '', 'g') AS word FROM documents)")
 def scan_encoding(spark: SparkSession, sf: str) -> DataFrame:
     """Latin-1 text, by the CSV source and line-wise."""
     letters = "[^a-zA-Zàâçéèêëîïôûùüÿñäöüßáíóú ]"
 
     def write(root: str) -> None:
-        word = F.regexp_replace(F.substring("text", 1, 200), letters, "")
+        word = F.regexp_replace("text", letters, "")
         path = F.concat(F.lit("words_"), F.lpad((F.col("doc_id") % 6 + 1).cast("string"), 2, "0"), F.lit(".csv"))
         line = csv_line(text("doc_id"), F.col("lang"), word)
         stage_lines(table(spark, sf, "documents"), root, path, line, [F.col("doc_id")], F.lit("doc_id,lang,word"), encoding="latin-1")
