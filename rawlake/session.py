@@ -43,14 +43,14 @@ def configure(spark: SparkSession) -> SparkSession:
         spark.conf.set(
             "spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism)
         )
-    _ship_package(spark)
+    ship_package(spark)
     return spark
 
 
 _SHIPPED: set[str] = set()
 
 
-def _ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor."""
     from rawlake.sources import remote
 
