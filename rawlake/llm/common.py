@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -122,11 +120,17 @@ def document_key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col), F.xxhash64(F.col(text_col)).alias("_thash")]
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, and whole rows in one, so that no name of ``docs`` can clash with another."""
+    return docs.select(F.struct("*").alias("_row"), *[F.col(f"`{c}`") for c in columns])
+
+
+def unpacked(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The columns ``names`` of the rows packed in ``df``, some of them changed."""
+    return df.select(*[(changed[n] if n in changed else F.col("_row").getField(n)).alias(n) for n in names])
 
 
 __all__ = [
     "binary", "document_key", "hash_words", "join_counted", "letter_words", "lowered", "materialize", "mixed", "prepare",
-    "rolling", "sha256_hex", "small", "space_words",
+    "packed", "rolling", "small", "space_words", "unpacked",
 ]

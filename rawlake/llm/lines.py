@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawlake.llm.common import document_key, join_counted, materialize, prepare
+from rawlake.llm.common import document_key, join_counted, materialize, packed, prepare, unpacked
 
 SIZE = 3  # lines in a window
 
@@ -37,14 +37,16 @@ def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     empty or null before stays. The characters of a changed text are counted anew
     in ``length_col``, if there is such a column.
     """
-    marked = _marked(docs, _later(docs, id_col, text_col, size), id_col, text_col, size)
+    rows = packed(docs, id_col, text_col)
+    marked = _marked(rows, _later(docs, id_col, text_col, size), id_col, text_col, size)
     kept, n_lines, n_removed = _kept()
     some = n_removed > 0
-    out = marked.filter((n_removed == 0) | (n_removed < n_lines)).withColumn(text_col, F.when(some, kept).otherwise(F.col(text_col)))
+    out = marked.filter((n_removed == 0) | (n_removed < n_lines)).withColumn("_kept", F.when(some, kept).otherwise(F.col(text_col)))
+    changed = {text_col: F.col("_kept")}
     if length_col in docs.columns:
-        kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(some, F.char_length(text_col).cast(kind)).otherwise(F.col(length_col)))
-    return out.select(docs.columns)
+        length = F.char_length("_kept").cast(docs.schema[length_col].dataType)
+        changed[length_col] = F.when(some, length).otherwise(F.col("_row").getField(length_col))
+    return unpacked(out, docs.columns, **changed)
 
 
 def _lines(text: str) -> Column:

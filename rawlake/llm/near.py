@@ -114,6 +114,8 @@ def _links(prints: DataFrame) -> DataFrame:
         found = linked if found is None else found.unionByName(linked)
         if counts.filter(~fits).isEmpty():
             return found
+        # With ten free bits or fewer all values under a mask fit, so there are at
+        # most five rounds and ten thousand masks, whatever the documents.
         pairs = [(_signed(m), _signed(f)) for m in masks for f in finer(m)]
         steps = F.broadcast(spark.createDataFrame(pairs, "mask bigint, next bigint"))
         masks = sorted({f for m in masks for f in finer(m)})
