@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against plain Python over the same input."""
 
+import hashlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -10,7 +11,7 @@ import corpus_pipeline
 from oracle import compare, duck
 from rawlake.llm import classifier, queries
 from rawlake.session import materialize
-from test_corpus import brute_hits, brute_lines, brute_simhash, brute_targets, words
+from test_corpus import brute_base, brute_chat, brute_hits, brute_lines, brute_places, brute_simhash, brute_targets, words
 
 
 @pytest.fixture(scope="module")
@@ -124,6 +125,32 @@ def test_oracles(spark, sf, name):
     assert compare(spark, duck(sf), sf, name, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
+def test_personal_data_query(spark, sf):
+    texts = {r.doc_id: r.text for r in queries.table(spark, sf, "documents").collect()}
+    for r in entry.queries()["op9_personal_data"](spark, sf).collect():
+        want = brute_base(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(w[0] == k for w in want) for k in ("email", "ip", "card", "phone")]
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and r.spans.startswith(joined)
+
+
+def test_license_query(spark, sf):
+    texts = {r.doc_id: r.text for r in queries.table(spark, sf, "documents").collect()}
+    found = 0
+    for r in entry.queries()["op7_license_scan"](spark, sf).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_places(texts[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        found += r.n_base
+    assert found
+
+
+def test_chat_query(spark, sf):
+    rows = [tuple(r) for r in queries.table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-1, k, r, "</s>[INST] ok [/INST]") for k, r in enumerate(("user", "assistant"))]
+    out = entry.queries()["op8_chat_windows"](spark, sf).drop("formatted_chars").collect()
+    assert sorted(map(tuple, out)) == sorted(brute_chat(rows))
+
+
 def test_queries_are_registered():
     names = entry.queries()
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} and set(queries.QUERIES) < set(names) and "pipeline" in names
