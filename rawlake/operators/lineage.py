@@ -60,7 +60,8 @@ def name_time(parts: dict[str, Column], tz: str = "UTC") -> Column:
         parts["YYYY"].cast("int"), parts["MM"].cast("int"), number("DD", 1),
         number("hh", 0), number("mm", 0), seconds.cast("decimal(8,6)"),
     )
-    return to_instant(local, tz)
+    missing = F.raise_error(F.lit("A path without a year gives no knowledge time")).cast("timestamp_ntz")
+    return to_instant(F.when(parts["YYYY"].isNotNull(), local).otherwise(missing), tz)
 
 
 def to_instant(local: Column, tz: str) -> Column:

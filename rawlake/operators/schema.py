@@ -51,17 +51,21 @@ def required_columns(headers: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def typed_columns(
-    columns: list[str], schema: T.StructType, options: dict[str, Any] | None = None
+    columns: list[str], schema: T.StructType, options: dict[str, Any] | None = None, sparse: bool = False
 ) -> list[Column]:
     """Output columns from text cells: typed, in manifest order.
 
-    Optional columns the source lacks become typed nulls; a null in a column
+    Optional columns the source lacks become typed nulls; with ``sparse``, so do
+    null cells of optional columns, as rows of some files lack them; a null in a column
     declared not null raises.
     """
     out = []
     for field in output_schema(schema):
         if field.name in columns:
-            value = convert(F.col(f"`{field.name}`"), field, options)
+            cell = F.col(f"`{field.name}`")
+            value = convert(cell, field, options)
+            if sparse and operation(field) == OPTIONAL:
+                value = F.when(cell.isNotNull(), value)
         elif operation(field) == OPTIONAL:
             value = F.lit(None).cast(field.dataType)
         else:

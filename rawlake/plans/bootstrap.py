@@ -1,4 +1,4 @@
-"""A first manifest for a table, inferred from a sample of its raw files."""
+"""A first manifest for a table, inferred from its raw files."""
 
 from __future__ import annotations
 
@@ -17,22 +17,20 @@ from rawlake.sources.inventory import discover_many, sample_files
 from rawlake.sources.templates import PathTemplate
 from rawlake.types import REQUIRED, type_name
 
-SAMPLE_FILES = 20
-
 
 def infer_table(
     spark: SparkSession, config: dict[str, Any], table: str, sample: int | None = None, seed: int = 0, path: str | None = None
 ) -> dict[str, Any]:
     """Infer the manifest of a table from files of all its templates.
 
-    ``sample`` files are read (all, if there are no more), whole; it defaults
-    to the manifest's ``auto_detect_sample_size``. With ``path`` the manifest
+    All files are read, whole, unless ``sample`` or the manifest's
+    ``auto_detect_sample_size`` asks for so many random ones. With ``path`` the manifest
     is also written there as JSON.
     """
     configure(spark)
     spec = config.get("input", {})
     if sample is None:
-        sample = config.get("manifest", {}).get("auto_detect_sample_size", SAMPLE_FILES)
+        sample = config.get("manifest", {}).get("auto_detect_sample_size")
     templates = [
         PathTemplate(t, None, config.get("extract_vars"), spec.get("file_type", "date")) for t in config["tables"][table]["raw_files"]
     ]

@@ -160,7 +160,7 @@ class Job:
         if self.format is None:
             values = native_columns(scan.columns, self.schema)
         else:
-            values = typed_columns(scan.columns, self.schema, self.format.convert)
+            values = typed_columns(scan.columns, self.schema, self.format.convert, scan.sparse)
         carried = [c for c in df.columns if c.startswith("_") and c not in scan.columns]
         df = df.select(*values, *carried)
         if self._numbered():

@@ -148,15 +148,20 @@ def calendar(spark: SparkSession, start: str, end: str, file_type: str = "date")
 
 def in_range(inventory: DataFrame, start: str, end: str, file_type: str = "date") -> DataFrame:
     """Keep files whose key lies in an inclusive range."""
-    keys = calendar(inventory.sparkSession, start, end, file_type)
     if file_type not in ("date", "month"):
+        if int(start) > int(end):
+            raise ValueError(f"Range start {start} is after its end {end}")
         # Keys compare as numbers, so '007' is the same delta as '7'.
-        return inventory.join(keys, inventory["d"].cast("bigint") == keys["d"].cast("bigint"), "left_semi")
+        return inventory.where(F.col("d").try_cast("bigint").between(int(start), int(end)))
+    keys = calendar(inventory.sparkSession, start, end, file_type)
     return inventory.join(keys, "d", "left_semi")
 
 
 def range_globs(template: PathTemplate, start: str, end: str) -> list[str]:
-    """One glob per key of the range, so that listing skips all other folders."""
+    """Globs of a range: one per day or month, so that listing skips other folders.
+
+    Numbers can be padded to any width, so they are listed all and filtered after.
+    """
     globs: dict[str, None] = {}
     if template.file_type in ("date", "month"):
         tail = "" if template.file_type == "date" else "01"
@@ -173,9 +178,7 @@ def range_globs(template: PathTemplate, start: str, end: str) -> list[str]:
             else:
                 day = (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
         return list(globs)
-    for delta in range(int(start), int(end) + 1):
-        globs[template.glob({"delta": str(delta)})] = None
-    return list(globs)
+    return [template.glob()]
 
 
 def discover(

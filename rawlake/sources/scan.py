@@ -114,7 +114,8 @@ class Scan:
 
     ``order`` names the column that holds the line number when rows no longer
     come in scan order. ``counts`` has the rows of every split once the rows
-    are numbered. ``decorated`` tells that path-derived columns are there.
+    are numbered. ``decorated`` tells that path-derived columns are there,
+    ``sparse`` that a null cell means a column which the row's file lacks.
     """
 
     df: DataFrame
@@ -122,6 +123,7 @@ class Scan:
     order: str | None = None
     counts: DataFrame | None = None
     decorated: bool = False
+    sparse: bool = False
 
     def number(self, decorate: ordinal.Decorate | None = None) -> Scan:
         """Add the row number within the file and within the scan.
@@ -303,8 +305,10 @@ def parse_mixed(scan: Scan, wanted: list[str], fmt: TextFormat, widths: list[int
         cells = F.when(F.size("names") == width, parsed).otherwise(cells)
     df = scan.df.withColumn("_cells", F.map_from_arrays("names", cells))
     tags = [c for c in scan.df.columns if c not in ("value", "names")]
-    picked = [F.try_element_at("_cells", F.lit(n)).alias(n) for n in wanted]
-    return Scan(df.select(*picked, *tags), wanted, scan.order, scan.counts, scan.decorated)
+    picked = [
+        F.when(F.array_contains("names", n), F.coalesce(F.try_element_at("_cells", F.lit(n)), F.lit(""))).alias(n) for n in wanted
+    ]
+    return Scan(df.select(*picked, *tags), wanted, scan.order, scan.counts, scan.decorated, sparse=True)
 
 
 # -- choosing ----------------------------------------------------------------
@@ -389,7 +393,8 @@ def _parse_groups(
         _check_names(groups[0]["names"])
         return [parse_lines(scan, groups[0]["names"], fmt)]
     widths = sorted(r[0] for r in peeked.select(F.size("names")).distinct().collect())
-    wanted = [f.name for f in schema]
+    # Without a schema, all columns that any header names.
+    wanted = [f.name for f in schema] or sorted(r[0] for r in peeked.select(F.explode("names")).distinct().collect())
     return [parse_mixed(scan, wanted, fmt, widths)]
 
 
@@ -423,7 +428,7 @@ def _widens(have: T.DataType, want: T.DataType) -> bool:
     if isinstance(want, T.LongType):
         return isinstance(have, (T.ByteType, T.ShortType, T.IntegerType))
     if isinstance(want, T.DoubleType):
-        return isinstance(have, (T.FloatType, T.DecimalType))
+        return isinstance(have, T.FloatType)
     if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
         return have.elementType == want.elementType or _widens(have.elementType, want.elementType)
     return False

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rawlake.operators import sink
 from rawlake.plans.ingest import Found
 from rawlake.session import materialize
-from rawlake.sources.inventory import describe, plain_path
+from rawlake.sources.inventory import describe, plain_path, zip_members
 
 _FILE_STREAM = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -43,8 +43,10 @@ def ingest_batch(job: Any, files: DataFrame, batch_id: int, target: str, templat
         F.col("length").alias("file_size"),
         *[F.lit(None).cast(t).alias(n) for n, t in nothing.items()],
     )
-    found = describe(listed, job.templates[template_ord], job.creation_time).where("matched")
-    inventory = materialize(found, "stream-inventory")
+    template = job.templates[template_ord]
+    if template.is_zip:
+        listed = zip_members(listed, template.regexes()[1])
+    inventory = materialize(describe(listed, template, job.creation_time).where("matched"), "stream-inventory")
     nothing_new = inventory.limit(0)
     inventories = [Found(inventory if i == template_ord else nothing_new) for i in range(len(job.templates))]
     rows = job.rows(inventories=inventories)
