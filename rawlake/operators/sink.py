@@ -17,6 +17,11 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
 def publish(spark: SparkSession, staged: str, target: str) -> None:
     """Move a finished dataset to its place, replacing what is there.
 
@@ -73,6 +78,13 @@ def write_outputs(df: DataFrame, basedir: str, **options: str) -> list[str]:
     return sorted(outputs)
 
 
+def write_empty(df: DataFrame, targets: list[str], **options: str) -> None:
+    """Datasets without rows, with the columns of ``df``, one per target."""
+    spark = df.sparkSession
+    for target in targets:
+        write_parquet(spark.createDataFrame([], df.schema), target, **options)
+
+
 def checksums(spark: SparkSession, globs: list[str]) -> DataFrame:
     """MD5 of every part file below the globs, computed where they lie."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(globs)

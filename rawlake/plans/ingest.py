@@ -152,7 +152,8 @@ class Job:
     def _scan(self, found: Found, i: int, decorate: ordinal.Decorate) -> list[Scan]:
         files, glob = found.files, found.glob
         if self.format is None:
-            return [scans.scan_parquet(self.spark, [glob] if glob else scans.path_list(files), self.schema, i)]
+            paths = [glob] if glob else scans.path_list(files)
+            return [scans.scan_parquet(files, paths, self.schema, i, self.input.get("extra", "raise"))]
         return scans.scan_text(files, self.format, self.schema, i, self.input.get("extra", "raise"), decorate, glob)
 
     def _typed(self, scan: Scan, decorate: ordinal.Decorate) -> DataFrame:
@@ -186,18 +187,44 @@ class Job:
 
     def write(self, start: str | None = None, end: str | None = None, allow_empty: bool = False) -> dict[str, Any]:
         """Ingest a key range: one output per raw file or, in aggregate mode,
-        one per distinct output path."""
+        one per distinct output path. A file without rows gives an empty output
+        (Spark lists no files of no bytes, so those give none);
+        two files with one output path raise, unless in aggregate mode."""
         files = self.inventory(start, end, allow_empty)
+        expected = self._outputs(files)
         df = self.rows(start, end, allow_empty, files, keyed=True)
-        if sink.OUT_KEY not in df.columns:
-            return {"outputs": [], "files": 0, "rows": 0}
         options = {k: str(v) for k, v in (self.output.get("writer_kwargs") or {}).items()}
+        if sink.OUT_KEY not in df.columns:  # no file has as much as a header
+            empty = self._write_empty(df, expected, [], options)
+            return {"outputs": empty, "files": sum(f.files.count() for f in files), "rows": 0}
         watch = Observation()
         df = df.observe(watch, F.count(F.lit(1)).alias("rows"))
         outputs = sink.write_outputs(df, self.basedir, **options)
+        outputs = sorted(outputs + self._write_empty(df.drop(sink.OUT_KEY), expected, outputs, options))
         return {"outputs": outputs, "files": sum(f.files.count() for f in files), "rows": watch.get["rows"]}
 
 
+    def _outputs(self, found: list[Found]) -> DataFrame:
+        """Output paths of all files, as a written table of ``target``."""
+        pieces = [f.files.select("path", self.output_path(F.col("path"), t).alias("target")) for f, t in zip(found, self.templates)]
+        targets = materialize(scans.union_scans(pieces), "targets")
+        if not self.aggregate:
+            paths = targets.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("a"), F.max("path").alias("b"))
+            shared = paths.where("n > 1").orderBy("target").first()
+            if shared is not None:
+                raise ValueError(f"Files '{shared['a']}' and '{shared['b']}' have the same output '{shared['target']}'")
+        return targets.select("target").distinct()
+
+    def _write_empty(self, df: DataFrame, expected: DataFrame, written: list[str], options: dict[str, str]) -> list[str]:
+        """Empty outputs for the expected paths that got no rows."""
+        base = self.basedir.rstrip("/")
+        done = self.spark.createDataFrame([(p,) for p in written], "target string")
+        full = expected.select(F.concat(F.lit(f"{base}/"), "target").alias("target"))
+        empty = [r[0] for r in full.join(done, "target", "left_anti").orderBy("target").collect()]
+        sink.write_empty(df, empty, **options)
+        return empty
+
+
 def with_path(decorate: ordinal.Decorate, scan: Scan) -> ordinal.Decorate:
     """``decorate`` for frames of a scan, which know the path as scanned."""
     return lambda df: decorate(scans.with_path(df, encoded=scan.order is None))

@@ -134,6 +134,48 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.read_target(job, target).select(*_COLUMNS)
 
 
+@query(
+    "incremental_templates",
+    """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN 'even_' ELSE 'odd_' END || strftime(o_orderdate, '%Y%m') || '01.csv' AS _source_file,
+              row_number() OVER (PARTITION BY o_orderkey % 2, strftime(o_orderdate, '%Y%m') ORDER BY o_orderkey) - 1 AS _index FROM orders""",
+)
+def incremental_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """Two templates of a table, each with its own stream, into one target."""
+
+    def write(root: str) -> None:
+        name = F.when(F.col("o_orderkey") % 2 == 0, "even_").otherwise("odd_")
+        path = F.concat(name, F.date_format("o_orderdate", "yyyyMM01"), F.lit(".csv"))
+        line = csv_line(text("o_orderkey"), text("o_totalprice"))
+        stage_lines(table(spark, sf, "orders"), root, path, line, [F.col("o_orderkey")], F.lit("o_orderkey,o_totalprice"))
+
+    root = once(spark, sf, "orders-parity", write)
+    types = {"o_orderkey": "int64", "o_totalprice": "double"}
+    job = Job(spark, config([f"{root}/{n}_{{YYYYMMDD}}.csv" for n in ("even", "odd")], types, metadata={}), "t", creation_time=RUN)
+    target = work_path(spark, "stream-target")
+    for i in range(2):
+        incremental.start(job, target, work_path(spark, "stream-state"), i).awaitTermination()
+    return incremental.read_target(job, target).select(*types, "_source_file", "_index")
+
+
+@query(
+    "per_file_empty",
+    """SELECT strftime(o_orderdate, '%Y%m') || '01.t.parq' AS output, count_if(month(o_orderdate) % 4 <> 0) AS rows FROM orders GROUP BY 1""",
+)
+def per_file_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """Every file has an output, also those with a header and blank lines only."""
+
+    def write(root: str) -> None:
+        line = F.when(F.month("o_orderdate") % 4 == 0, "").otherwise(csv_line(text("o_orderkey"), text("o_totalprice")))
+        stage_lines(table(spark, sf, "orders"), root, month_path(), line, [F.col("o_orderkey")], F.lit("o_orderkey,o_totalprice"))
+
+    root = once(spark, sf, "orders-gaps", write)
+    types = {"o_orderkey": "int64", "o_totalprice": "double"}
+    job = Job(spark, config([f"{root}/{MONTHLY}"], types, basedir=work_path(spark, "lake"), file_template="{YYYYMMDD}.{table}.parq"), "t")
+    outputs = [(path.rsplit("/", 1)[1],) for path in job.write()["outputs"]]
+    counts = _read_outputs(spark, job.basedir, "/*.parq").groupBy("output").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.createDataFrame(outputs, "output string").join(counts, "output", "left").select("output", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 @query(
     "custom_transform",
     """SELECT event_id, value * 2 AS value, upper(event_type) AS event_type, _index FROM (

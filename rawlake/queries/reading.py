@@ -115,6 +115,75 @@ def scan_csv_newlines(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("chars"), "lang", "n_chars")
 
 
+def _documents_behind_preamble(spark: SparkSession, sf: str, label: str, cell: Column, encoding: str, parse: dict) -> DataFrame:
+    """Whole documents as quoted cells behind one line of preamble."""
+
+    def write(root: str) -> None:
+        path = F.concat(F.lit("docs_"), F.lpad((F.col("doc_id") % 8 + 1).cast("string"), 2, "0"), F.lit(".csv"))
+        line = F.concat_ws(",", text("doc_id"), F.concat(F.lit('"'), cell, F.lit('"')))
+        stage_lines(table(spark, sf, "documents"), root, path, line, [F.col("doc_id")], F.lit("made by hand\ndoc_id,text"), encoding=encoding)
+
+    root = once(spark, sf, label, write)
+    options = {"read_options": {"skip_rows": 1}, "parse_options": {"newlines_in_values": True, **parse}}
+    types = {"doc_id": "int64", "text": "string"}
+    docs = ingest(spark, config([f"{root}/docs_{{MM}}.csv"], types, {"options": options, "encoding": encoding}), "t")
+    return docs.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("chars"))
+
+
+@query("scan_csv_escaped", "SELECT doc_id, md5(text) AS digest, length(text) AS chars FROM documents")
+def scan_csv_escaped(spark: SparkSession, sf: str) -> DataFrame:
+    """Quotes behind a backslash do not end a cell, nor join records."""
+    cell = F.replace("text", F.lit('"'), F.lit('\\"'))
+    return _documents_behind_preamble(spark, sf, "documents-escaped", cell, "utf-8", {"escape_char": "\\", "double_quote": False})
+
+
+@query("scan_utf16_lines", "SELECT doc_id, md5(text) AS digest, length(text) AS chars FROM documents")
+def scan_utf16_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line ends of two bytes."""
+    cell = F.replace("text", F.lit('"'), F.lit('""'))
+    return _documents_behind_preamble(spark, sf, "documents-utf16", cell, "utf-16-le", {})
+
+
+@query(
+    "optional_columns_lines",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice FROM orders""",
+)
+def optional_columns_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Two headers behind a preamble, with a trailer: what a file lacks is null."""
+
+    def write(root: str) -> None:
+        even = F.col("o_orderkey") % 2 == 0
+        path = F.when(even, "orders_01.csv").otherwise("orders_02.csv")
+        line = F.when(even, csv_line(text("o_orderkey"), F.col("o_orderpriority"), text("o_totalprice"))).otherwise(text("o_orderkey"))
+        head = F.concat(F.lit("made by hand\n"), F.when(even, "o_orderkey,o_orderpriority,o_totalprice").otherwise("o_orderkey"))
+        stage_lines(table(spark, sf, "orders"), root, path, line, [F.col("o_orderkey")], head, F.lit("end"))
+
+    root = once(spark, sf, "orders-two-headers", write)
+    types = {"o_orderkey": "int64", "o_orderpriority": "string", "o_totalprice": "double"}
+    operations = {n: "source_optional" for n in ("o_orderpriority", "o_totalprice")}
+    lines = {"options": {"read_options": {"skip_rows": 1}}, "skipfooter": 1}
+    return ingest(spark, config([f"{root}/orders_{{MM}}.csv"], types, lines, operations=operations), "t")
+
+
+@query(
+    "scan_parquet_mixed",
+    "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS o_custkey FROM orders",
+)
+def scan_parquet_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with their columns in another order, and without an optional one."""
+
+    def write(root: str) -> None:
+        orders, even = table(spark, sf, "orders"), F.col("o_orderkey") % 2 == 0
+        orders.where(even).select("o_orderkey", "o_custkey", "o_totalprice").write.parquet(f"{root}/orders_20240101.parquet")
+        orders.where(~even).select("o_totalprice", "o_orderkey").write.parquet(f"{root}/orders_20240102.parquet")
+
+    root = once(spark, sf, "orders-mixed", write)
+    types = {"o_orderkey": "int64", "o_totalprice": "double", "o_custkey": "int64"}
+    settings = config([f"{root}/orders_{{YYYYMMDD}}.parquet/*.parquet"], types, {"format": "parquet"}, operations={"o_custkey": "source_optional"})
+    return ingest(spark, settings, "t")
+
+
 # -- conversion -------------------------------------------------------------------------
 
 
@@ -400,5 +469,5 @@ def filter_pushdown(spark: SparkSession, sf: str) -> DataFrame:
         [["l_quantity", ">=", 25.0], ["l_returnflag", "in", ["A", "N"]]],
         [["l_partkey", "<", 50], ["l_returnflag", "!=", "N"]],
     ]
-    settings = config([f"{sf}/lineitem.parquet"], types, {"format": "parquet", "filters": filters})
+    settings = config([f"{sf}/lineitem.parquet"], types, {"format": "parquet", "filters": filters, "extra": "drop"})
     return ingest(spark, settings, "t").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")

@@ -26,25 +26,12 @@ LINES_SCHEMA = (
 )
 
 
-def _records(lines: Iterator[str], quote: str) -> Iterator[str]:
-    """Join physical lines while a quoted cell is open."""
-    pending: list[str] = []
-    quotes = 0
-    for line in lines:
-        pending.append(line)
-        quotes += line.count(quote)
-        if quotes % 2 == 0:
-            yield "\n".join(pending)
-            pending, quotes = [], 0
-    if pending:
-        yield "\n".join(pending)
-
-
 def unpack_lines(
     inventory: DataFrame,
     template_ord: int = 0,
     encoding: str = "utf-8",
     join_quoted: str | None = None,
+    escape: str | None = None,
 ) -> DataFrame:
     """Numbered lines of all files of ``inventory``, as a written table.
 
@@ -59,7 +46,7 @@ def unpack_lines(
     def one(row: dict) -> Iterator[pa.RecordBatch]:
         lines = remote.lines(row["path"], encoding)
         if join_quoted:
-            lines = _records(lines, join_quoted)
+            lines = remote.records(lines, join_quoted, escape)
         start, held = 0, []
         for line in lines:
             held.append(line)

@@ -58,9 +58,11 @@ def peek(
     encoding: str = "utf-8",
     sectioned: bool = False,
     keep: int = 0,
+    joined: bool = False,
+    escape: str | None = None,
 ) -> DataFrame:
     """Per file: codec, the first ``keep`` lines, header names, and the line
-    number at which data begins."""
+    number at which data begins. With ``joined`` a line is a whole CSV record."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -76,7 +78,8 @@ def peek(
         head: list[str] = []
 
         def kept() -> Iterator[str]:
-            for line in remote.lines(path, encoding):
+            physical = remote.lines(path, encoding)
+            for line in remote.records(physical, quote, escape) if joined and quote else physical:
                 if len(head) < keep:
                     head.append(line)
                 yield line
@@ -87,7 +90,7 @@ def peek(
         elif has_header:
             for at, line in enumerate(stream_lines):
                 if at >= skip and line:
-                    names, start = remote.csv_cells(line, delimiter, quote), at + 1
+                    names, start = remote.csv_cells(line, delimiter, quote, escape), at + 1
                     break
         while len(head) < keep and next(stream_lines, None) is not None:
             pass

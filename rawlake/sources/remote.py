@@ -7,6 +7,7 @@ import csv
 import gzip
 import io
 import lzma
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -76,6 +77,27 @@ def lines(path: str, encoding: str = "utf-8") -> Iterator[str]:
             yield line.removesuffix("\n")
 
 
-def csv_cells(line: str, delimiter: str = ",", quote: str | None = '"') -> list[str]:
+def records(physical: Iterator[str], quote: str, escape: str | None = None) -> Iterator[str]:
+    """Join physical lines while a quoted cell is open.
+
+    An escape character hides the one behind it; doubled quotes close and open again.
+    """
+    marks = re.compile(f"{re.escape(escape)}.|{re.escape(quote)}" if escape and escape != quote else re.escape(quote), re.S)
+    pending: list[str] = []
+    opened = False
+    for line in physical:
+        pending.append(line)
+        if sum(mark == quote for mark in marks.findall(line)) % 2:
+            opened = not opened
+        if not opened:
+            yield "\n".join(pending)
+            pending = []
+    if pending:
+        yield "\n".join(pending)
+
+
+def csv_cells(line: str, delimiter: str = ",", quote: str | None = '"', escape: str | None = None) -> list[str]:
     style = {"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE}
-    return next(csv.reader([line], delimiter=delimiter, **style), [])
+    if escape:
+        style["escapechar"] = escape
+    return next(csv.reader(io.StringIO(line, newline=""), delimiter=delimiter, **style), [])

@@ -11,18 +11,22 @@ Three ways to read, chosen per file:
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from copy import deepcopy
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
+import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rawlake.operators import ordinal
 from rawlake.session import materialize
-from rawlake.sources import archive, heads
+from rawlake.sources import archive, heads, remote
 from rawlake.sources.inventory import decoded_path
 
 # More distinct headers than this are resolved row by row instead of one scan
@@ -95,6 +99,11 @@ class TextFormat:
     def utf8(self) -> bool:
         return self.encoding.lower().replace("_", "-") in ("utf-8", "utf8")
 
+    @property
+    def wide(self) -> bool:
+        """Whether a line end is more than one byte, which no byte splitter finds."""
+        return self.encoding.lower().replace("_", "-").startswith(("utf-16", "utf16", "utf-32", "utf32"))
+
     def csv_options(self) -> dict[str, str]:
         quote = self.quote_char or "\u0000"
         escape = self.escape_char or (quote if self.double_quote else "\u0000")
@@ -336,6 +345,7 @@ def scan_text(
         inventory, fmt.skip_rows, fmt.skip_rows_after_names, fmt.has_header,
         fmt.delimiter, fmt.quote_char, fmt.encoding, fmt.sectioned,
         keep=fmt.skip_rows + 1 if fmt.autogenerate_column_names else 0,
+        joined=fmt.newlines_in_values, escape=fmt.escape_char,
     )
     if fmt.column_names:
         peeked = peeked.withColumn("names", F.array(*[F.lit(n) for n in fmt.column_names]))
@@ -359,13 +369,13 @@ def scan_text(
         return []
     if groups is None and fmt.newlines_in_values:
         packed, has_packed, plain = peeked, True, peeked.limit(0)
-    elif fmt.by_line and fmt.newlines_in_values:
+    elif fmt.by_line and (fmt.newlines_in_values or fmt.wide):
         packed, has_packed, plain = peeked, True, peeked.limit(0)
 
     if has_packed:
         chosen = inventory.join(packed.select("path"), "path", "left_semi")
         quote = fmt.quote_char if fmt.newlines_in_values else None
-        lines = archive.unpack_lines(chosen, template_ord, fmt.encoding, quote)
+        lines = archive.unpack_lines(chosen, template_ord, fmt.encoding, quote, fmt.escape_char)
         scans += _parse_groups(lines, packed, fmt, schema, groups, False, decorate)
     if by_line:
         if not plain.isEmpty():
@@ -405,20 +415,48 @@ def union_scans(scans: list[DataFrame]) -> DataFrame:
 # -- Parquet -----------------------------------------------------------------
 
 
-def scan_parquet(spark: SparkSession, paths: list[str], schema: T.StructType, template_ord: int = 0) -> Scan:
-    """Parquet scan; every manifest column must exist with its type."""
-    from rawlake.types import OPTIONAL, operation
-
-    raw = spark.read.parquet(*paths)
-    have = {f.name: f.dataType for f in raw.schema}
-    for f in schema:
-        if f.name not in have:
-            if operation(f) != OPTIONAL:
-                raise ValueError(f"Required columns missing from source: ['{f.name}']")
-        elif have[f.name] != f.dataType and not _widens(have[f.name], f.dataType):
-            raise ValueError(
-                f"Column '{f.name}' is {have[f.name].simpleString()}, not {f.dataType.simpleString()}"
-            )
+def footers(files: DataFrame) -> DataFrame:
+    """Column names and stored schema of every Parquet file, read in tasks."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                with remote.open_input(path) as file:
+                    stored = pq.ParquetFile(file)
+                    found.append((path, stored.schema_arrow.names, str(stored.schema).partition("\n")[2]))
+            yield pd.DataFrame(found, columns=["path", "names", "stored"])
+
+    width = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").repartition(width, "path").mapInPandas(read, "path string, names array<string>, stored string")
+
+
+def scan_parquet(files: DataFrame, paths: list[str], schema: T.StructType, template_ord: int = 0, extra: str = "raise") -> Scan:
+    """Parquet scan by column name.
+
+    Every file must have the required columns with the manifest's types or ones that widen
+    to them exactly; an optional column may lack in some files and is null there.
+    Columns beyond the manifest raise unless ``extra`` is ``drop``.
+    """
+    from rawlake.operators.schema import check_headers
+
+    spark = files.sparkSession
+    stored = materialize(footers(files), "footers")
+    have: dict[str, set[T.DataType]] = {}
+    # One look by Spark per distinct stored schema.
+    for example in stored.groupBy("stored").agg(F.min("path").alias("path")).orderBy("path").collect():
+        escaped = re.sub(r"([\[\]{}*?\\])", r"\\\1", example["path"])
+        for found in spark.read.parquet(escaped).schema:
+            have.setdefault(found.name, set()).add(found.dataType)
+            if found.name in schema.names:
+                want = schema[found.name].dataType
+                if found.dataType != want and not _widens(found.dataType, want):
+                    raise ValueError(
+                        f"Column '{found.name}' of '{example['path']}' is {found.dataType.simpleString()}, not {want.simpleString()}"
+                    )
+    check_headers(stored, schema, extra)
+    fields = [T.StructField(f.name, next(iter(have[f.name])) if len(have[f.name]) == 1 else f.dataType) for f in schema if f.name in have]
+    raw = spark.read.schema(T.StructType(fields)).parquet(*paths)
     df = _with_zip_tags(ordinal.tag_scan(raw, template_ord))
     return Scan(df, raw.columns)
 

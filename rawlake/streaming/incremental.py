@@ -2,8 +2,9 @@
 
 The stream carries file paths only; each micro-batch runs the batch ingest over
 its files. Which files are new is the stream checkpoint's business, so a restart
-goes on where the last run stopped. Batches write under their own id and replace
-what an interrupted attempt may have left.
+goes on where the last run stopped. Batches write under their template and id and
+replace what an interrupted attempt may have left. Several templates of a table
+share a target, each with a checkpoint of its own, and run one after the other.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ def file_stream(job: Any, template_ord: int = 0) -> DataFrame:
 
 
 def ingest_batch(job: Any, files: DataFrame, batch_id: int, target: str, template_ord: int = 0) -> int:
-    """Ingest the files of one micro-batch into ``target/batch=<id>``.
+    """Ingest the files of one micro-batch into ``target/data/template=<i>/batch=<id>``.
 
     Row numbers per file are as in a batch run. In aggregate mode they go on
-    from the rows of earlier batches, counted next to the data.
+    from the rows of earlier batches, counted next to the data; a batch that
+    runs again takes the numbers it had. A file that gives no input raises.
     """
     spark = files.sparkSession
     nothing = {"zfile_name": "string", "zfile_mtime": "timestamp", "zfile_size": "bigint", "zfile_compress_size": "bigint"}
@@ -47,24 +49,33 @@ def ingest_batch(job: Any, files: DataFrame, batch_id: int, target: str, templat
     if template.is_zip:
         listed = zip_members(listed, template.regexes()[1])
     inventory = materialize(describe(listed, template, job.creation_time).where("matched"), "stream-inventory")
+    used = inventory.select(F.substring_index("path", "|", 1).alias("path"))
+    lost = files.select(plain_path(F.col("path")).alias("path")).join(used, "path", "left_anti").orderBy("path").first()
+    if lost is not None:
+        raise ValueError(f"'{lost['path']}' is listed for '{template.template}', but nothing in it matches")
     nothing_new = inventory.limit(0)
     inventories = [Found(inventory if i == template_ord else nothing_new) for i in range(len(job.templates))]
     rows = job.rows(inventories=inventories)
+    first = 0
     if job.aggregate and "_index" in rows.columns:
-        rows = rows.withColumn("_index", F.col("_index") + rows_before(job, target, batch_id))
-    sink.write_parquet(rows, f"{target}/data/batch={batch_id}")
-    written = spark.read.parquet(f"{target}/data/batch={batch_id}")
-    count = written.agg(F.count(F.lit(1)).alias("rows"))
-    sink.write_parquet(count, f"{target}/counts/batch={batch_id}")
+        first = rows_before(job, target, batch_id, template_ord)
+        rows = rows.withColumn("_index", F.col("_index") + first)
+    place = f"template={template_ord}/batch={batch_id}"
+    sink.write_parquet(rows, f"{target}/data/{place}")
+    written = spark.read.parquet(f"{target}/data/{place}")
+    count = written.agg(F.lit(first).cast("bigint").alias("first"), F.count(F.lit(1)).alias("rows"))
+    sink.write_parquet(count, f"{target}/counts/{place}")
     return batch_id
 
 
-def rows_before(job: Any, target: str, batch_id: int) -> int:
-    """Rows of all earlier batches, from the counts kept with the target."""
-    if batch_id == 0:
+def rows_before(job: Any, target: str, batch_id: int, template_ord: int = 0) -> int:
+    """Rows written before this batch, from the counts kept with the target."""
+    if not sink.exists(job.spark, f"{target}/counts"):
         return 0
     counts = job.spark.read.parquet(f"{target}/counts")
-    return counts.where(F.col("batch") < batch_id).agg(F.sum("rows")).first()[0] or 0
+    own = (F.col("template") == template_ord) & (F.col("batch") == batch_id)
+    again, total = counts.agg(F.max(F.when(own, F.col("first"))), F.sum("rows")).first()
+    return again if again is not None else total or 0
 
 
 def start(job: Any, target: str, checkpoint: str, template_ord: int = 0, max_files: int | None = None) -> StreamingQuery:
@@ -83,4 +94,4 @@ def start(job: Any, target: str, checkpoint: str, template_ord: int = 0, max_fil
 
 
 def read_target(job: Any, target: str) -> DataFrame:
-    return job.spark.read.parquet(f"{target}/data").drop("batch")
+    return job.spark.read.parquet(f"{target}/data").drop("template", "batch")

@@ -63,15 +63,9 @@ def parse_type(text: str) -> tuple[T.DataType, dict[str, Any]]:
         nullable = not inner.endswith(" not null")
         element, facts = parse_type(inner.removesuffix(" not null"))
         return T.ArrayType(element, nullable), {"logical": "list", "element": facts}
-    stamp = re.fullmatch(r"timestamp(?:\[(?P<args>[^\]]*)\])?(?: not null)?", text)
+    stamp = re.fullmatch(r"timestamp(?:\[\s*(?P<unit>s|ms|us|ns)?\s*,?\s*(?:tz\s*=\s*(?P<zone>[^\],=\s]+))?\s*\])?(?: not null)?", text)
     if stamp:
-        unit, zone = "us", None
-        for arg in filter(None, (a.strip() for a in (stamp["args"] or "").split(","))):
-            key, eq, value = arg.partition("=")
-            if not eq:
-                unit = key
-            elif key.strip() == "tz":
-                zone = value.strip()
+        unit, zone = stamp["unit"] or "us", stamp["zone"]
         if unit not in ("s", "ms", "us"):
             raise ValueError(f"Timestamp unit '{unit}' is finer than Spark's microseconds: {text}")
         spark_type = T.TimestampType() if zone else T.TimestampNTZType()
