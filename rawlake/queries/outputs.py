@@ -159,7 +159,7 @@ def incremental_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "per_file_empty",
-    """SELECT strftime(o_orderdate, '%Y%m') || '01.t.parq' AS output, count_if(month(o_orderdate) % 4 <> 0) AS rows FROM orders GROUP BY 1""",
+    """SELECT strftime(o_orderdate, '%Y%m') || '01.t.parq' AS output, count(*) FILTER (month(o_orderdate) % 4 <> 0) AS rows FROM orders GROUP BY 1""",
 )
 def per_file_empty(spark: SparkSession, sf: str) -> DataFrame:
     """Every file has an output, also those with a header and blank lines only."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawlake.fixtures.staging import csv_line, stage_lines
@@ -427,10 +427,11 @@ def scan_zip(spark: SparkSession, sf: str) -> DataFrame:
     return Job(spark, settings, "t").rows().select(*SUPPLIER_TYPES, "_source_file", "_index")
 
 
-@query("scan_encoding", "SELECT doc_id, lang, md5(word) AS digest FROM (SELECT doc_id, lang, regexp_replace(text, '[^a-zA-Zàâçéèêëîïôûùüÿñäöüßáíóú ]', '', 'g') AS word FROM documents)")
+@query("scan_encoding", "SELECT doc_id, lang, md5(word) AS digest FROM (SELECT doc_id, lang, regexp_replace(text, '[^\\x01-\\xFF]', '', 'g') AS word FROM documents)")
 def scan_encoding(spark: SparkSession, sf: str) -> DataFrame:
-    """Latin-1 text, by the CSV source and line-wise."""
-    letters = "[^a-zA-Zàâçéèêëîïôûùüÿñäöüßáíóú ]"
+    """Whole texts, but for characters that Latin-1 lacks, by the CSV source and behind a preamble."""
+    letters = r"[^\x01-\xFF]"
+    parse = {"newlines_in_values": True}
 
     def write(root: str) -> None:
         word = F.regexp_replace("text", letters, "")
@@ -440,8 +441,8 @@ def scan_encoding(spark: SparkSession, sf: str) -> DataFrame:
 
     root = once(spark, sf, "documents-latin1", write)
     types = {"doc_id": "int64", "lang": "string", "word": "string"}
-    native = config([f"{root}/words_0[1-3].csv"], types, {"encoding": "ISO-8859-1"})
-    options = {"read_options": {"skip_rows": 1, "column_names": list(types)}}
+    native = config([f"{root}/words_0[1-3].csv"], types, {"encoding": "ISO-8859-1", "options": {"parse_options": parse}})
+    options = {"read_options": {"skip_rows": 1, "column_names": list(types)}, "parse_options": parse}
     by_line = config([f"{root}/words_0[4-6].csv"], types, {"encoding": "ISO-8859-1", "options": options})
     rows = ingest(spark, native, "t").unionByName(ingest(spark, by_line, "t"))
     return rows.select("doc_id", "lang", F.md5("word").alias("digest"))
