@@ -78,11 +78,20 @@ def write_outputs(df: DataFrame, basedir: str, **options: str) -> list[str]:
     return sorted(outputs)
 
 
-def write_empty(df: DataFrame, targets: list[str], **options: str) -> None:
-    """Datasets without rows, with the columns of ``df``, one per target."""
+def write_empty(df: DataFrame, basedir: str, targets: list[str], **options: str) -> None:
+    """Datasets without rows, with the columns of ``df``: written once, then copied to each target."""
+    if not targets:
+        return
     spark = df.sparkSession
-    for target in targets:
-        write_parquet(spark.createDataFrame([], df.schema), target, **options)
+    staged = f"{basedir.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    spark.createDataFrame([], df.schema).write.options(**options).parquet(f"{staged}/empty")
+    fs, source = _fs(spark, f"{staged}/empty")
+    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    for i, target in enumerate(targets):
+        goal = _fs(spark, f"{staged}/{i}")[1]
+        copy(fs, source, fs, goal, False, spark._jsc.hadoopConfiguration())
+        publish(spark, goal.toString(), target)
+    fs.delete(source.getParent(), True)
 
 
 def checksums(spark: SparkSession, globs: list[str]) -> DataFrame:

@@ -221,7 +221,7 @@ class Job:
         done = self.spark.createDataFrame([(p,) for p in written], "target string")
         full = expected.select(F.concat(F.lit(f"{base}/"), "target").alias("target"))
         empty = [r[0] for r in full.join(done, "target", "left_anti").orderBy("target").collect()]
-        sink.write_empty(df, empty, **options)
+        sink.write_empty(df, base, empty, **options)
         return empty
 
 
