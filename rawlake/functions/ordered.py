@@ -3,19 +3,22 @@
 They are defined per file in row order. A file may hold most of the data, so no
 window covers a whole file: rows are cut into blocks of ``BLOCK`` consecutive
 numbers, each block is folded by itself, and a carry per block is worked out on
-the far smaller table of block summaries (itself cut the same way). Ranks use
-a range-partitioned sort with row counts per range instead of one sort per
-file, with the row number as tie-break so equal values spread as well.
+the far smaller table of block summaries. Ranks use a range-partitioned sort
+with row counts per range instead of one sort per file, with the row number as
+tie-break so equal values spread as well; no join or grouping is on a value or
+a file alone.
+
+Calls given together share their work: running functions one summary and one
+window, ranks of a column one sort.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from typing import Any
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,35 +27,81 @@ from rawlake.session import bounded_broadcast, materialize
 
 BLOCK = 1_000_000
 
-FUNCTIONS: dict[str, Callable[..., DataFrame]] = {}
+# Rows whose factors are listed together before the lists are cut to LONGEST.
+LISTED = 1_000
 
+# Integers other than 0, 1 and -1 whose product cannot but overflow.
+LONGEST = 64
 
-def _ordered(*names: str):
-    def add(fn):
-        for name in names:
-            FUNCTIONS[name] = fn
-        return fn
+Fold = Callable[[Column], Column]
 
-    return add
 
+@dataclass(frozen=True)
+class Call:
+    name: str
+    column: str
+    into: str
+    args: tuple = ()
+    kwargs: dict[str, Any] = field(default_factory=dict)
 
-def _block(at: str) -> Column:
-    return F.floor(F.col(at) / BLOCK)
 
+@dataclass(frozen=True)
+class Running:
+    """A function of the rows so far in a block and of what earlier blocks
+    (later ones, if ``backward``) fold to.
+
+    ``parts`` has per name the aggregate of rows and the fold of aggregates,
+    which must not depend on order; ``lists`` names those that are arrays.
+    ``scratch`` columns are there before ``value`` is worked out.
+    """
+
+    parts: dict[str, tuple[Column, Fold]]
+    value: Callable[[Callable[[str], Column], WindowSpec], Column]
+    backward: bool = False
+    lists: tuple[str, ...] = ()
+    scratch: dict[str, Callable[[WindowSpec], Column]] = field(default_factory=dict)
+
+
+RUNNING: dict[str, Callable[..., Running]] = {}
+RANKS: dict[str, Callable[..., "Rank"]] = {}
+ALONE: dict[str, Callable[..., DataFrame]] = {}
 
-def _carry(
-    df: DataFrame, group: str, at: str, summaries: dict[str, Column], fold: dict[str, Callable[[Column], Column]],
-    backward: bool = False,
-) -> DataFrame:
-    """Add ``_blk`` and, per carried name, what all earlier blocks of the
-    group (later ones, if ``backward``) fold to."""
-    df = df.withColumn("_blk", _block(at))
-    blocks = df.groupBy(group, "_blk").agg(*[c.alias(n) for n, c in summaries.items()])
-    order = F.col("_blk").desc() if backward else F.col("_blk")
-    # One row per million rows of a file.
-    before = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select(group, "_blk", *[fold[n](F.col(n)).over(before).alias(f"_c_{n}") for n in summaries])
-    return _join_side(df, carried, [group, "_blk"])
+
+def known(name: str) -> bool:
+    return name in RUNNING or name in RANKS or name in ALONE
+
+
+def names() -> set[str]:
+    return {*RUNNING, *RANKS, *ALONE}
+
+
+def apply(df: DataFrame, calls: list[Call], group: str, at: str) -> DataFrame:
+    """Apply the calls in turn, as many at a time as do not need each other."""
+    waiting: list[Call] = []
+    for call in calls:
+        made = {c.into for c in waiting}
+        if call.column in made or call.into in made | {c.column for c in waiting} or call.name in ALONE:
+            df, waiting = _together(df, waiting, group, at), []
+        if call.name in ALONE:
+            df = ALONE[call.name](df, call.column, call.into, group, at, *call.args, **call.kwargs)
+        else:
+            waiting.append(call)
+    return _together(df, waiting, group, at)
+
+
+def _together(df: DataFrame, calls: list[Call], group: str, at: str) -> DataFrame:
+    order = list(dict.fromkeys([*df.columns, *[c.into for c in calls]]))
+    running = [c for c in calls if c.name in RUNNING]
+    ranks = [c for c in calls if c.name in RANKS]
+    if ranks:
+        df = _rank_all(df, ranks, group, at)
+    if running:
+        df = _run_all(df, running, group, at)
+    return df.select(*[F.col(f"`{c}`") for c in order]) if calls else df
+
+
+def _block(at: str) -> Column:
+    return F.floor(F.col(at) / BLOCK)
 
 
 def _join_side(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -62,11 +111,6 @@ def _join_side(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inne
     return df.join(table, keys, how)
 
 
-def _within(group: str, at: str, backward: bool = False):
-    order = F.col(at).desc() if backward else F.col(at)
-    return Window.partitionBy(group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-
-
 def _put(df: DataFrame, into: str, value: Column) -> DataFrame:
     scratch = [c for c in df.columns if c.startswith("_c_") or c == "_blk"]
     return df.withColumn(into, value).drop(*scratch)
@@ -75,16 +119,52 @@ def _put(df: DataFrame, into: str, value: Column) -> DataFrame:
 # -- running folds ---------------------------------------------------------------------
 
 
-def _product(col: Column) -> Column:
-    """Ordered product of a frame of a window; exact for integers."""
-    start = F.lit(1)
-    return F.aggregate(F.collect_list(col), start.cast("bigint"), lambda a, x: a * x)
+def _run_all(df: DataFrame, calls: list[Call], group: str, at: str) -> DataFrame:
+    """One table of block summaries, one join and one pass per direction."""
+    runs = {c.into: RUNNING[c.name](df, c.column, at, *c.args, **c.kwargs) for c in calls}
+    place = {(into, part): f"_c_{i}_{part}" for i, (into, run) in enumerate(runs.items()) for part in [*run.parts, *run.scratch]}
+    parts = {place[into, part]: spec for into, run in runs.items() for part, spec in run.parts.items()}
+    df = df.withColumn("_blk", _block(at))
+    keys, rows = [group, "_blk"], [row.alias(n) for n, (row, _) in parts.items()]
+    if any(run.lists for run in runs.values()):
+        small = df.groupBy(*keys, F.floor(F.col(at) / LISTED).alias("_sub")).agg(*rows)
+        blocks = small.groupBy(*keys).agg(*[fold(F.col(n)).alias(n) for n, (_, fold) in parts.items()])
+    else:
+        blocks = df.groupBy(*keys).agg(*rows)
+
+    # One row per million rows of a file.
+    def beyond(backward: bool) -> WindowSpec:
+        order = F.col("_blk").desc() if backward else F.col("_blk")
+        return Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    for into, run in runs.items():
+        for part in run.lists:
+            name = place[into, part]
+            longer = F.coalesce(F.sum(F.size(name)).over(beyond(run.backward)), F.lit(0)) >= LONGEST
+            blocks = blocks.withColumn(name, F.when(~longer & (F.size(name) > 0), F.col(name)))
+    carried = [
+        fold(F.col(place[into, part])).over(beyond(run.backward)).alias(place[into, part])
+        if part not in run.lists
+        else F.flatten(F.collect_list(place[into, part]).over(beyond(run.backward))).alias(place[into, part])
+        for into, run in runs.items() for part, (_, fold) in run.parts.items()
+    ]
+    df = _join_side(df, blocks.select(*keys, *carried), keys)
+
+    def within(backward: bool) -> WindowSpec:
+        order = F.col(at).desc() if backward else F.col(at)
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+    scratch = {place[i, n]: make(within(r.backward)) for i, r in runs.items() for n, make in r.scratch.items()}
+    df = df.withColumns(scratch) if scratch else df
+    values = {
+        into: run.value(lambda part, into=into: F.col(place[into, part]), within(run.backward))
+        for into, run in runs.items()
+    }
+    return df.withColumns(values).drop("_blk", *place.values())
 
 
 def _cumulative(kind: str):
-    def run(
-        df: DataFrame, column: str, into: str, group: str, at: str, start: Any = None, skip_nulls: bool = False
-    ) -> DataFrame:
+    def run(df: DataFrame, column: str, at: str, start: Any = None, skip_nulls: bool = False) -> Running:
         dtype = df.schema[column].dataType
         value = F.col(f"`{column}`")
         number = value.cast("double") if kind == "mean" or is_float(dtype) else value.cast("bigint")
@@ -92,119 +172,109 @@ def _cumulative(kind: str):
             number = value
         if kind in ("max", "min") and is_float(dtype):
             number = F.when(~F.isnan(value), value)  # NaN never wins
-        name = {"mean": "sum"}.get(kind, kind)
-        aggregate = {"sum": F.sum, "max": F.max, "min": F.min}[name]
-        df = df.withColumn("_c_x", number)
-        summaries = {
-            "v": aggregate("_c_x"), "n": F.count("_c_x"), "null": F.count_if(value.isNull()),
-        }
-        df = _carry(df, group, at, summaries, {"v": aggregate, "n": F.sum, "null": F.sum})
-        w = _within(group, at)
-        local = aggregate("_c_x").over(w)
+        aggregate = {"sum": F.sum, "mean": F.sum, "max": F.max, "min": F.min}[kind]
         zero = F.lit(0)
-        count = F.count("_c_x").over(w) + F.coalesce(F.col("_c_n"), zero)
-        nulls = F.sum(value.isNull().cast("int")).over(w) + F.coalesce(F.col("_c_null"), zero)
-        if kind in ("sum", "mean"):
-            total = F.coalesce(local, zero.cast("bigint")) + F.coalesce(F.col("_c_v"), zero)
-            if start is not None:
-                total = total + F.lit(start)
-            result = total / count if kind == "mean" else total
-        else:
-            pick = F.greatest if kind == "max" else F.least
-            terms = [local, F.col("_c_v")] + ([F.lit(start)] if start is not None else [])
-            result = pick(*terms)
-            if is_float(dtype):
-                result = F.coalesce(result, F.lit(float("nan")))
-        hidden = value.isNull() if skip_nulls else nulls > 0
-        return _put(df, into, F.when(~hidden, result))
+
+        def result(carry: Callable[[str], Column], w: WindowSpec) -> Column:
+            local = aggregate(number).over(w)
+            if kind in ("sum", "mean"):
+                total = F.coalesce(local, zero.cast("bigint")) + F.coalesce(carry("v"), zero)
+                if start is not None:
+                    total = total + F.lit(start)
+                so_far = F.count(number).over(w) + F.coalesce(carry("n"), zero)
+                answer = total / so_far if kind == "mean" else total
+            else:
+                pick = F.greatest if kind == "max" else F.least
+                answer = pick(local, carry("v"), *([F.lit(start)] if start is not None else []))
+                if is_float(dtype):
+                    answer = F.coalesce(answer, F.lit(float("nan")))
+            nulls = F.count_if(value.isNull()).over(w) + F.coalesce(carry("null"), zero)
+            hidden = value.isNull() if skip_nulls else nulls > 0
+            return F.when(~hidden, answer)
+
+        parts = {
+            "v": (aggregate(number), aggregate), "n": (F.count(number), F.sum), "null": (F.count_if(value.isNull()), F.sum),
+        }
+        return Running(parts, result)
 
     return run
 
 
-FUNCTIONS["cumulative_sum"] = FUNCTIONS["cumulative_sum_checked"] = _cumulative("sum")
-FUNCTIONS["cumulative_mean"] = _cumulative("mean")
-FUNCTIONS["cumulative_max"] = _cumulative("max")
-FUNCTIONS["cumulative_min"] = _cumulative("min")
+RUNNING["cumulative_sum"] = RUNNING["cumulative_sum_checked"] = _cumulative("sum")
+RUNNING["cumulative_mean"] = _cumulative("mean")
+RUNNING["cumulative_max"] = _cumulative("max")
+RUNNING["cumulative_min"] = _cumulative("min")
 
 
-@_ordered("cumulative_prod", "cumulative_prod_checked")
-def cumulative_prod(
-    df: DataFrame, column: str, into: str, group: str, at: str, start: Any = None, skip_nulls: bool = False
-) -> DataFrame:
+def cumulative_prod(df: DataFrame, column: str, at: str, start: Any = None, skip_nulls: bool = False) -> Running:
     """Running product, with signs and zeros counted apart.
 
     Integers stay exact: only factors other than 0, 1 and -1 enter the product,
-    and no more than 62 of them fit before it overflows and raises.
+    and ``LONGEST`` of them overflow whatever they are, so the first so many of
+    a file decide. No list is longer, but for the ``LISTED`` rows it starts from.
     """
-    dtype = df.schema[column].dataType
     value = F.col(f"`{column}`")
-    whole = is_int(dtype)
+    whole = is_int(df.schema[column].dataType)
     one = F.lit(1).cast("bigint") if whole else F.lit(1.0)
-
-    def multiply(cells: Column) -> Column:
-        return F.aggregate(cells, one, lambda a, x: a * x)
-
     number = value.cast("bigint" if whole else "double")
     factor = F.when(number.isNotNull() & ~number.isin(0, 1, -1), number)
-    df = df.withColumn("_blk", _block(at)).withColumn("_c_f", factor)
     flags = {"null": value.isNull(), "zero": number == 0, "neg": number == -1}
-    w = _within(group, at)
+    flags = {n: F.coalesce(c, F.lit(False)) for n, c in flags.items()}
+    parts = {n: (F.count_if(c), F.sum) for n, c in flags.items()}
+    scratch = {}
     if whole:
-        # The list of factors up to a row is short, or the product overflows.
-        blocks = df.groupBy(group, "_blk").agg(
-            F.slice(F.sort_array(F.collect_list(F.when(F.col("_c_f").isNotNull(), F.struct(F.col(at), F.col("_c_f"))))), 1, 64).alias("f"),
-            *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()],
-        )
-        before = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = blocks.select(
-            group, "_blk",
-            F.flatten(F.collect_list(F.transform("f", lambda s: s["_c_f"])).over(before)).alias("_c_prior"),
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_c_{n}") for n in flags],
-        )
-        local = F.collect_list("_c_f").over(w)
-        product = multiply(F.concat(F.col("_c_prior"), local))
+        placed = F.when(factor.isNotNull(), F.struct(F.col(at).alias("at"), factor.alias("f")))
+
+        def first(lists: Column) -> Column:
+            return F.slice(F.sort_array(lists), 1, LONGEST)
+
+        parts["f"] = (first(F.collect_list(placed)), lambda c: first(F.flatten(F.collect_list(c))))
+        scratch["count"] = lambda w: F.count(factor).over(w)
     else:
-        blocks = df.groupBy(group, "_blk").agg(
-            F.product("_c_f").alias("f"),
-            *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()],
-        )
-        before = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = blocks.select(
-            group, "_blk", F.coalesce(F.product("f").over(before), F.lit(1.0)).alias("_c_prior"),
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_c_{n}") for n in flags],
-        )
-        product = F.col("_c_prior") * F.coalesce(F.product("_c_f").over(w), F.lit(1.0))
-    df = _join_side(df, carried, [group, "_blk"])
-
-    def so_far(name: str) -> Column:
-        return F.sum(F.coalesce(flags[name], F.lit(False)).cast("int")).over(w) + F.col(f"_c_{name}")
-
-    nulls, zeros, negatives = so_far("null"), so_far("zero"), so_far("neg")
-    sign = F.when(negatives % 2 == 1, -one).otherwise(one)
-    result = F.when(zeros > 0, one * 0).otherwise(product * sign)
-    if start is not None:
-        result = result * F.lit(start)
-    hidden = value.isNull() if skip_nulls else nulls > 0
-    return _put(df, into, F.when(~hidden, result))
+        parts["f"] = (F.product(factor), F.product)
+
+    def result(carry: Callable[[str], Column], w: WindowSpec) -> Column:
+        def so_far(name: str) -> Column:
+            return F.count_if(flags[name]).over(w) + F.coalesce(carry(name), F.lit(0))
+
+        if whole:
+            local = F.collect_list(F.when(carry("count") <= LONGEST, factor)).over(w)
+            cells = F.concat(F.transform(carry("f"), lambda s: s["f"]), local)
+            product = F.aggregate(cells, one, lambda a, x: a * x)
+        else:
+            product = F.coalesce(carry("f"), one) * F.coalesce(F.product(factor).over(w), one)
+        sign = F.when(so_far("neg") % 2 == 1, -one).otherwise(one)
+        answer = F.when(so_far("zero") > 0, one * 0).otherwise(product * sign)
+        if start is not None:
+            answer = answer * F.lit(start)
+        hidden = value.isNull() if skip_nulls else so_far("null") > 0
+        return F.when(~hidden, answer)
+
+    return Running(parts, result, lists=("f",) if whole else (), scratch=scratch)
+
+
+RUNNING["cumulative_prod"] = RUNNING["cumulative_prod_checked"] = cumulative_prod
 
 
 def _fill(backward: bool):
-    def run(df: DataFrame, column: str, into: str, group: str, at: str) -> DataFrame:
+    edge = F.min_by if backward else F.max_by
+
+    def run(df: DataFrame, column: str, at: str) -> Running:
         value = F.col(f"`{column}`")
-        edge = F.min_by if backward else F.max_by
-        summary = edge(value, F.when(value.isNotNull(), F.col(at)))
-        df = _carry(df, group, at, {"v": summary}, {"v": lambda c: F.last(c, ignorenulls=True)}, backward)
-        local = F.last(value, ignorenulls=True).over(_within(group, at, backward))
-        return _put(df, into, F.coalesce(local, F.col("_c_v")))
+        nearest = edge(F.struct(F.col(at).alias("at"), value.alias("v")), F.when(value.isNotNull(), F.col(at)))
+
+        def result(carry: Callable[[str], Column], w: WindowSpec) -> Column:
+            return F.coalesce(F.last(value, ignorenulls=True).over(w), carry("v")["v"])
+
+        return Running({"v": (nearest, lambda c: edge(c, c["at"]))}, result, backward)
 
     return run
 
 
-FUNCTIONS["fill_null_forward"] = _fill(False)
-FUNCTIONS["fill_null_backward"] = _fill(True)
+RUNNING["fill_null_forward"] = _fill(False)
+RUNNING["fill_null_backward"] = _fill(True)
 
 
-@_ordered("pairwise_diff", "pairwise_diff_checked")
 def pairwise_diff(df: DataFrame, column: str, into: str, group: str, at: str, period: int = 1) -> DataFrame:
     """Difference to the row ``period`` before (after, if negative).
 
@@ -229,9 +299,22 @@ def pairwise_diff(df: DataFrame, column: str, into: str, group: str, at: str, pe
     return _put(df.join(other, [group, at], "left"), into, value - F.col("_c_o"))
 
 
+ALONE["pairwise_diff"] = ALONE["pairwise_diff_checked"] = pairwise_diff
+
+
 # -- ranks -----------------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Rank:
+    """A value out of the places of a sort; ``ties`` if more than ``_pos``."""
+
+    value: Column
+    descending: bool
+    null_placement: str
+    ties: bool = True
+
+
 def _sort_class(value: Column, dtype: T.DataType, null_placement: str) -> Column:
     """Values, then NaN, then nulls; the last two move to the front together."""
     nan = F.isnan(value) if is_float(dtype) else F.lit(False)
@@ -243,20 +326,106 @@ def _sort_class(value: Column, dtype: T.DataType, null_placement: str) -> Column
 def positions(
     df: DataFrame, column: str, group: str, at: str, descending: bool = False, null_placement: str = "at_end"
 ) -> DataFrame:
-    """Add ``_pos``, the 0-based place of each row in its group by value."""
-    dtype = df.schema[column].dataType
+    """Sorted rows as ``group``, ``at``, ``_val``, with ``_pos``, the 0-based
+    place in the group by value, ``_size`` of the group and ``_range``.
+
+    Ranges are sorted once and numbered as they are written; the start of each
+    comes from one count per range and group.
+    """
     value = F.col(f"`{column}`")
-    df = df.withColumns({"_cls": _sort_class(value, dtype, null_placement), "_val": value})
+    narrow = df.select(group, at, value.alias("_val"), _sort_class(value, df.schema[column].dataType, null_placement).alias("_cls"))
+    # Finding the ranges reads the rows once more: not from the raw files.
+    narrow = materialize(narrow, "rank-keys")
     keys = [F.col(group), F.col("_cls"), F.col("_val").desc() if descending else F.col("_val").asc(), F.col(at)]
-    ranged = df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    ranged = narrow.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = ranged.withColumns({"_range": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
     ranged = materialize(ranged, "sorted-ranges")
     # At most one row per shuffle partition and group.
-    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.select(group, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    local = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*keys[1:]))
-    placed = ranged.withColumn("_local", local).join(starts, [group, "_range"])
-    return placed.withColumn("_pos", F.col("_start") + F.col("_local") - 1).drop("_range", "_start", "_local")
+    counts = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        group, "_range", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(whole).alias("_size")
+    )
+    placed = _join_side(ranged, starts, [group, "_range"])
+    return placed.withColumn("_pos", F.col("_start") + F.col("_mid") - F.col("_m0")).drop("_start", "_mid", "_m0")
+
+
+def places(placed: DataFrame, group: str) -> DataFrame:
+    """Add the ``_first`` and ``_last`` place of each row's value, and its
+    ``_dense`` number among the values of the group.
+
+    Equal rows stand together, so each range finds its runs of them by itself;
+    a run that goes on over ranges is closed on one row per range and group.
+    """
+    keys = [group, "_range"]
+    nothing = F.col("_val").isNull() | (F.col("_cls") == 1)
+    placed = placed.withColumn("_key", F.struct(nothing.alias("none"), F.when(~nothing, F.col("_val")).alias("tie")))
+    up, down = Window.partitionBy(*keys).orderBy("_pos"), Window.partitionBy(*keys).orderBy(F.col("_pos").desc())
+    up_to = up.rowsBetween(Window.unboundedPreceding, 0)
+    down_to = down.rowsBetween(Window.unboundedPreceding, 0)
+    runs = placed.withColumns(
+        {
+            "_opens": ~F.lag("_key").over(up).eqNullSafe(F.col("_key")),
+            "_closes": ~F.lead("_key").over(up).eqNullSafe(F.col("_key")),
+        }
+    ).withColumns(
+        {
+            "_first": F.max(F.when(F.col("_opens"), F.col("_pos"))).over(up_to),
+            "_run": F.count_if("_opens").over(up_to),
+            "_last": F.min(F.when(F.col("_closes"), F.col("_pos"))).over(down_to),
+        }
+    )
+    runs = materialize(runs.drop("_opens", "_closes", "_cls"), "ranked")
+    ranges = runs.groupBy(*keys).agg(
+        F.min_by("_key", "_pos").alias("_head"), F.max_by("_key", "_pos").alias("_tail"), F.max("_run").alias("_runs"),
+        F.max("_first").alias("_tail_first"), F.min("_last").alias("_head_last"),
+    )
+    order = Window.partitionBy(group).orderBy("_range")
+    back = Window.partitionBy(group).orderBy(F.col("_range").desc())
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    later = back.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumns(
+        {
+            "_joins": F.lag("_tail").over(order).eqNullSafe(F.col("_head")),
+            "_goes_on": F.lead("_head").over(order).eqNullSafe(F.col("_tail")),
+        }
+    )
+    single = F.col("_runs") == 1
+    opened = F.when(~(single & F.col("_joins")), F.col("_tail_first"))
+    closed = F.when(~(single & F.col("_goes_on")), F.col("_head_last"))
+    ranges = ranges.select(
+        *keys, "_joins", "_goes_on", "_runs",
+        F.last(opened, ignorenulls=True).over(earlier).alias("_opened"),
+        F.last(closed, ignorenulls=True).over(later).alias("_closed"),
+        F.coalesce(F.sum(F.col("_runs") - F.col("_joins").cast("int")).over(earlier), F.lit(0)).alias("_values"),
+    )
+    joined = _join_side(runs, ranges, keys)
+    return joined.withColumns(
+        {
+            "_first": F.when(F.col("_joins") & (F.col("_run") == 1), F.col("_opened")).otherwise(F.col("_first")),
+            "_last": F.when(F.col("_goes_on") & (F.col("_run") == F.col("_runs")), F.col("_closed")).otherwise(F.col("_last")),
+            "_dense": F.col("_values") + F.col("_run") - F.col("_joins").cast("int"),
+        }
+    )
+
+
+def _rank_all(df: DataFrame, calls: list[Call], group: str, at: str) -> DataFrame:
+    """One sort per column and direction; all results come back by one join."""
+    wanted: dict[tuple, dict[str, Rank]] = {}
+    for call in calls:
+        rank = RANKS[call.name](*call.args, **call.kwargs)
+        wanted.setdefault((call.column, rank.descending, rank.null_placement), {})[call.into] = rank
+    sides = []
+    for (column, descending, null_placement), ranks in wanted.items():
+        side = positions(df, column, group, at, descending, null_placement)
+        if any(rank.ties for rank in ranks.values()):
+            side = places(side, group)
+        sides.append(side.select(group, at, *[rank.value.alias(into) for into, rank in ranks.items()]))
+    df = df.drop(*[c.into for c in calls])
+    for side in sides:
+        df = df.join(side, [group, at])
+    return df
 
 
 def _direction(sort_keys: Any, order: str | None = None) -> bool:
@@ -265,120 +434,90 @@ def _direction(sort_keys: Any, order: str | None = None) -> bool:
     return (order or sort_keys) == "descending"
 
 
-def _tie_key() -> list[Column]:
-    nothing = F.col("_val").isNull() | (F.col("_cls") == 1)
-    return [nothing.alias("_none"), F.when(~nothing, F.col("_val")).alias("_tie")]
+def rank(sort_keys: Any = "ascending", null_placement: str = "at_end", tiebreaker: str = "first") -> Rank:
+    places_of = {"first": F.col("_pos") + 1, "min": F.col("_first") + 1, "max": F.col("_last") + 1, "dense": F.col("_dense")}
+    if tiebreaker not in places_of:
+        raise ValueError(f"Unknown tiebreaker '{tiebreaker}'")
+    return Rank(places_of[tiebreaker], _direction(sort_keys), null_placement, tiebreaker != "first")
 
 
-def _ties(df: DataFrame, column: str, group: str, at: str, descending: bool, null_placement: str) -> DataFrame:
-    """Rows with ``_first``/``_last`` place of their value and ``_size``."""
-    placed = positions(df, column, group, at, descending, null_placement)
-    placed = placed.withColumns({"_none": _tie_key()[0], "_tie": _tie_key()[1]})
-    spans = placed.groupBy(group, "_none", "_tie").agg(F.min("_pos").alias("_first"), F.max("_pos").alias("_last"))
-    spans = spans.withColumnsRenamed({group: "_g2", "_none": "_n2", "_tie": "_t2"})
-    sizes = placed.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    same = placed[group].eqNullSafe(spans["_g2"]) & (placed["_none"] == spans["_n2"]) & placed["_tie"].eqNullSafe(spans["_t2"])
-    return placed.join(spans, same).drop("_g2", "_n2", "_t2").join(sizes, group)
+def rank_quantile(sort_keys: Any = "ascending", null_placement: str = "at_end") -> Rank:
+    middle = (F.col("_first") + F.col("_last") + 1) / 2
+    return Rank(middle / F.col("_size"), _direction(sort_keys), null_placement)
 
 
-_RANK_SCRATCH = ["_cls", "_val", "_pos", "_first", "_last", "_size", "_none", "_tie"]
+# Coefficients of Wichura's algorithm AS 241, highest power first,
+# as (numerator, denominator) for the middle, the tails and the far tails.
+NORMAL_MIDDLE = (
+    [2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+     13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.3871328727963666080],
+    [5226.4952788528545610, 28729.085735721942674, 39307.895800092710610, 21213.794301586595867,
+     5394.1960214247511077, 687.18700749205790830, 42.313330701600911252, 1.0],
+)
+NORMAL_TAIL = (
+    [7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258,
+     3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734],
+    [1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+     6.89767334985100004550e-1, 1.67638483018380384940, 2.05319162663775882187, 1.0],
+)
+NORMAL_FAR = (
+    [2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+     2.96560571828504891230e-1, 1.78482653991729133580, 5.46378491116411436990, 6.65790464350110377720],
+    [2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+     1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0],
+)
 
 
-@_ordered("rank")
-def rank(
-    df: DataFrame, column: str, into: str, group: str, at: str, sort_keys: Any = "ascending",
-    null_placement: str = "at_end", tiebreaker: str = "first",
-) -> DataFrame:
-    descending = _direction(sort_keys)
-    if tiebreaker == "first":
-        placed = positions(df, column, group, at, descending, null_placement)
-        return placed.withColumn(into, F.col("_pos") + 1).drop(*_RANK_SCRATCH)
-    if tiebreaker not in ("min", "max", "dense"):
-        raise ValueError(f"Unknown tiebreaker '{tiebreaker}'")
-    tied = _ties(df, column, group, at, descending, null_placement)
-    if tiebreaker in ("min", "max"):
-        edge = "_first" if tiebreaker == "min" else "_last"
-        return tied.withColumn(into, F.col(edge) + 1).drop(*_RANK_SCRATCH)
-    # Dense ranks number the distinct values, again by ranges.
-    distinct = tied.select(group, "_first").distinct().withColumn("_one", F.col("_first"))
-    numbered = positions(distinct, "_one", group, "_first").select(group, "_first", (F.col("_pos") + 1).alias("_dense"))
-    return tied.join(numbered, [group, "_first"]).withColumn(into, F.col("_dense")).drop("_dense", *_RANK_SCRATCH)
-
-
-@_ordered("rank_quantile")
-def rank_quantile(
-    df: DataFrame, column: str, into: str, group: str, at: str, sort_keys: Any = "ascending", null_placement: str = "at_end"
-) -> DataFrame:
-    tied = _ties(df, column, group, at, _direction(sort_keys), null_placement)
-    middle = (F.col("_first") + F.col("_last") + 1) / 2
-    return tied.withColumn(into, middle / F.col("_size")).drop(*_RANK_SCRATCH)
-
-
-def normal_ppf(p: np.ndarray) -> np.ndarray:
-    """Inverse of the normal distribution: Acklam's rational approximation,
-    sharpened by Halley steps."""
-    from math import erfc, exp, pi, sqrt
-
-    a = [-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00]
-    b = [-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00]
-    low = 0.02425
-    with np.errstate(divide="ignore", invalid="ignore"):
-        tail = np.sqrt(-2 * np.log(np.minimum(p, 1 - p)))
-        outer = np.polyval(c, tail) / np.polyval([*d, 1.0], tail)
-        q = p - 0.5
-        inner = q * np.polyval(a, q * q) / np.polyval([*b, 1.0], q * q)
-    x = np.where(p < low, outer, np.where(p > 1 - low, -outer, inner))
-    for _ in range(2):
-        error = 0.5 * np.array([erfc(-v / sqrt(2)) for v in x]) - p
-        u = error * sqrt(2 * pi) * np.array([exp(min(v * v / 2, 700)) for v in x])
-        x = x - u / (1 + x * u / 2)
-    return x
-
-
-@_ordered("rank_normal")
-def rank_normal(
-    df: DataFrame, column: str, into: str, group: str, at: str, sort_keys: Any = "ascending", null_placement: str = "at_end"
-) -> DataFrame:
-    # The inverse normal has no built-in counterpart.
-    @F.pandas_udf(T.DoubleType())
-    def inverse(p: pd.Series) -> pd.Series:
-        return pd.Series(normal_ppf(p.to_numpy(dtype=float)))
+def _ratio(x: Column, coefficients: tuple[list[float], list[float]]) -> Column:
+    def polynomial(terms: list[float]) -> Column:
+        total = F.lit(terms[0])
+        for term in terms[1:]:
+            total = total * x + F.lit(term)
+        return total
+
+    return polynomial(coefficients[0]) / polynomial(coefficients[1])
+
+
+def normal_ppf(p: Column) -> Column:
+    """Inverse of the normal distribution for a probability between 0 and 1."""
+    q = p - 0.5
+    depth = F.sqrt(-F.ln(F.least(p, 1 - p)))
+    tail = F.when(depth <= 5, _ratio(depth - 1.6, NORMAL_TAIL)).otherwise(_ratio(depth - 5, NORMAL_FAR))
+    middle = q * _ratio(F.lit(0.180625) - q * q, NORMAL_MIDDLE)
+    return F.when(F.abs(q) <= 0.425, middle).otherwise(F.signum(q) * tail)
+
 
-    ranked = rank_quantile(df, column, "_c_q", group, at, sort_keys, null_placement)
-    return _put(ranked, into, inverse(F.col("_c_q")))
+def rank_normal(sort_keys: Any = "ascending", null_placement: str = "at_end") -> Rank:
+    quantile = rank_quantile(sort_keys, null_placement)
+    return Rank(normal_ppf(quantile.value), quantile.descending, null_placement)
+
+
+RANKS.update({"rank": rank, "rank_quantile": rank_quantile, "rank_normal": rank_normal})
 
 
-@_ordered("sort_indices", "array_sort_indices")
 def sort_indices(
     df: DataFrame, column: str, into: str, group: str, at: str, sort_keys: Any = "ascending",
     null_placement: str = "at_end", order: str | None = None,
 ) -> DataFrame:
     """Row i gets the row number of the i-th row in sorted order."""
-    placed = positions(df.select(group, at, column), column, group, at, _direction(sort_keys, order), null_placement)
+    placed = positions(df, column, group, at, _direction(sort_keys, order), null_placement)
     answer = placed.select(F.col(group), F.col("_pos").alias(at), F.col(at).alias("_c_i"))
     return _put(df.join(answer, [group, at]), into, F.col("_c_i"))
 
 
-@_ordered("winsorize")
 def winsorize(
     df: DataFrame, column: str, into: str, group: str, at: str, lower_limit: float, upper_limit: float
 ) -> DataFrame:
     """Values beyond two quantiles become those quantiles' values."""
-    dtype = df.schema[column].dataType
     value = F.col(f"`{column}`")
-    real = value.isNotNull() & (~F.isnan(value) if is_float(dtype) else F.lit(True))
-    placed = positions(df.where(real).select(group, at, column), column, group, at)
-    sizes = placed.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    last = F.col("_size") - 1
-    spots = sizes.select(
-        group,
-        F.round(F.lit(lower_limit) * last).cast("bigint").alias("_lo"),
-        F.round(F.lit(upper_limit) * last).cast("bigint").alias("_hi"),
-    )
-    # Only the two rows at those places are looked up per group.
-    picked = placed.join(spots, group).where((F.col("_pos") == F.col("_lo")) | (F.col("_pos") == F.col("_hi")))
-    bounds = picked.groupBy(group).agg(F.min(column).alias("_c_lo"), F.max(column).alias("_c_hi"))
+    real = value.isNotNull() & (~F.isnan(value) if is_float(df.schema[column].dataType) else F.lit(True))
+    placed = positions(df.where(real), column, group, at)
+    spots = [F.round(F.lit(limit) * (F.col("_size") - 1)).cast("bigint") for limit in (lower_limit, upper_limit)]
+    # Only the two rows at those places are left per group.
+    picked = placed.where((F.col("_pos") == spots[0]) | (F.col("_pos") == spots[1]))
+    bounds = picked.groupBy(group).agg(F.min("_val").alias("_c_lo"), F.max("_val").alias("_c_hi"))
     clipped = F.least(F.greatest(value, F.col("_c_lo")), F.col("_c_hi"))
     return _put(_join_side(df, bounds, [group], "left"), into, F.when(real, clipped).otherwise(value))
+
+
+ALONE.update({"sort_indices": sort_indices, "array_sort_indices": sort_indices, "winsorize": winsorize})

@@ -64,15 +64,29 @@ def apply_function(
     Order-dependent functions need ``row_order``: the columns that name the file
     and the row number in it. They default to the ones of a scan.
     """
+    call = (column, name, into or column, args, kwargs)
+    return apply_functions(df, [call], row_order)
+
+
+def apply_functions(
+    df: DataFrame, calls: list[tuple[str, str, str, tuple, dict[str, Any]]], row_order: tuple[str, str] | None = None
+) -> DataFrame:
+    """Apply ``(column, name, into, args, kwargs)`` in turn; neighbouring
+    order-dependent functions share their passes over the rows."""
     from rawlake.functions import ordered
 
     _load()
-    into = into or column
-    if name in ordered.FUNCTIONS:
-        group, at = row_order or _order_columns(df, name)
-        return ordered.FUNCTIONS[name](df, column, into, group, at, *args, **kwargs)
-    value = F.col(f"`{column}`")
-    return df.withColumn(into, build(name, value, df.schema[column].dataType, *args, **kwargs))
+    waiting: list[ordered.Call] = []
+    for column, name, into, args, kwargs in calls:
+        if ordered.known(name):
+            keys = row_order or _order_columns(df, name)
+            waiting.append(ordered.Call(name, column, into, tuple(args), kwargs))
+            continue
+        if waiting:
+            df, waiting = ordered.apply(df, waiting, *keys), []
+        value = F.col(f"`{column}`")
+        df = df.withColumn(into, build(name, value, df.schema[column].dataType, *args, **kwargs))
+    return ordered.apply(df, waiting, *keys) if waiting else df
 
 
 def _order_columns(df: DataFrame, name: str) -> tuple[str, str]:
@@ -85,7 +99,7 @@ def names() -> list[str]:
     from rawlake.functions import ordered
 
     _load()
-    return sorted(set(REGISTRY) | set(ordered.FUNCTIONS))
+    return sorted(set(REGISTRY) | ordered.names())
 
 
 def _load() -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlake.functions.registry import apply_function
+from rawlake.functions.registry import apply_functions
 from rawlake.functions.timeformat import to_spark_pattern
 from rawlake.operators.columns import safe_cast
 from rawlake.session import bounded_broadcast, materialize
@@ -156,8 +156,12 @@ def add_lineage(df: DataFrame, metadata: dict[str, Any] | None, creation_time: d
     columns are wanted, ``_index``.
     """
     metadata = metadata or {}
+    waiting: dict[str, dict[str, Any]] = {}
     for name, spec in (metadata.get("additional_metadata") or {}).items():
-        df = _additional(df, name, spec)
+        if spec["source"].partition(".")[2].split(".")[0] in waiting:
+            df, waiting = _additional(df, waiting), {}
+        waiting[name] = spec
+    df = _additional(df, waiting)
     if not metadata.get("standard_metadata", True):
         return df
     from_mtime = (metadata.get("knowledge_time") or {}).get("from") == "file_mtime"
@@ -172,24 +176,32 @@ def add_lineage(df: DataFrame, metadata: dict[str, Any] | None, creation_time: d
     )
 
 
-def _additional(df: DataFrame, name: str, spec: dict[str, Any]) -> DataFrame:
+def _additional(df: DataFrame, specs: dict[str, dict[str, Any]]) -> DataFrame:
+    """Add columns none of which is the source of another."""
+    if not specs:
+        return df
+    df = df.withColumns({name: _source(spec) for name, spec in specs.items()})
+    calls = [
+        (name, spec["func"], name, tuple(spec.get("func_args") or []), spec.get("func_kwargs") or {})
+        for name, spec in specs.items() if spec.get("func")
+    ]
+    df = apply_functions(df, calls)
+    casts = {}
+    for name, spec in specs.items():
+        have = df.schema[name].dataType
+        target, _ = parse_type(spec["dtype"])
+        plain = isinstance(have, T.NullType) or have == target
+        casts[name] = F.col(f"`{name}`").cast(target) if plain else safe_cast(F.col(f"`{name}`"), have, target)
+    return df.withColumns(casts)
+
+
+def _source(spec: dict[str, Any]) -> Column:
     kind, _, key = spec["source"].partition(".")
     key = key.split(".")[0]
     if kind == "extract_vars":
-        value = F.col(f"`_v_{key}`")
-    elif kind == "metadata":
-        value = file_facts()[key]
-    elif kind == "column":
-        value = F.col(f"`{key}`")
-    else:
-        raise ValueError(f"Unknown source: {spec['source']}")
-    df = df.withColumn(name, value)
-    if spec.get("func"):
-        df = apply_function(
-            df, name, spec["func"], *(spec.get("func_args") or []), **(spec.get("func_kwargs") or {})
-        )
-    have = df.schema[name].dataType
-    target, _ = parse_type(spec["dtype"])
-    if isinstance(have, T.NullType) or have == target:
-        return df.withColumn(name, F.col(name).cast(target))
-    return df.withColumn(name, safe_cast(F.col(name), have, target))
+        return F.col(f"`_v_{key}`")
+    if kind == "metadata":
+        return file_facts()[key]
+    if kind == "column":
+        return F.col(f"`{key}`")
+    raise ValueError(f"Unknown source: {spec['source']}")

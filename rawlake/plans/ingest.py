@@ -147,7 +147,7 @@ class Job:
     def _numbered(self) -> bool:
         """Whether rows need their number: for the output or a function."""
         functions = [f.get("func") for f in (self.metadata.get("additional_metadata") or {}).values()]
-        return self.metadata.get("standard_metadata", True) or any(f in ordered.FUNCTIONS for f in functions)
+        return self.metadata.get("standard_metadata", True) or any(ordered.known(f) for f in functions if f)
 
     def _scan(self, found: Found, i: int, decorate: ordinal.Decorate) -> list[Scan]:
         files, glob = found.files, found.glob

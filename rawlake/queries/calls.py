@@ -11,7 +11,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlake.functions.registry import apply_function, build
+from rawlake.functions import ordered
+from rawlake.functions.registry import apply_function, apply_functions, build
 from rawlake.plans.ingest import Job
 from rawlake.queries import query
 from rawlake.queries.outputs import DAILY, EVENT_TYPES, EVENTS_INPUT, daily_events
@@ -269,13 +270,12 @@ _W = "(PARTITION BY day ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND C
         CASE WHEN sum(user_id % 2) OVER {_W} % 2 = 0 THEN 1 ELSE -1 END AS product FROM ({_E})""",
 )
 def fn_cumulative(spark: SparkSession, sf: str) -> DataFrame:
-    df = _events(spark, sf)
-    for into, column, fn, kwargs in [
+    calls = [
         ("running", "value", "cumulative_sum", {}), ("high", "value", "cumulative_max", {}), ("low", "value", "cumulative_min", {}),
         ("skipping", "gaps", "cumulative_sum", {"skip_nulls": True}), ("mean", "gaps", "cumulative_mean", {"skip_nulls": True}),
         ("until_null", "gaps", "cumulative_sum_checked", {}), ("product", "sign", "cumulative_prod", {}),
-    ]:
-        df = apply_function(df, column, fn, into=into, **kwargs)
+    ]
+    df = apply_functions(_events(spark, sf), [(column, fn, into, (), kwargs) for into, column, fn, kwargs in calls])
     sums = [F.round(c, 8).alias(c) for c in ("running", "skipping", "until_null")]
     # Divided by a prime, the mean has no ties to round.
     return df.select("event_id", "high", "low", *sums, F.round(F.col("mean") / 7919, 10).alias("mean"), "product")
@@ -288,9 +288,8 @@ def fn_cumulative(spark: SparkSession, sf: str) -> DataFrame:
         round(value - lag(value, 2) OVER (PARTITION BY day ORDER BY event_id), 4) AS step FROM ({_E})""",
 )
 def fn_fill_null(spark: SparkSession, sf: str) -> DataFrame:
-    df = _events(spark, sf)
-    df = apply_function(df, "gaps", "fill_null_forward", into="forward")
-    df = apply_function(df, "gaps", "fill_null_backward", into="backward")
+    fills = [("gaps", f"fill_null_{way}", way, (), {}) for way in ("forward", "backward")]
+    df = apply_functions(_events(spark, sf), fills)
     df = apply_function(df, "value", "pairwise_diff", into="step", period=2)
     return df.select("event_id", "forward", "backward", F.round("step", 4).alias("step"))
 
@@ -305,16 +304,28 @@ _R = "(PARTITION BY day ORDER BY gaps NULLS LAST)"
         round((rank() OVER {_R} - 1 + count(*) OVER (PARTITION BY day, gaps) / 2.0) / count(*) OVER (PARTITION BY day), 9) AS quantile FROM ({_E})""",
 )
 def fn_rank(spark: SparkSession, sf: str) -> DataFrame:
-    df = _events(spark, sf)
-    for tie in ("first", "min", "max", "dense"):
-        df = apply_function(df, "gaps", "rank", into=f"by_{tie}", tiebreaker=tie)
-    df = apply_function(df, "gaps", "rank_quantile", into="quantile")
+    calls = [("gaps", "rank", f"by_{tie}", (), {"tiebreaker": tie}) for tie in ("first", "min", "max", "dense")]
+    df = apply_functions(_events(spark, sf), [*calls, ("gaps", "rank_quantile", "quantile", (), {})])
     return df.select("event_id", "by_first", "by_min", "by_max", "by_dense", F.round("quantile", 9).alias("quantile"))
 
 
-@query("fn_rank_normal")
+def _ratio_sql(x: str, coefficients: tuple[list[float], list[float]]) -> str:
+    powers = [[f"{c!r}::DOUBLE * pow({x}, {len(terms) - 1 - i})" for i, c in enumerate(terms)] for terms in coefficients]
+    return f"(({' + '.join(powers[0])}) / ({' + '.join(powers[1])}))"
+
+
+@query(
+    "fn_rank_normal",
+    f"""WITH e AS (SELECT event_id, (rank() OVER (PARTITION BY day ORDER BY value) - 1 + count(*) OVER (PARTITION BY day, value) / 2.0::DOUBLE)
+                      / count(*) OVER (PARTITION BY day) AS p FROM ({_E})),
+             s AS (SELECT event_id, p - 0.5::DOUBLE AS q, sqrt(-ln(least(p, 1 - p))) AS d FROM e)
+        SELECT event_id, round(CASE WHEN abs(q) <= 0.425 THEN q * {_ratio_sql("(0.180625::DOUBLE - q * q)", ordered.NORMAL_MIDDLE)}
+               WHEN d <= 5 THEN sign(q) * {_ratio_sql("(d - 1.6::DOUBLE)", ordered.NORMAL_TAIL)}
+               ELSE sign(q) * {_ratio_sql("(d - 5)", ordered.NORMAL_FAR)} END, 6) AS score FROM s""",
+)
 def fn_rank_normal(spark: SparkSession, sf: str) -> DataFrame:
-    return apply_function(_events(spark, sf), "value", "rank_normal", into="score").select("event_id", "score")
+    scored = apply_function(_events(spark, sf), "value", "rank_normal", into="score")
+    return scored.select("event_id", F.round("score", 6).alias("score"))
 
 
 @query(
