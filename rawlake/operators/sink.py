@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawlake.sources import remote
 from rawlake.sources.inventory import base_name, plain_path
 
 OUT_KEY = "_out_key"
 
+CHECKSUMS = "_MD5SUMS"
+
 
 def _fs(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -94,13 +99,55 @@ def write_empty(df: DataFrame, basedir: str, targets: list[str], **options: str)
     fs.delete(source.getParent(), True)
 
 
-def checksums(spark: SparkSession, globs: list[str]) -> DataFrame:
-    """MD5 of every part file below the globs, computed where they lie."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(globs)
-    path = plain_path(F.col("path"))
-    return files.where(base_name(path).rlike(r"\.parquet$")).select(
-        path.alias("path"), F.col("length").alias("size"), F.md5("content").alias("md5")
-    )
+def checksums(spark: SparkSession, paths: list[str], pattern: str = r"\.parquet$") -> DataFrame:
+    """Size and MD5 of every file below the paths (or globs) whose name matches.
+
+    Tasks stream the files piece by piece; Spark only lists them.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    named = files.select(plain_path(F.col("path")).alias("path"), F.col("length").alias("size"))
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(md5=[remote.md5(path) for path in batch["path"]])
+
+    return named.where(base_name(F.col("path")).rlike(pattern)).mapInPandas(digest, "path string, size bigint, md5 string")
+
+
+def write_checksums(spark: SparkSession, outputs: list[str]) -> None:
+    """In each output a text ``CHECKSUMS``: digest and name of each part file,
+    as ``md5sum -c`` reads it there. Spark takes such names for no data."""
+    if not outputs:
+        return
+    found = checksums(spark, outputs)
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    line = F.concat("md5", F.lit("  "), base_name(F.col("path")))
+    texts = found.groupBy(folder.alias("output")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("text"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                with remote.open_output(f"{row.output}/{CHECKSUMS}") as out:
+                    out.write(f"{row.text}\n".encode())
+            yield batch[["output"]]
+
+    texts.mapInPandas(write, "output string").count()
+
+
+def read_checksums(outputs: DataFrame) -> DataFrame:
+    """``output, name, md5`` as told by each ``output``, with nulls if it tells nothing."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for output in batch["output"]:
+                try:
+                    with remote.open_input(f"{output}/{CHECKSUMS}") as raw:
+                        rows = [line.split("  ", 1) for line in raw.read().decode().splitlines()]
+                except FileNotFoundError:
+                    rows = [[None, None]]
+                yield pd.DataFrame({"output": output, "name": [r[1] for r in rows], "md5": [r[0] for r in rows]})
+
+    return outputs.select("output").mapInPandas(read, "output string, name string, md5 string")
 
 
 def run_stats(df: DataFrame, file_column: str = "_source_file") -> DataFrame:

@@ -188,22 +188,23 @@ class Job:
     def write(self, start: str | None = None, end: str | None = None, allow_empty: bool = False) -> dict[str, Any]:
         """Ingest a key range: one output per raw file or, in aggregate mode,
         one per distinct output path. A file without rows gives an empty output
-        (Spark lists no files of no bytes, so those give none);
-        two files with one output path raise, unless in aggregate mode."""
+        (Spark lists no files of no bytes, so those give none), and every output
+        a text of checksums in it; two files with one output path raise, unless in aggregate mode."""
         files = self.inventory(start, end, allow_empty)
         expected = self._outputs(files)
         df = self.rows(start, end, allow_empty, files, keyed=True)
         options = {k: str(v) for k, v in (self.output.get("writer_kwargs") or {}).items()}
         if sink.OUT_KEY not in df.columns:  # no file has as much as a header
             empty = self._write_empty(df, expected, [], options)
+            sink.write_checksums(self.spark, empty)
             return {"outputs": empty, "files": sum(f.files.count() for f in files), "rows": 0}
         watch = Observation()
         df = df.observe(watch, F.count(F.lit(1)).alias("rows"))
         outputs = sink.write_outputs(df, self.basedir, **options)
         outputs = sorted(outputs + self._write_empty(df.drop(sink.OUT_KEY), expected, outputs, options))
+        sink.write_checksums(self.spark, outputs)
         return {"outputs": outputs, "files": sum(f.files.count() for f in files), "rows": watch.get["rows"]}
 
-
     def _outputs(self, found: list[Found]) -> DataFrame:
         """Output paths of all files, as a written table of ``target``."""
         pieces = [f.files.select("path", self.output_path(F.col("path"), t).alias("target")) for f, t in zip(found, self.templates)]

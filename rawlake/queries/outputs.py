@@ -81,11 +81,38 @@ def aggregate_mode(spark: SparkSession, sf: str) -> DataFrame:
     return _read_outputs(spark, job.basedir, "/*.parq").select(*_COLUMNS, "output")
 
 
-@query("checksum")
+_LINE = "o_orderkey || ',' || o_custkey || ',' || o_orderpriority || chr(10)"
+
+
+@query(
+    "checksum",
+    f"""SELECT strftime(o_orderdate, '%Y%m') || '.txt' AS name, CAST(sum(length({_LINE})) AS BIGINT) AS size, md5(string_agg({_LINE}, '' ORDER BY o_orderkey)) AS md5
+        FROM orders GROUP BY name""",
+)
 def checksum(spark: SparkSession, sf: str) -> DataFrame:
+    def write(root: str) -> None:
+        path = F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit(".txt"))
+        line = F.concat_ws(",", text("o_orderkey"), text("o_custkey"), "o_orderpriority")
+        stage_lines(table(spark, sf, "orders"), root, path, line, [F.col("o_orderkey")])
+
+    root = once(spark, sf, "orders-text", write)
+    found = sink.checksums(spark, [root], r"\.txt$")
+    return found.select(F.substring_index("path", "/", -1).alias("name"), "size", "md5")
+
+
+@query("checksum_sidecar", "SELECT DISTINCT strftime(ts, '%Y%m%d') || '.t.parq' AS output, true AS sound FROM events")
+def checksum_sidecar(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of checksums against digests of the part files as they lie there."""
     job = _job(spark, sf, "{YYYYMMDD}.{table}.parq")
     job.write()
-    return sink.checksums(spark, [f"{job.basedir}/*.parq"]).select("size", "md5")
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{job.basedir}/*.parq")
+    path = F.regexp_replace("path", "^file:/+", "/")
+    actual = parts.select(
+        F.regexp_replace(path, "/[^/]*$", "").alias("output"), F.substring_index(path, "/", -1).alias("name"), F.md5("content").alias("md5")
+    )
+    told = sink.read_checksums(actual.select("output").distinct()).withColumn("told", F.lit(True))
+    both = actual.join(told, ["output", "name", "md5"], "full").groupBy("output").agg(F.bool_and(F.coalesce("told", F.lit(False))).alias("sound"))
+    return both.select(F.substring_index("output", "/", -1).alias("output"), "sound")
 
 
 @query(

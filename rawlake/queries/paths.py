@@ -80,11 +80,22 @@ def date_parts_derived(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("o_orderkey", *[parts[n].alias(f"p_{n.lower()}") for n in names])
 
 
-@query("file_metadata")
+@query(
+    "file_metadata",
+    """SELECT 'orders_' || strftime(o_orderdate, '%Y%m') || '01.csv' AS file_name, strftime(o_orderdate, '%Y/%m/') || 'orders_' || strftime(o_orderdate, '%Y%m') || '01.csv' AS below,
+              CAST(NULL AS VARCHAR) AS member_name, false AS is_zip, true AS dated,
+              CAST(length('o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority') + 1
+                   + sum(length(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority)) + 1) AS BIGINT) AS file_size
+       FROM orders GROUP BY 1, 2""",
+)
 def file_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    template = PathTemplate(f"{monthly_orders(spark, sf)}/{MONTHLY}")
-    found = inventory.discover(spark, template)
-    return found.select("file_name", "full_file_name", "is_zip", "member_name", "file_mtime", "file_size")
+    root = monthly_orders(spark, sf)
+    found = inventory.discover(spark, PathTemplate(f"{root}/{MONTHLY}"))
+    below = F.replace("path", F.lit(f"{root}/"), F.lit(""))
+    # Written by this session, so since it was started.
+    started = F.timestamp_millis(F.lit(spark.sparkContext.startTime - 2000))
+    dated = (F.col("file_mtime") >= started) & (F.col("file_mtime") <= F.current_timestamp())
+    return found.select("file_name", below.alias("below"), "member_name", "is_zip", dated.alias("dated"), "file_size")
 
 
 @query(
@@ -190,10 +201,21 @@ def multi_template(spark: SparkSession, sf: str) -> DataFrame:
     return frames[0].unionByName(frames[1])
 
 
-@query("sample_files")
+@query(
+    "sample_files",
+    """WITH f AS (SELECT count(DISTINCT strftime(o_orderdate, '%Y%m')) AS n FROM orders)
+       SELECT CAST(size AS BIGINT) AS asked, least(size, n) AS drawn, least(size, n) AS of_the_files FROM f, (VALUES (1), (20), (100000)) AS s(size)""",
+)
 def sample_files(spark: SparkSession, sf: str) -> DataFrame:
-    template = PathTemplate(f"{monthly_orders(spark, sf)}/{MONTHLY}")
-    return inventory.sample_files(inventory.discover(spark, template), 20, seed=7).select("file_name", "d")
+    """Which files a draw gives is random; how many, and that they are files found, is not."""
+    found = inventory.discover(spark, PathTemplate(f"{monthly_orders(spark, sf)}/{MONTHLY}"))
+    names = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyyMM"), F.lit("01.csv"))
+    files = table(spark, sf, "orders").select(names.alias("file_name")).distinct().withColumn("known", F.lit(1))
+    draws = []
+    for size in (1, 20, 100000):
+        drawn = inventory.sample_files(found, size, seed=7).select("file_name").distinct().join(files, "file_name", "left")
+        draws.append(drawn.agg(F.lit(size).cast("bigint").alias("asked"), F.count("*").alias("drawn"), F.count("known").alias("of_the_files")))
+    return draws[0].unionByName(draws[1]).unionByName(draws[2])
 
 
 # -- reverse lineage -----------------------------------------------------------------

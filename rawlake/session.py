@@ -81,6 +81,11 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
+    if root.startswith("/"):
+        # The same place for Spark and for tasks that open files themselves.
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        full = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+        root = root if full.startswith("file:") else full
     return root.rstrip("/")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import bz2
 import csv
 import gzip
+import hashlib
 import io
 import lzma
 import re
@@ -22,10 +23,15 @@ SUFFIXES = [(".gz", "gzip"), (".bz2", "bz2"), (".xz", "xz"), (".lzma", "xz")]
 _OPENERS = {"gzip": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 
 
+# Names Spark has for schemes Arrow knows by another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _locate(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("/"):
         return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
 
 
 def suffix_codec(path: str) -> str | None:
@@ -47,6 +53,12 @@ def open_input(path: str):
     return system.open_input_file(name)
 
 
+def md5(path: str) -> str:
+    """Hex digest of a file, read piece by piece."""
+    with open_input(path) as raw:
+        return hashlib.file_digest(raw, "md5").hexdigest()
+
+
 def open_output(path: str):
     system, name = _locate(path)
     system.create_dir(name.rsplit("/", 1)[0], recursive=True)

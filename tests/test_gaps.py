@@ -180,3 +180,28 @@ def test_wide_encodings_behind_a_preamble(spark, tmp_path, encoding):
 def test_unknown_timestamp_arguments_raise(text):
     with pytest.raises(ValueError):
         parse_type(text)
+
+
+def test_checksums_lie_in_the_output(spark, tmp_path):
+    import hashlib
+
+    from rawlake.operators import sink
+
+    target = f"{tmp_path}/out.parq"
+    spark.range(10).repartition(3).write.parquet(target)
+    sink.write_checksums(spark, [target])
+    told = {r["name"]: r["md5"] for r in sink.read_checksums(spark.createDataFrame([(target,)], "output string")).collect()}
+    parts = {p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in (tmp_path / "out.parq").glob("*.parquet")}
+    assert told == parts
+    assert len(parts) > 1
+    assert spark.read.parquet(target).count() == 10
+
+
+def test_schemes_of_object_stores():
+    from pyarrow import fs
+
+    from rawlake.sources import remote
+
+    system, name = remote._locate("s3a://bucket/a/b.csv?region=eu-west-1")
+    assert isinstance(system, fs.S3FileSystem)
+    assert name == "bucket/a/b.csv"
