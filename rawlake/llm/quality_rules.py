@@ -20,6 +20,7 @@ from rawlake.llm.common import binary, hash_words, lowered, materialize, mixed,
 CELLS = 1 << 17
 SMOOTHING = 0.5  # added to the count of each cell
 TRUSTED_KEPT = 0.995  # part of the trusted documents that the threshold must leave
+FOLDS = 5  # parts of the trusted documents; each is scored without its own counts to set the threshold
 STEPS = 1000  # thresholds looked at between two whole log ratios
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated three-word windows
@@ -34,9 +35,11 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     ``trusted`` has the ids (``id_col``) of the trusted part. One row per input
     row: the id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``score`` (mean log ratio; 0 without
-    words) and ``kept``. The threshold is the highest thousandth which
-    ``trusted_kept`` of the trusted documents that pass the base rules reach, so
-    it is the same for every run; with none, the base rules alone decide. Null and
+    words) and ``kept``. A trusted document's own words raise its score, so the
+    threshold is set on scores that leave out the trusted counts of the document's
+    fold (by a hash of the id): it is the highest thousandth which ``trusted_kept``
+    of the trusted documents that pass the base rules reach so, and the same for
+    every run; with none, the base rules alone decide. Null and
     empty texts have no words and fail the base rules; a null id is in no trusted
     part; repeated rows count as often as they occur. Other columns are not read.
     """
@@ -45,18 +48,21 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     known = trusted.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct().withColumn("trusted", F.lit(True))
     # Ids are measured; beyond the bound the texts are shuffled by id.
     known = F.broadcast(known) if small(known, 40) else known
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id", "left").select(
-        "id", F.coalesce("trusted", F.lit(False)).alias("trusted"), "text"
-    )
-    counts = texts.select("trusted", "text").mapInArrow(_count(cells), "cell int, raw bigint, own bigint")
+    fold = F.when(F.col("trusted"), F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int")).alias("fold")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id", "left").select("id", fold, "text")
+    own_names = [f"own{k}" for k in range(FOLDS)]
+    counts = texts.select("fold", "text").mapInArrow(_count(cells), ", ".join(["cell int, raw bigint", *[f"{c} bigint" for c in own_names]]))
     # One row per cell, whatever the corpus.
-    table = counts.groupBy("cell").agg(F.sum("raw").alias("raw"), F.sum("own").alias("own")).toArrow()
-    raw, own = np.zeros(cells), np.zeros(cells)
+    table = counts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("raw", *own_names)]).toArrow()
+    raw, folds = np.zeros(cells), np.zeros((FOLDS, cells))
     raw[table["cell"].to_numpy()] = table["raw"].to_numpy()
-    own[table["cell"].to_numpy()] = table["own"].to_numpy()
-    ratio = np.log((own + SMOOTHING) / (own.sum() + SMOOTHING * cells)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * cells))
-    model = spark.sparkContext.broadcast(ratio if own.any() else np.zeros(cells))
-    columns = f"id {id_type}, trusted boolean, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, score double"
+    for k, c in enumerate(own_names):
+        folds[k, table["cell"].to_numpy()] = table[c].to_numpy()
+    own = folds.sum(axis=0)
+    # The last row is of all trusted documents, each other row without one fold.
+    ratios = np.stack([_ratio(raw, own - f) for f in folds] + [_ratio(raw, own)])
+    model = spark.sparkContext.broadcast(ratios if own.any() else np.zeros((FOLDS + 1, cells)))
+    columns = f"id {id_type}, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, score double, held_out double"
     scored = materialize(texts.mapInArrow(_score(cells, model), columns), "quality-scores")
     scored = scored.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
     least = _threshold(scored, trusted_kept)
@@ -66,10 +72,15 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     )
 
 
+def _ratio(raw: np.ndarray, own: np.ndarray) -> np.ndarray:
+    cells = len(raw)
+    return np.log((own + SMOOTHING) / (own.sum() + SMOOTHING * cells)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * cells))
+
+
 def _threshold(scored: DataFrame, trusted_kept: float) -> float:
     # Mean log ratios are within a few tens, so the steps are few whatever the corpus.
-    step = F.floor(F.col("score") * STEPS).cast("int")
-    steps = sorted(scored.filter("trusted AND NOT base_failed").groupBy(step.alias("step")).count().collect(), reverse=True)
+    step = F.floor(F.col("held_out") * STEPS).cast("int")
+    steps = sorted(scored.filter("held_out IS NOT NULL AND NOT base_failed").groupBy(step.alias("step")).count().collect(), reverse=True)
     total, reached = sum(n for _, n in steps), 0
     for at, n in steps:
         reached += n
@@ -86,31 +97,34 @@ def _cells(hashes: np.ndarray, cells: int) -> np.ndarray:
 
 def _count(cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, own = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+        raw, own = np.zeros(cells, np.int64), np.zeros((FOLDS, cells), np.int64)
         for batch in batches:
-            for trusted, text in zip(batch.column(0).to_pylist(), binary(batch.column(1))):
+            for fold, text in zip(batch.column(0).to_pylist(), binary(batch.column(1))):
                 words = space_words(text and lowered(text))
                 if words:
                     counts = np.bincount(_cells(hash_words(words), cells), minlength=0)
                     raw[: len(counts)] += counts
-                    if trusted:
-                        own[: len(counts)] += counts
+                    if fold is not None:
+                        own[fold, : len(counts)] += counts
         found = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(raw[found]), pa.array(own[found])], ["cell", "raw", "own"])
+        columns = [found.astype(np.int32), raw[found], *own[:, found]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "raw", *[f"own{k}" for k in range(FOLDS)]])
 
     return run
 
 
 def _score(cells: int, model):
-    names = ["id", "trusted", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"]
+    names = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "held_out"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = model.value
+        ratios = model.value
         for batch in batches:
             rows = [statistics(t) for t in binary(batch.column(2))]
-            scores = [float(ratio[_cells(h, cells)].mean()) if len(h) else 0.0 for *_, h in rows]
+            found = [_cells(h, cells) if len(h) else None for *_, h in rows]
             numbers = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *numbers, pa.array(scores, pa.float64())], names)
+            scores = [0.0 if c is None else float(ratios[FOLDS][c].mean()) for c in found]
+            held = [None if f is None else 0.0 if c is None else float(ratios[f][c].mean()) for f, c in zip(batch.column(1).to_pylist(), found)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(scores, pa.float64()), pa.array(held, pa.float64())], names)
 
     return run
 

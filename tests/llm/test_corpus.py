@@ -394,6 +394,20 @@ def test_quality_without_trusted_documents(spark, docs):
     assert out.filter("kept = base_failed").count() == 0
 
 
+def test_threshold_keeps_held_out_documents(spark):
+    """Clean documents outside the trusted part pass like those in it, foreign ones do not."""
+    rng = random.Random(9)
+
+    def prose(letters, kinds=3000):
+        return " ".join(rng.choice(letters) + str(rng.randrange(kinds)) for _ in range(80))
+
+    rows = [(k, prose("abcd")) for k in range(400)] + [(k, prose("wxyz")) for k in range(400, 600)]
+    trusted = spark.createDataFrame([(k,) for k in range(200)], "doc_id bigint")
+    out = {r.doc_id: r.kept for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string"), trusted).collect()}
+    assert sum(out[k] for k in range(200)) >= 199
+    assert sum(out[k] for k in range(200, 400)) >= 190 and not any(out[k] for k in range(400, 600))
+
+
 def brute_places(text):
     w = letters(text)
     found = [(i, label) for phrase, label in licenses.PHRASES for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.split()]
