@@ -23,7 +23,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[a-f]*[0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])")
 _DIGIT = re.compile(r"[0-9]")
 
 # Score of a proposed span, and words nearby that raise it.
@@ -72,6 +72,21 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", free)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    found = _IBAN.search(text)
+    while found:
+        start, end = found.span()
+        # The last groups may be words behind the number.
+        while not mod97(text[start:end].replace(" ", "")):
+            end = text.rfind(" ", start, end)
+            if end < 0 or not _IBAN.fullmatch(text, start, end):
+                break
+        else:
+            yield start, end
+            start = end - 1
+        found = _IBAN.search(text, start + 1)
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -89,7 +104,7 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
         found["ip"] = [m.span() for m in _IP.finditer(text) if all(map(_in_byte, m[0].split(".")))]
         found["card"] = [m.span() for m in _CARD.finditer(text) if 16 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
         found["phone"] = [m.span() for m in _PHONE.finditer(text) if 8 <= len(_digits(m[0])) <= 15] if "+" in text else []
-        found["iban"] = [m.span() for m in _IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
+        found["iban"] = list(_ibans(text))
         found["ssn"] = [m.span() for m in _SSN.finditer(text)]
         found["secret"] = [m.span() for m in _SECRET.finditer(text)]
     out = []

@@ -520,6 +520,17 @@ def test_checksums_context_and_long_runs():
     assert personal.spans(long) is not None
 
 
+def test_secrets_in_either_case_and_numbers_before_words():
+    secret = "04DBEBAB91AB85687D33EEAAF9AC699E1188F962"
+    assert [s[:3] for s in personal.spans(f"TOKEN = {secret}")] == [("secret", 8, 48)]
+    assert personal.spans("token " + "ABCDEF" * 6) == []
+    polish, german = "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00"
+    for text in (f"{polish} USD", f"{polish} PAID NOW", f"{polish} {german}", f"NO12 1234 {german} X", polish.replace(" ", "") + " USD"):
+        want = [n for n in (polish, polish.replace(" ", ""), german) if n in text]
+        assert [text[a:b] for kind, a, b, _ in personal.spans(text) if kind == "iban"] == want, text
+    assert personal.spans("AB12 " * 50_000) == []
+
+
 def test_personal_table(spark):
     df = spark.createDataFrame([(1, None, 3), (2, "", 3), (None, "x@y.zz", 3), (4, "é 1.2.3.4", 3)], "doc_id bigint, text string, spans bigint")
     out = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in personal.find(df).collect()}
