@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawlake.llm.common import binary, document_key, join_counted, lowered, materialize, mixed, prepare
+from rawlake.llm.common import binary, document_key, hash_words, join_counted, lowered, materialize, mixed, prepare, rolling
 from rawlake.llm.components import components
 
 WORDS = 3  # in a shingle
@@ -168,3 +168,101 @@ def connect(values: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndar
             break
     linked = np.flatnonzero(label != np.arange(len(values)))
     return values[linked], values[label[linked]]
+
+
+SHINGLE = 5  # words in a shingle of ``similar``
+BANDS, ROWS = 32, 5  # least hashes: at similarity 0.8 a pair shares none of the bands once in 300,000
+STARS = 2  # rounds in which members of a band meet one of them only
+_FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 23) | np.uint64(1)
+_MIX = mixed(np.arange(1, ROWS + 1, dtype=np.uint64), 29) | np.uint64(1)
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Group of every document by links of Jaccard similarity 0.8 or more.
+
+    One row per input row: the id, ``_thash``, the hash of the text, and ``group``,
+    which is never null. Compared are the sets of five-word shingles, words as in
+    ``group``; a text of fewer words is one shingle, and null, empty and blank
+    texts are one group. Candidates share a band of least hashes; every link is
+    verified on the whole sets, so texts that are less alike are linked only
+    through others. No other columns of ``docs`` are read.
+    """
+    prepare(docs.sparkSession)
+    id_type = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(*document_key("id", "text"), "text")
+    sketches = materialize(texts.mapInArrow(_sketch, f"id {id_type}, _thash bigint, key bigint, bands array<bigint>"), "sketches")
+    # Equal sets are one from here on.
+    classes = sketches.groupBy("key").agg(F.first("bands").alias("bands"), F.min(F.struct("id", "_thash")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes, "set-classes")
+    level = classes.select("key", F.explode("bands").alias("band"))
+    counts = materialize(level.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-sizes")
+    members = materialize(join_counted(level, counts, ["band"], "n").select("band", "key"), "band-members")
+    needed = classes.join(members.select("key").distinct(), "key", "left_semi").select("key", F.col("first.id").alias("_id"), F.col("first._thash").alias("_hash"))
+    whole = texts.join(needed, texts["id"].eqNullSafe(needed["_id"]) & texts["_thash"].eqNullSafe(needed["_hash"])).select("key", "text")
+    sets = materialize(whole.dropDuplicates(["key"]).mapInArrow(_sets, "key bigint, own binary"), "candidate-sets")
+    found, labels = None, None
+    for k in range(STARS + 1):
+        now = members.withColumn("root", F.col("key"))
+        if labels is not None:
+            now = members.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
+            now = materialize(now, "labelled-members")
+        # Only bands in which groups are still apart have anything to compare.
+        centre = F.min(F.struct(F.xxhash64("key", F.lit(k)), F.struct("key", "root").alias("at")))["at"].alias("centre")
+        open_bands = now.groupBy("band").agg(centre, F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        open_bands = materialize(open_bands.filter("low < high").select("band", "n", "centre"), "open-bands")
+        met = join_counted(now, open_bands, ["band"], "n").select("band", "key", "root", "centre")
+        if k < STARS:
+            pairs = met.filter(F.col("root") != F.col("centre.root")).select("key", F.col("centre.key").alias("other"))
+        else:
+            # What is left: pairs of different groups, whichever members they have.
+            other = met.select("band", F.col("key").alias("other"), F.col("root").alias("other_root"))
+            pairs = met.join(other, "band").filter("root < other_root").select("key", "other")
+        pairs = materialize(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "candidates")
+        both = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("own_a")), "a")
+        both = both.join(sets.select(F.col("key").alias("b"), F.col("own").alias("own_b")), "b").select("a", "b", "own_a", "own_b")
+        linked = materialize(both.mapInArrow(_verify, "a bigint, b bigint"), "similar-pairs")
+        found = linked if found is None else found.unionByName(linked)
+        labels = materialize(components(found), "similar-groups")
+    grouped = classes.select("key", "copies").join(labels.withColumnRenamed("node", "key"), "key", "left")
+    grouped = materialize(grouped.select("key", "copies", F.coalesce("root", "key").alias("group")), "class-labels")
+    return join_counted(sketches, grouped, ["key"], "copies").select(F.col("id").alias(id_col), "_thash", "group")
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    """Sorted hashes of the distinct five-word shingles."""
+    own = lowered(text).split() if text else []
+    hashes = hash_words(own)
+    if 0 < len(own) < SHINGLE:
+        return hash_words([b" ".join(own)])
+    return np.unique(rolling(hashes, SHINGLE))
+
+
+def bands(own: np.ndarray) -> np.ndarray:
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(own), 1024):
+        np.minimum(least, (own[at : at + 1024, None] * _FACTORS).min(axis=0), out=least)
+    return mixed((least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64), 31)
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        owns = [shingles(t) for t in binary(batch.column(2))]
+        keys = np.fromiter((xxhash.xxh3_64_intdigest(o.tobytes()) for o in owns), np.uint64, len(owns))
+        found = pa.array([bands(o).view(np.int64) if len(o) else [] for o in owns], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys.view(np.int64)), found], ["id", "_thash", "key", "bands"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        owns = [shingles(t).tobytes() for t in binary(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(owns, pa.binary())], ["key", "own"])
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        alike = []
+        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            alike.append(5 * both >= 4 * (len(a) + len(b) - both))
+        yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))

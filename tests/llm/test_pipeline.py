@@ -1,6 +1,7 @@
 """The corpus pipeline, stage by stage, against plain Python over the same input."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -11,7 +12,7 @@ import corpus_pipeline
 from oracle import compare, duck
 from rawlake.llm import classifier, queries
 from rawlake.session import materialize
-from test_corpus import brute_base, brute_chat, brute_hits, brute_lines, brute_places, brute_simhash, brute_targets, words
+from test_corpus import brute_base, brute_chat, brute_components, brute_hits, brute_lines, brute_places, brute_simhash, brute_targets, words
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +77,33 @@ def test_near_duplicate_stage(stages):
     assert sorted(plain(stages["simhash_near_dedup"])) == want and len(want) < len(rows)
 
 
+def test_near_duplicate_stage_by_jaccard(spark, sf):
+    """Lightly edited copies go, less similar texts stay, as by brute force over all pairs."""
+    rng = random.Random(3)
+
+    def edited(base, n):
+        own = list(base)
+        for at in rng.sample(range(len(own)), n):
+            own[at] = f"x{rng.random()}"
+        return " ".join(own)
+
+    bases = [[str(rng.randrange(10**6)) for _ in range(n)] for n in (60, 150, 300, 700)]
+    texts = [" ".join(b) for b in bases] + [edited(b, n) for b in bases for n in (1, 2, 3, 5, 8, 12, 20) for _ in range(3)]
+    texts += [edited(bases[2], 2) for _ in range(60)] + [None, "", " \n", "a b", "A  b", "a b c", " ".join(bases[0]).upper()]
+    shingles = []
+    for t in texts:
+        w = words((t or "").lower())
+        shingles.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))})
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])]
+    root = brute_components(range(len(texts)), links)
+    first = {}
+    for k in range(len(texts)):
+        first.setdefault(root[k], k)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect())
+    assert out == sorted(first.values()) and 20 < len(out) < len(texts) - 60
+
+
 def test_decontamination_stage(spark, sf, stages):
     items = [(r.item_id, r.text) for r in queries.table(spark, sf, "benchmark").collect()]
     rows = plain(stages["simhash_near_dedup"])
