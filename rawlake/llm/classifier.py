@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawlake.llm.common import binary, hash_words, letter_words, prepare
+from rawlake.llm.common import binary, hash_words, letter_words, materialize, prepare
 
 GRADES = 3
 SAMPLE = 20_000  # rated documents that are fitted on, at most
@@ -72,7 +72,8 @@ def fit(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: s
     rated = rated.groupBy("id").agg(F.min("grade").alias("grade")).withColumn("order", F.xxhash64("id"))
     rated = F.broadcast(rated.orderBy("order", F.col("id").cast("string")).limit(sample))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(rated, "id").select("order", "grade", "text")
-    found = texts.mapInArrow(_extract, "order bigint, grade int, features binary")
+    # Written first: the one task of the fit must not read the whole corpus too.
+    found = materialize(texts.mapInArrow(_extract, "order bigint, grade int, features binary"), "rated-features")
     row = found.coalesce(1).mapInArrow(_fit, "weights binary, cuts array<double>").first()
     return Model(np.frombuffer(row.weights, np.float32), np.array(row.cuts))
 

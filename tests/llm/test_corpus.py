@@ -563,6 +563,23 @@ def test_classifier_learns_and_orders_grades(spark):
     assert not classifier.fit(df, ratings.limit(0)).weights.any()
 
 
+def test_classifier_reads_documents_in_many_tasks(spark, tmp_path, monkeypatch):
+    extract, seen = classifier._extract, str(tmp_path)
+
+    def spied(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            if batch.num_rows:
+                open(f"{seen}/{TaskContext.get().partitionId()}", "w").close()
+            yield from extract(iter([batch]))
+
+    monkeypatch.setattr(classifier, "_extract", spied)
+    docs = spark.createDataFrame([(k, f"word{k % 7} and more") for k in range(80)], "doc_id bigint, text string").repartition(4)
+    classifier.fit(spark.createDataFrame(docs.rdd, docs.schema), spark.createDataFrame([(k, k % 3) for k in range(80)], "doc_id bigint, grade int"))
+    assert len(list(tmp_path.iterdir())) > 1
+
+
 def test_gradient_of_the_ordinal_loss():
     rng = np.random.default_rng(0)
     margins, y, cuts = rng.normal(size=6), np.array([0, 1, 2, 1, 0, 2]), np.array([-0.4, 0.7])
