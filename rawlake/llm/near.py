@@ -114,12 +114,12 @@ def _links(prints: DataFrame) -> DataFrame:
         found = linked if found is None else found.unionByName(linked)
         if counts.filter(~fits).isEmpty():
             return found
-        # With ten free bits or fewer all values under a mask fit, so there are at
-        # most five rounds and ten thousand masks, whatever the documents.
+        # Different masks have finer masks in common: a fingerprint is counted once
+        # under each, so all fit with ten free bits or fewer, and the rounds end.
         pairs = [(_signed(m), _signed(f)) for m in masks for f in finer(m)]
         steps = F.broadcast(spark.createDataFrame(pairs, "mask bigint, next bigint"))
         masks = sorted({f for m in masks for f in finer(m)})
-        level = materialize(met.filter(~fits).join(steps, "mask").select("fp", F.col("next").alias("mask")), "large-buckets")
+        level = materialize(met.filter(~fits).join(steps, "mask").select("fp", F.col("next").alias("mask")).distinct(), "large-buckets")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -285,6 +285,25 @@ def test_links_lose_no_pair(spark, monkeypatch, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, ours.values()))
 
 
+def test_bucket_sizes_count_each_fingerprint_once(spark, monkeypatch):
+    """Finer masks that several masks share hold a fingerprint once."""
+    monkeypatch.setattr(near, "BUCKET", 24)
+    write, sizes, rounds = near.materialize, [], []
+
+    def spied(df, name):
+        out = write(df, name)
+        if name == "bucket-sizes":
+            sizes.append(out.agg(F.max("n")).first()[0])
+        if name == "large-buckets":
+            rounds.append(out.count() - out.distinct().count())
+        return out
+
+    monkeypatch.setattr(near, "materialize", spied)
+    prints = [(k,) for k in range(40)]
+    near._links(spark.createDataFrame(prints, "fp bigint"))
+    assert max(s or 0 for s in sizes) <= len(prints) and len(rounds) > 1 and not any(rounds)
+
+
 def test_masks_cover_every_pair_of_three_bits():
     rng = random.Random(2)
     masks = near._masks()
