@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlake.llm import chat, classifier, contamination, licenses, lines, mixing, near, personal, quality_rules, substrings
+from rawlake.llm import bpe, chat, classifier, contamination, licenses, lines, middle, mixing, near, personal, quality_rules, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +140,33 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = classifier.fit(docs, rated(table(spark, sf_dir, "labels")))
     out = classifier.grade(docs.select("doc_id", "text"), model)
     return out.select("doc_id", F.col("_grade.expected").alias("expected_grade"), F.col("_grade.tail").alias("tail"), (F.col("_grade.tail") >= 0.5).alias("kept"))
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, packed=True)
+    count = F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens")
+    return bpe.decode(encoded, ranks).select("doc_id", count, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = middle.transform(table(spark, sf_dir, "documents"))
+    again = F.sha2(middle.restore(F.col("form"), F.col("output")), 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), again)
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+                      regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+    r AS (SELECT doc_id, text, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+    c AS (SELECT doc_id, text, u, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM r),
+    p AS (SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS x, array_to_string(u[a + 1:b], '') AS y, array_to_string(u[b + 1:], '') AS z FROM c)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p"""
