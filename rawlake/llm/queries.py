@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlake.llm import bpe, chat, classifier, contamination, licenses, lines, middle, mixing, near, personal, quality_rules, substrings
+from rawlake.llm import bpe, chat, classifier, contamination, licenses, lines, middle, mixing, near, personal, phrases, quality_rules, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +170,26 @@ ORACLES["op12_fill_in_middle"] = r"""
            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
            sha256(text) AS restored_sha256
     FROM p"""
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_phrase_mining"] = r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    g AS (SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+          FROM (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT lang, w, unnest(range(1, 5)) AS n FROM w) WHERE len(w) >= n)),
+    c AS (SELECT lang, n, phrase, count(*) AS f FROM g GROUP BY lang, n, phrase),
+    t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM c WHERE n = 1 GROUP BY lang),
+    k AS (SELECT lang, n, phrase, f, string_split(phrase, ' ') AS w FROM c WHERE n > 1 AND f >= 30),
+    x AS (SELECT lang, n, phrase, f AS a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, n)) AS j FROM k)),
+    s AS (SELECT x.lang, x.phrase, a, l.f AS l, r.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (l.f + r.f) AS BIGINT) AS score, j
+          FROM x JOIN c AS l ON l.lang = x.lang AND l.phrase = x.x JOIN c AS r ON r.lang = x.lang AND r.phrase = x.y),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    i AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS f
+          FROM (SELECT lang, w, f, m, unnest(range(1, n - m + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS m FROM k)) GROUP BY ALL),
+    o AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.f IS NULL OR CAST(100 AS HUGEINT) * i.f < CAST(80 AS HUGEINT) * b.a)
+    SELECT * FROM (SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score FROM o JOIN t ON t.lang = o.lang) WHERE rank <= 2000"""
