@@ -1,10 +1,12 @@
 """Collocations: phrases that occur more often than their parts explain.
 
 Counting. The corpus is packed once into bundles. Each bundle asks, for the
-cells that its word pairs fall into, whether all bundles together count a cell
-often enough; a cell never counts less than any of its pairs, so no frequent
-phrase is lost, and a phrase can only be frequent where all its pairs may be.
-Bundles then count the phrases that are left as they stand, word by word.
+cells that its words and word pairs fall into, whether all bundles together
+count a cell often enough; a cell never counts less than what falls into it, so
+no frequent phrase is lost, and a phrase can only be frequent where all its
+words and pairs may be. Bundles then count the phrases that are left as they
+stand, word by word, and hand them on as compressed lists in prefix order, dealt
+out evenly; these are added up list by list.
 
 Joining. The counts are kept as one stream for each length. In prefix order the
 stream of a length and the next shorter one run side by side, each phrase next
@@ -39,6 +41,7 @@ SCALE = 2_000_000
 SHARE = 80  # per cent of a phrase's occurrences that a longer one must take to stand for it
 PACK_BYTES, MOST_PACK_BYTES = 8 << 20, 64 << 20  # text in a bundle, for small and for large corpora
 BLOCK_BITS, MOST_BLOCK_BITS = 22, 26  # cells that one task sums up, likewise
+LIST_BYTES = 8 << 20  # text for each of the shares that phrases are dealt into
 
 # What ends a piece, and what stands for it (no UTF-8 text has that byte).
 _ENDS = b".,;:!?\n\v\f\r"
@@ -90,9 +93,9 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word
     answers = asked.groupBy("block").applyInPandas(lambda asked: shape.sum_up(asked), "block bigint, pack bigint, bits binary")
     per_pack = answers.groupBy("pack").agg(F.collect_list(F.struct("block", "bits")).alias("answers"))
     answered = packs.join(per_pack, "pack", "left").select("blob", "answers")
-    found = answered.mapInArrow(shape.count, "lang string, n int, phrase string, f bigint")
-    summed = found.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
-    return materialize(summed.filter((F.col("f") >= least) | (F.col("n") == 0)), "phrase-counts")
+    lists = answered.mapInArrow(shape.count, "share bigint, list binary")
+    summed = lists.groupBy("share").applyInArrow(lambda lists: shape.add_up(lists), "lang string, n int, phrase string, f bigint")
+    return materialize(summed, "phrase-counts")
 
 
 class _Shape:
@@ -100,8 +103,9 @@ class _Shape:
 
     def __init__(self, total: int, words: int, least: int) -> None:
         self.words, self.least = words, least
-        # About one cell for each pair of words.
-        self.bits = max(BLOCK_BITS, (total // 6).bit_length())
+        # About one cell for each word and each pair.
+        self.bits = max(BLOCK_BITS, (total // 4).bit_length())
+        self.shares = max(64, total // LIST_BYTES)
         self.block_bits = min(max(BLOCK_BITS, self.bits - 8), MOST_BLOCK_BITS)
         self.pack_bytes = min(max(PACK_BYTES, total >> 14), MOST_PACK_BYTES)
 
@@ -132,11 +136,13 @@ class _Shape:
         for batch in batches:
             for pack, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = _Bundle(blob.as_buffer())
-                cells, counted = np.unique(self.cells(own)[own.paired], return_counts=True)
+                cells, counted = np.unique(self.cells(own), return_counts=True)
                 yield from self.questions(pack, cells, np.minimum(counted, self.least))
 
     def cells(self, own: _Bundle) -> np.ndarray:
-        return own.pair_hashes() >> np.uint64(64 - self.bits)
+        """Cells of all words, then of all pairs."""
+        words, pairs = own.hashes()
+        return np.concatenate([words[own.word], pairs[own.paired]]) >> np.uint64(64 - self.bits)
 
     def questions(self, pack: int, cells: np.ndarray, counted: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(cells):
@@ -179,20 +185,46 @@ class _Shape:
     def count(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob, answers in zip(batch.column(0), batch.column(1).to_pylist()):
-                own = _Bundle(blob.as_buffer())
-                for lang, n, phrase, f in own.phrases(self.frequent(own, answers), self.words):
-                    columns = [pa.array(lang, pa.string()), pa.array(np.full(len(f), n, np.int32)), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(f)]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "n", "phrase", "f"])
-
-    def frequent(self, own: _Bundle, answers: list[dict] | None) -> np.ndarray:
-        """Places of pairs whose cell counts often enough."""
-        cells, where = np.unique(self.cells(own)[own.paired], return_inverse=True)
+                yield from self.lists(_Bundle(blob.as_buffer()), answers)
+
+    def lists(self, own: _Bundle, answers: list[dict] | None) -> Iterator[pa.RecordBatch]:
+        """The phrases of a bundle, one list for each share that has any."""
+        tables, shares = [], []
+        for langs, n, phrases, found, hashes in own.phrases(*self.frequent(own, answers), self.words):
+            columns = [pa.array(langs, pa.string()).dictionary_encode(), pa.array(np.full(len(found), n, np.int32)), pa.array(phrases, pa.binary()), pa.array(found)]
+            tables.append(pa.Table.from_arrays(columns, ["lang", "n", "phrase", "f"]))
+            shares.append((hashes % np.uint64(self.shares)).astype(np.int64))
+        table, share = pa.concat_tables(tables).unify_dictionaries(), np.concatenate(shares)
+        # Within a share phrases stay in the order they have, each behind those with the same first words.
+        order = np.argsort(share, kind="stable")
+        table, share = table.take(order).combine_chunks(), share[order]
+        edges = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(share)]
+        for a, b in zip(edges, edges[1:]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(table.slice(a, b - a))
+            found = {"share": pa.array([share[a]], pa.int64()), "list": pa.array([sink.getvalue().to_pybytes()], pa.binary())}
+            yield pa.RecordBatch.from_pydict(found)
+
+    def add_up(self, lists: pa.Table) -> pa.Table:
+        """Counts of a share over all its lists; those below ``least`` go."""
+        tables = [pa.ipc.open_stream(blob.as_buffer()).read_all() for chunk in lists.column("list").chunks for blob in chunk]
+        plain = [t.set_column(0, "lang", t.column(0).cast(pa.string())) for t in tables]
+        summed = pa.concat_tables(plain).group_by(["lang", "n", "phrase"]).aggregate([("f", "sum")])
+        kept = summed.filter(pc.or_(pc.greater_equal(summed["f_sum"], self.least), pc.equal(summed["n"], 0)))
+        return pa.table({"lang": kept["lang"], "n": kept["n"], "phrase": kept["phrase"].cast(pa.string()), "f": kept["f_sum"]})
+
+    def frequent(self, own: _Bundle, answers: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words, and of pairs, whose cell counts often enough."""
+        cells, where = np.unique(self.cells(own), return_inverse=True)
         blocks, sizes = np.unique(cells >> np.uint64(self.block_bits), return_counts=True)
         bits = {a["block"]: a["bits"] for a in answers or []}
         flags = [np.unpackbits(np.frombuffer(bits[int(b)], np.uint8), count=n) for b, n in zip(blocks, sizes.tolist())]
-        found = np.zeros(len(own.ids), bool)
-        found[own.paired] = np.concatenate(flags).astype(bool)[where] if flags else False
-        return found
+        flags = np.concatenate(flags).astype(bool)[where] if flags else np.zeros(0, bool)
+        words, pairs = np.zeros(len(own.ids), bool), np.zeros(len(own.ids), bool)
+        at = np.flatnonzero(own.word)
+        words[at], pairs[own.paired] = flags[: len(at)], flags[len(at) :]
+        return words, pairs
 
 
 class _Bundle:
@@ -220,32 +252,40 @@ class _Bundle:
         self.word = self.ids != cut
         self.paired = np.flatnonzero(self.word[:-1] & self.word[1:])
 
-    def pair_hashes(self) -> np.ndarray:
-        """A hash of the language and two words, for each place but the last."""
-        of_word = np.fromiter(map(xxhash.xxh3_64_intdigest, self.values), np.uint64, len(self.values))
-        of_lang = np.fromiter((xxhash.xxh3_64_intdigest(v.encode()) for v in self.langs), np.uint64, len(self.langs))
-        hashes = of_word[self.ids]
-        return mixed(mixed(hashes[:-1] + of_lang[self.lang[:-1]], 3) + hashes[1:], 5)
+    def lang_hashes(self) -> np.ndarray:
+        return np.fromiter((xxhash.xxh3_64_intdigest(v.encode()) for v in self.langs), np.uint64, len(self.langs))
 
-    def phrases(self, frequent: np.ndarray, words: int) -> Iterator[tuple[list[str], int, list[bytes], np.ndarray]]:
-        """Languages, phrases and counts of each length: all words, and phrases of frequent pairs."""
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the language with the word at each place, and with the pair there."""
+        of_word = np.fromiter(map(xxhash.xxh3_64_intdigest, self.values), np.uint64, len(self.values))
+        plain = of_word[self.ids]
+        words = mixed(plain + self.lang_hashes()[self.lang], 3)
+        return words, mixed(words[:-1] + plain[1:], 5)
+
+    def phrases(
+        self, words: np.ndarray, pairs: np.ndarray, most: int
+    ) -> Iterator[tuple[list[str], int, list[bytes], np.ndarray, np.ndarray]]:
+        """Languages, phrases, counts and hashes of each length, where ``words`` and ``pairs`` say that they may be frequent."""
         own = np.bincount(self.lang[self.word], minlength=len(self.langs))
-        yield self.langs, 0, [b""] * len(self.langs), own.astype(np.int64)
+        yield self.langs, 0, [b""] * len(self.langs), own.astype(np.int64), self.lang_hashes()
         size = len(self.values)
-        at = np.flatnonzero(self.word)
+        spelled = self.hashes()[0]
+        at = np.flatnonzero(words)
         group = np.full(len(self.ids), -1, np.int64)
         key = self.lang[at] * size + self.ids[at]
-        for n in range(1, words + 1):
+        hashes = spelled.copy()
+        for n in range(1, most + 1):
             _, first, where, found = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
             group[:] = -1
             group[at] = where
             begins = at[first]
             texts = [b" ".join(self.tokens[b : b + n]) for b in begins.tolist()]
-            yield [self.langs[k] for k in self.lang[begins].tolist()], n, texts, found.astype(np.int64)
-            # One word more: behind a phrase counted here there must stand a frequent pair.
+            yield [self.langs[k] for k in self.lang[begins].tolist()], n, texts, found.astype(np.int64), mixed(hashes[begins], 7 + n)
+            # One word more: behind a phrase counted here there must stand a frequent word in a frequent pair.
             at = at[at + n < len(self.ids)]
-            at = at[(frequent[at + n - 1]) & (group[at] >= 0)]
+            at = at[pairs[at + n - 1] & words[at + n]]
             key = group[at] * size + self.ids[at + n]
+            hashes[at] = mixed(hashes[at] + spelled[at + n], 31)
 
 
 # -- joining -----------------------------------------------------------------
