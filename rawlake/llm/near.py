@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -173,6 +174,11 @@ def connect(values: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndar
 SHINGLE = 5  # words in a shingle of ``similar``
 BANDS, ROWS = 32, 5  # least hashes: at similarity 0.8 a pair shares none of the bands once in 300,000
 STARS = 2  # rounds in which members of a band meet one of them only
+GATHER = 256  # members of different groups, or of the largest, that are compared together
+WIDE = 4  # 64-bit words of a wide fingerprint
+# A bit of it differs with a probability of at most 0.19 at similarity 0.8; this is six deviations above.
+APART = 86
+DEEPEST = 3  # rounds in which buckets are dealt out by more least hashes
 _FACTORS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64), 23) | np.uint64(1)
 _MIX = mixed(np.arange(1, ROWS + 1, dtype=np.uint64), 29) | np.uint64(1)
 
@@ -183,23 +189,29 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     One row per input row: the id, ``_thash``, the hash of the text, and ``group``,
     which is never null. Compared are the sets of five-word shingles, words as in
     ``group``; a text of fewer words is one shingle, and null, empty and blank
-    texts are one group. Candidates share a band of least hashes; every link is
-    verified on the whole sets, so texts that are less alike are linked only
-    through others. No other columns of ``docs`` are read.
+    texts are one group. Rows with a null id or of equal id and text are grouped
+    by their text like any other. No other columns of ``docs`` are read.
+
+    Members of a bucket share a band of least hashes. At first each meets one of
+    them only, which joins most groups; then those still apart meet in buckets of
+    bounded size, where wide SimHash fingerprints and their distances to reference
+    fingerprints discard pairs. Every link is verified on the whole sets, and only
+    links that join groups leave a bucket. Equal sets are one, told by 128 bits.
     """
     prepare(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).select(*document_key("id", "text"), "text")
-    sketches = materialize(texts.mapInArrow(_sketch, f"id {id_type}, _thash bigint, key bigint, bands array<bigint>"), "sketches")
+    sketches = materialize(texts.mapInArrow(_sketch, f"id {id_type}, _thash bigint, key binary, fp binary, bands array<bigint>"), "sketches")
     # Equal sets are one from here on.
-    classes = sketches.groupBy("key").agg(F.first("bands").alias("bands"), F.min(F.struct("id", "_thash")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct("id", "_thash")).alias("first")
+    classes = sketches.groupBy("key").agg(F.first("bands").alias("bands"), F.first("fp").alias("fp"), first, F.count(F.lit(1)).alias("copies"))
     classes = materialize(classes, "set-classes")
     level = classes.select("key", F.explode("bands").alias("band"))
     counts = materialize(level.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "band-sizes")
     members = materialize(join_counted(level, counts, ["band"], "n").select("band", "key"), "band-members")
-    needed = classes.join(members.select("key").distinct(), "key", "left_semi").select("key", F.col("first.id").alias("_id"), F.col("first._thash").alias("_hash"))
-    whole = texts.join(needed, texts["id"].eqNullSafe(needed["_id"]) & texts["_thash"].eqNullSafe(needed["_hash"])).select("key", "text")
-    sets = materialize(whole.dropDuplicates(["key"]).mapInArrow(_sets, "key bigint, own binary"), "candidate-sets")
+    needed = classes.join(members.select("key").distinct(), "key", "left_semi").select("key", "fp", F.col("first.id").alias("_id"), F.col("first._thash").alias("_hash"))
+    whole = texts.join(needed, texts["id"].eqNullSafe(needed["_id"]) & texts["_thash"].eqNullSafe(needed["_hash"])).select("key", "fp", "text")
+    sets = materialize(whole.dropDuplicates(["key"]).mapInArrow(_sets, "key binary, fp binary, own binary"), "candidate-sets")
     found, labels = None, None
     for k in range(STARS + 1):
         now = members.withColumn("root", F.col("key"))
@@ -211,16 +223,15 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         open_bands = now.groupBy("band").agg(centre, F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
         open_bands = materialize(open_bands.filter("low < high").select("band", "n", "centre"), "open-bands")
         met = join_counted(now, open_bands, ["band"], "n").select("band", "key", "root", "centre")
-        if k < STARS:
-            pairs = met.filter(F.col("root") != F.col("centre.root")).select("key", F.col("centre.key").alias("other"))
+        if k == STARS:
+            linked = _gathered(met.select(F.col("band").alias("bucket"), "key", "root"), sets)
         else:
-            # What is left: pairs of different groups, whichever members they have.
-            other = met.select("band", F.col("key").alias("other"), F.col("root").alias("other_root"))
-            pairs = met.join(other, "band").filter("root < other_root").select("key", "other")
-        pairs = materialize(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "candidates")
-        both = pairs.join(sets.select(F.col("key").alias("a"), F.col("own").alias("own_a")), "a")
-        both = both.join(sets.select(F.col("key").alias("b"), F.col("own").alias("own_b")), "b").select("a", "b", "own_a", "own_b")
-        linked = materialize(both.mapInArrow(_verify, "a bigint, b bigint"), "similar-pairs")
+            pairs = met.filter(F.col("root") != F.col("centre.root")).select("key", F.col("centre.key").alias("other"))
+            pairs = materialize(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "candidates")
+            both = pairs.join(sets.select(F.col("key").alias("a"), F.col("fp").alias("fp_a"), F.col("own").alias("own_a")), "a")
+            both = both.join(sets.select(F.col("key").alias("b"), F.col("fp").alias("fp_b"), F.col("own").alias("own_b")), "b")
+            both = both.select("a", "b", "fp_a", "fp_b", "own_a", "own_b")
+            linked = materialize(both.mapInArrow(_verify, "a binary, b binary"), "similar-pairs")
         found = linked if found is None else found.unionByName(linked)
         labels = materialize(components(found), "similar-groups")
     grouped = classes.select("key", "copies").join(labels.withColumnRenamed("node", "key"), "key", "left")
@@ -228,6 +239,46 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return join_counted(sketches, grouped, ["key"], "copies").select(F.col("id").alias(id_col), "_thash", "group")
 
 
+def _gathered(level: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the groups that meet in the buckets of ``level`` (bucket, key, root).
+
+    No pair within a group is looked at again. If few members are not of a bucket's
+    largest group, they meet that group in shares of bounded size. If they are many,
+    they are mutually unlike for the most part, and are dealt out by more least hashes,
+    as many as two sets of similarity 0.8 share in one of the tables all but surely
+    (once in 160,000 they do not). What is left after ``DEEPEST`` rounds of that meets
+    share by share.
+    """
+    found, depth = None, 0
+    while True:
+        sizes = level.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("own"))
+        sizes = sizes.groupBy("bucket").agg(F.sum("own").alias("n"), F.max(F.struct("own", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
+        sizes = materialize(sizes.filter("roots > 1").select("bucket", "n", F.col("most.root").alias("main"), F.col("most.own").alias("m")), "bucket-sizes")
+        rows = join_counted(level, sizes, ["bucket"], "n")
+        few = F.col("n") - F.col("m") <= GATHER
+        shares = F.ceil(F.col("m") / GATHER).cast("int")
+        number = F.xxhash64("key", F.lit(1000 + depth))
+        dealt = F.when(F.col("root") == F.col("main"), F.array(F.pmod(number, shares).cast("int"))).otherwise(F.sequence(F.lit(0), shares - 1))
+        close = rows.filter(few).select("bucket", "key", "root", F.explode(dealt).alias("share"), F.lit(0).alias("other"))
+        many = rows.filter(~few)
+        if depth == DEEPEST:
+            blocks = F.ceil(F.col("n") / GATHER).cast("int")
+            block = F.pmod(number, blocks).cast("int")
+            facing = F.explode(F.sequence(F.lit(0), blocks - 1))
+            apart = many.select("bucket", "key", "root", block.alias("block"), facing.alias("facing"))
+            share, other = F.least("block", "facing").alias("share"), F.greatest("block", "facing").alias("other")
+            close = close.unionByName(apart.select("bucket", "key", "root", share, other))
+        met = close.join(sets, "key").select("bucket", "share", "other", "key", "root", "fp", "own")
+        linked = met.groupBy("bucket", "share", "other").applyInPandas(_join_groups, "a binary, b binary")
+        linked = materialize(linked.distinct(), "gathered-links")
+        found = linked if found is None else found.unionByName(linked)
+        if depth == DEEPEST or sizes.filter(~few).isEmpty():
+            return found
+        dealt_out = many.select("bucket", "key", "root").join(sets.select("key", "own"), "key").select("bucket", "key", "root", "own")
+        level = materialize(dealt_out.mapInArrow(_finer_bands(depth), "bucket bigint, key binary, root binary"), "dealt-members")
+        depth += 1
+
+
 def shingles(text: bytes | None) -> np.ndarray:
     """Sorted hashes of the distinct five-word shingles."""
     own = lowered(text).split() if text else []
@@ -237,32 +288,100 @@ def shingles(text: bytes | None) -> np.ndarray:
     return np.unique(rolling(hashes, SHINGLE))
 
 
-def bands(own: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def least_hashes(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(own), 1024):
-        np.minimum(least, (own[at : at + 1024, None] * _FACTORS).min(axis=0), out=least)
+        np.minimum(least, (own[at : at + 1024, None] * factors).min(axis=0), out=least)
+    return least
+
+
+def bands(own: np.ndarray) -> np.ndarray:
+    least = least_hashes(own, _FACTORS)
     return mixed((least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64), 31)
 
 
+def wide_fingerprint(own: np.ndarray) -> np.ndarray:
+    """SimHash of a set of hashes: a bit is set if it is in more than half of them."""
+    sums = np.zeros(64 * WIDE, np.int64)
+    for at in range(0, len(own), 1024):
+        words = np.stack([mixed(own[at : at + 1024], 41 + k) for k in range(WIDE)], axis=1)
+        sums += np.unpackbits(words.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * sums > len(own)).view(np.uint64)
+
+
+def _finer_bands(depth: int):
+    """Tables of so many least hashes, and so many tables, that similar sets share one."""
+    width = 8 + 4 * depth
+    count = int(np.ceil(12 / 0.8**width))
+    factors = mixed(np.arange(1, count * width + 1, dtype=np.uint64), 47 + depth) | np.uint64(1)
+    weights = mixed(np.arange(1, width + 1, dtype=np.uint64), 53 + depth) | np.uint64(1)
+    names = np.arange(count, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parents = batch.column(0).to_numpy().view(np.uint64)
+            out = []
+            for parent, own in zip(parents, batch.column(3).to_pylist()):
+                least = least_hashes(np.frombuffer(own, np.uint64), factors).reshape(count, width)
+                out.append(mixed((least * weights).sum(axis=1, dtype=np.uint64) + names + mixed(parent[None], 59), 61))
+            buckets = np.concatenate(out) if out else np.zeros(0, np.uint64)
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), count))
+            columns = [pa.array(buckets.view(np.int64)), batch.column(1).take(rows), batch.column(2).take(rows)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "key", "root"])
+
+    return run
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         owns = [shingles(t) for t in binary(batch.column(2))]
-        keys = np.fromiter((xxhash.xxh3_64_intdigest(o.tobytes()) for o in owns), np.uint64, len(owns))
+        keys = pa.array([xxhash.xxh3_128_digest(o.tobytes()) for o in owns], pa.binary())
+        prints = pa.array([wide_fingerprint(o).tobytes() for o in owns], pa.binary())
         found = pa.array([bands(o).view(np.int64) if len(o) else [] for o in owns], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys.view(np.int64)), found], ["id", "_thash", "key", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys, prints, found], ["id", "_thash", "key", "fp", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        owns = [shingles(t).tobytes() for t in binary(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(owns, pa.binary())], ["key", "own"])
+        owns = [shingles(t).tobytes() for t in binary(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(owns, pa.binary())], ["key", "fp", "own"])
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets have four fifths of their union in common."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if 5 * len(small) < 4 * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
+    return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        alike = []
-        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            alike.append(5 * both >= 4 * (len(a) + len(b) - both))
-        yield batch.select([0, 1]).filter(pa.array(alike, pa.bool_()))
+        prints = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, WIDE) for k in (2, 3)]
+        close = np.bitwise_count(prints[0] ^ prints[1]).sum(axis=1) <= APART
+        pairs = zip(close.tolist(), batch.column(4).to_pylist(), batch.column(5).to_pylist())
+        linked = [near and alike(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for near, a, b in pairs]
+        yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
+
+
+def _join_groups(members: pd.DataFrame) -> pd.DataFrame:
+    """Verified links that join the groups of a bucket's members as far as they can be joined."""
+    keys, owns = members["key"].tolist(), [np.frombuffer(o, np.uint64) for o in members["own"]]
+    prints = np.frombuffer(b"".join(members["fp"]), np.uint64).reshape(-1, WIDE)
+    label = pd.factorize(members["root"].map(bytes))[0]
+    # Distances to some of the members: two of them differ in no more bits than their rows do.
+    references = prints[np.unique(np.linspace(0, len(prints) - 1, 16).astype(int))]
+    table = np.stack([np.bitwise_count(prints ^ r).sum(axis=1) for r in references], axis=1).astype(np.int16)
+    links = []
+    for i in range(len(keys) - 1):
+        rest = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        rest = rest[(np.abs(table[rest] - table[i]) <= APART).all(axis=1)]
+        distance = np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1)
+        rest = rest[np.argsort(distance, kind="stable")[: int((distance <= APART).sum())]]
+        for j in rest.tolist():
+            if label[i] != label[j] and alike(owns[i], owns[j]):
+                links.append((keys[i], keys[j]))
+                label[label == label[j]] = label[i]
+    return pd.DataFrame(links, columns=["a", "b"])

@@ -57,23 +57,23 @@ def test_line_stage(stages):
     assert stages["line_dedup"].filter(F.char_length("text") != F.col("n_chars")).count() == 0
 
 
+def sets_of(texts):
+    out = []
+    for t in texts:
+        w = words((t or "").lower())
+        out.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))})
+    return out
+
+
+def similar_roots(sets):
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    return brute_components(range(len(sets)), links)
+
+
 def test_near_duplicate_stage(stages):
     rows = sorted(plain(stages["line_dedup"]))
-    prints = [brute_simhash(t) for _, t, _ in rows]
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for a in range(len(rows)):
-        for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 3:
-                x, y = sorted((find(a), find(b)))
-                root[y] = x
-    want = [r for k, r in enumerate(rows) if find(k) == k]
+    root = similar_roots(sets_of(t for _, t, _ in rows))
+    want = [r for k, r in enumerate(rows) if root[k] == k]
     assert sorted(plain(stages["simhash_near_dedup"])) == want and len(want) < len(rows)
 
 
@@ -90,12 +90,7 @@ def test_near_duplicate_stage_by_jaccard(spark, sf):
     bases = [[str(rng.randrange(10**6)) for _ in range(n)] for n in (60, 150, 300, 700)]
     texts = [" ".join(b) for b in bases] + [edited(b, n) for b in bases for n in (1, 2, 3, 5, 8, 12, 20) for _ in range(3)]
     texts += [edited(bases[2], 2) for _ in range(60)] + [None, "", " \n", "a b", "A  b", "a b c", " ".join(bases[0]).upper()]
-    shingles = []
-    for t in texts:
-        w = words((t or "").lower())
-        shingles.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))})
-    links = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])]
-    root = brute_components(range(len(texts)), links)
+    root = similar_roots(sets_of(texts))
     first = {}
     for k in range(len(texts)):
         first.setdefault(root[k], k)
@@ -181,4 +176,4 @@ def test_chat_query(spark, sf):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} and set(queries.QUERIES) < set(names) and "pipeline" in names
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)} and set(queries.QUERIES) < set(names) and "pipeline" in names
