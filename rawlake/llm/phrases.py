@@ -98,6 +98,10 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", word
     return materialize(summed, "phrase-counts")
 
 
+def _squeezed() -> pa.ipc.IpcWriteOptions:
+    return pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 5))
+
+
 class _Shape:
     """Sizes that follow the corpus, and what tasks do with bundles."""
 
@@ -115,7 +119,7 @@ class _Shape:
         def bundle() -> pa.RecordBatch:
             sink = pa.BufferOutputStream()
             table = pa.Table.from_batches(held)
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, table.schema, options=_squeezed()) as writer:
                 writer.write_table(table)
             blob = sink.getvalue().to_pybytes()
             return pa.RecordBatch.from_pydict({"pack": pa.array([(part << 32) + number], pa.int64()), "blob": pa.array([blob], pa.binary())})
@@ -201,7 +205,7 @@ class _Shape:
         edges = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(share)]
         for a, b in zip(edges, edges[1:]):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, table.schema, options=_squeezed()) as writer:
                 writer.write_table(table.slice(a, b - a))
             found = {"share": pa.array([share[a]], pa.int64()), "list": pa.array([sink.getvalue().to_pybytes()], pa.binary())}
             yield pa.RecordBatch.from_pydict(found)
@@ -233,22 +237,23 @@ class _Bundle:
     def __init__(self, blob: pa.Buffer) -> None:
         table = pa.ipc.open_stream(blob).read_all()
         mark = bytes([_CUT])
-        self.tokens: list[bytes] = []
+        tokens: list[bytes] = []
         lengths = []
         for chunk in table.column(1).chunks:
             for text in binary(chunk):
                 own = text.translate(_FOLD).replace(mark, b" \xff ").split()
                 own.append(mark)
-                self.tokens += own
+                tokens += own
                 lengths.append(len(own))
-        coded = pa.array(self.tokens, pa.binary()).dictionary_encode()
+        coded = pa.array(tokens, pa.binary()).dictionary_encode()
+        del tokens
         self.ids = coded.indices.to_numpy().astype(np.int64)
         self.values = coded.dictionary.to_pylist()
         langs = table.column(0).combine_chunks().dictionary_encode()
         langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
         self.langs = langs.dictionary.to_pylist()
         self.lang = np.repeat(langs.indices.to_numpy().astype(np.int64), lengths)
-        cut = self.values.index(mark) if self.tokens else -1
+        cut = self.values.index(mark) if self.values else -1
         self.word = self.ids != cut
         self.paired = np.flatnonzero(self.word[:-1] & self.word[1:])
 
@@ -268,7 +273,7 @@ class _Bundle:
         """Languages, phrases, counts and hashes of each length, where ``words`` and ``pairs`` say that they may be frequent."""
         own = np.bincount(self.lang[self.word], minlength=len(self.langs))
         yield self.langs, 0, [b""] * len(self.langs), own.astype(np.int64), self.lang_hashes()
-        size = len(self.values)
+        size, values = len(self.values), self.values
         spelled = self.hashes()[0]
         at = np.flatnonzero(words)
         group = np.full(len(self.ids), -1, np.int64)
@@ -279,7 +284,7 @@ class _Bundle:
             group[:] = -1
             group[at] = where
             begins = at[first]
-            texts = [b" ".join(self.tokens[b : b + n]) for b in begins.tolist()]
+            texts = [b" ".join([values[i] for i in own]) for own in self.ids[begins[:, None] + np.arange(n)].tolist()]
             yield [self.langs[k] for k in self.lang[begins].tolist()], n, texts, found.astype(np.int64), mixed(hashes[begins], 7 + n)
             # One word more: behind a phrase counted here there must stand a frequent word in a frequent pair.
             at = at[at + n < len(self.ids)]
