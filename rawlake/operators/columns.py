@@ -161,11 +161,9 @@ _COMPARE = {
 }
 
 
-def apply_filters(df: DataFrame, filters: list) -> DataFrame:
-    """Keep rows for ``[(column, op, value), ...]`` (all must hold) or a list
-    of such lists (any may hold). Plain predicates, so scans take them over."""
-    if not filters:
-        return df
+def condition(filters: list) -> Column:
+    """``[(column, op, value), ...]`` (all must hold) or a list of such lists
+    (any may hold) as one predicate of plain comparisons."""
     groups = filters if isinstance(filters[0][0], (list, tuple)) else [filters]
     anyof = F.lit(False)
     for group in groups:
@@ -173,4 +171,9 @@ def apply_filters(df: DataFrame, filters: list) -> DataFrame:
         for name, op, value in group:
             allof = allof & _COMPARE[op](F.col(f"`{name}`"), value)
         anyof = allof if len(groups) == 1 else anyof | allof
-    return df.where(anyof)
+    return anyof
+
+
+def apply_filters(df: DataFrame, filters: list) -> DataFrame:
+    """Keep rows for which the filters hold; scans take plain predicates over."""
+    return df.where(condition(filters)) if filters else df

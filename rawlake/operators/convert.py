@@ -6,6 +6,7 @@ Spark's casts accept more than the rules allow (``+1``, ``1d``, ``y``,
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column
@@ -97,41 +98,63 @@ def convert(
     ``strings_can_be_null``, ``timestamp_parsers`` and ``timezone`` (for zoned
     timestamps written without an offset).
     """
-    options = options or {}
-    nulls = options.get("null_values", NULL_TOKENS)
-    nullable_text = options.get("strings_can_be_null", False)
-    if strings_can_be_null is not None:
-        nullable_text = strings_can_be_null
-    name, dtype = field.name, field.dataType
+    text, absent = _cell(cell, options)
+    if isinstance(field.dataType, T.StringType):
+        return _text(text, absent, options, strings_can_be_null)
+    bad = _fail(text, field.name, field.dataType)
+    return F.when(~absent, _typed(text, field, options or {}, bad, Column.cast))
+
+
+def attempt(cell: Column, field: T.StructField, options: dict[str, Any] | None = None) -> tuple[Column, Column | None]:
+    """As ``convert``, but a value that does not fit is null, and whether that is so (None: it cannot be)."""
+    text, absent = _cell(cell, options)
+    if isinstance(field.dataType, T.StringType):
+        return _text(text, absent, options, None), None
+    nothing = F.lit(None).cast(field.dataType)
+    value = F.when(~absent, _typed(text, field, options or {}, nothing, Column.try_cast))
+    return value, ~absent & value.isNull()
+
+
+def complaint(cell: Column, field: T.StructField) -> Column:
+    """What is said of a cell that does not fit."""
+    return F.concat(F.lit(f"invalid value for {field.dataType.simpleString()}: '"), F.coalesce(cell, F.lit("")), F.lit("'"))
+
+
+def _cell(cell: Column, options: dict[str, Any] | None) -> tuple[Column, Column]:
+    nulls = (options or {}).get("null_values", NULL_TOKENS)
     text = F.coalesce(cell, F.lit(""))
-    absent = text.isin(*nulls) if nulls else F.lit(False)
+    return text, text.isin(*nulls) if nulls else F.lit(False)
+
+
+def _text(text: Column, absent: Column, options: dict[str, Any] | None, nullable: bool | None) -> Column:
+    if nullable is None:
+        nullable = (options or {}).get("strings_can_be_null", False)
+    return F.when(~absent, text) if nullable else text
 
-    if isinstance(dtype, T.StringType):
-        return F.when(~absent, text) if nullable_text else text
 
-    bad = _fail(text, name, dtype)
+def _typed(
+    text: Column, field: T.StructField, options: dict[str, Any], bad: Column, cast: Callable[[Column, str], Column]
+) -> Column:
+    """Value of a text that stands for one, else ``bad``."""
+    name, dtype = field.name, field.dataType
     if isinstance(dtype, T.LongType):
         trimmed = F.btrim(text, F.lit(" \t"))
-        value = (
-            F.when(trimmed.rlike(_INT), trimmed.cast("bigint"))
+        return (
+            F.when(trimmed.rlike(_INT), cast(trimmed, "bigint"))
             .when(trimmed.rlike(_HEX), F.conv(F.substring(trimmed, 3, 16), 16, -10).cast("bigint"))
             .otherwise(bad)
         )
-    elif isinstance(dtype, T.DoubleType):
+    if isinstance(dtype, T.DoubleType):
         trimmed = F.lower(F.btrim(text, F.lit(" \t")))
-        value = F.when(trimmed.rlike(_DOUBLE), trimmed.cast("double")).otherwise(bad)
-    elif isinstance(dtype, T.BooleanType):
+        return F.when(trimmed.rlike(_DOUBLE), cast(trimmed, "double")).otherwise(bad)
+    if isinstance(dtype, T.BooleanType):
         trues = options.get("true_values", TRUE_TOKENS)
         falses = options.get("false_values", FALSE_TOKENS)
-        value = F.when(text.isin(*trues), True).when(text.isin(*falses), False).otherwise(bad)
-    elif isinstance(dtype, T.DateType):
+        return F.when(text.isin(*trues), True).when(text.isin(*falses), False).otherwise(bad)
+    if isinstance(dtype, T.DateType):
         trimmed = F.btrim(text, F.lit(" \t"))
-        value = F.when(trimmed.rlike(_DATE), trimmed.cast("date")).otherwise(bad)
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        parsed = _timestamp(
-            text, dtype, options.get("timestamp_parsers") or TIMESTAMP_FORMATS, options.get("timezone")
-        )
-        value = F.coalesce(parsed, bad)
-    else:
-        raise ValueError(f"Column '{name}': text cannot become {dtype.simpleString()}")
-    return F.when(~absent, value)
+        return F.when(trimmed.rlike(_DATE), cast(trimmed, "date")).otherwise(bad)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        formats = options.get("timestamp_parsers") or TIMESTAMP_FORMATS
+        return F.coalesce(_timestamp(text, dtype, formats, options.get("timezone")), bad)
+    raise ValueError(f"Column '{name}': text cannot become {dtype.simpleString()}")

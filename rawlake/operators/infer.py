@@ -1,4 +1,4 @@
-"""Manifest inference: column types from the text of sampled files.
+"""Manifest inference: column types from the text, or the footers, of sampled files.
 
 One aggregation per scan decides, for each file and column, which types all of
 its cells fit; only files times columns remain for the fold to a common type.
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rawlake.operators.convert import FALSE_TOKENS, ISO8601, NULL_TOKENS, TIMESTAMP_FORMATS, TRUE_TOKENS
 from rawlake.functions.timeformat import to_spark_pattern
+from rawlake.session import materialize
 from rawlake.sources.scan import Scan
 from rawlake.types import REQUIRED
 
@@ -28,55 +29,84 @@ _ZONED = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2})?(Z|[+-]\d{2}:?\d{2})$"
 _FRACTION = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?)?$"
 
 
+# The whole bits of a mask: no value at all, and every type.
+EMPTY = 1 << 30
+ANY = (1 << 30) - 1
+
+
 def _candidates(text: Column, options: dict[str, Any]) -> list[tuple[str, Column]]:
-    """Types in the order they are tried, and what a cell must look like."""
+    """Types in the order they are tried, and what a cell must look like.
+
+    Tests that cost much stand behind ones that cost little.
+    """
     formats = options.get("timestamp_parsers") or TIMESTAMP_FORMATS
+    lead = F.substring(text, 1, 1)
+    digit = lead.between("0", "9")
+    number = digit | lead.isin("-", " ", "\t")
+    fits = F.length(text) <= 18
     found = [
-        ("int64", text.rlike(_INT) & text.try_cast("decimal(38,0)").between(-(2**63), 2**63 - 1)
-         | text.rlike("^0[xX]")),
+        ("int64", number & text.rlike(_INT) & (fits | text.rlike("^[ \t]*0[xX]") | text.try_cast("decimal(38,0)").between(-(2**63), 2**63 - 1))),
         ("bool", text.isin(*options.get("true_values", TRUE_TOKENS), *options.get("false_values", FALSE_TOKENS))),
-        ("date32", text.rlike(_DATE) & text.try_cast("date").isNotNull()),
-    ]
-    patterns = [to_spark_pattern(f) for f in formats if f != ISO8601]
+        ("date32", digit & (F.length(text) == 10) & text.rlike(_DATE) & text.try_cast("date").isNotNull()),
+    ]
+    patterns = [f for f in formats if f != ISO8601]
     if patterns:
         anyof = F.lit(False)
-        for pattern in patterns:
-            anyof = anyof | F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
+        for fmt in patterns:
+            parsed = F.try_to_timestamp(text, F.lit(to_spark_pattern(fmt))).isNotNull()
+            # Text that does not fit makes the parser throw, so plain dates are looked at first.
+            anyof = anyof | (digit & text.rlike(r"^\d{8}$") & parsed if fmt == "%Y%m%d" else parsed)
         found.append(("timestamp[s]", anyof))
     if ISO8601 in formats:
         padded = F.when(text.rlike(r"[ T]\d{2}$"), F.concat(text, F.lit(":00"))).otherwise(text)
         real = padded.try_cast("timestamp_ntz").isNotNull()
         found += [
-            ("timestamp[s]", text.rlike(_SECONDS) & real),
-            ("timestamp[s, tz=UTC]", text.rlike(_ZONED) & F.try_to_timestamp(text).isNotNull()),
-            ("timestamp[us]", text.rlike(_FRACTION) & real),
+            ("timestamp[s]", digit & text.rlike(_SECONDS) & real),
+            ("timestamp[s, tz=UTC]", digit & text.rlike(_ZONED) & F.try_to_timestamp(text).isNotNull()),
+            ("timestamp[us]", digit & text.rlike(_FRACTION) & real),
         ]
-    found.append(("double", text.rlike(_DOUBLE)))
+    found.append(("double", (number | lead.isin(".", "+", "i", "I", "n", "N")) & text.rlike(_DOUBLE)))
     return found
 
 
+def cell_mask(cell: Column, options: dict[str, Any] | None = None) -> Column:
+    """A bit for each candidate type that a cell may have; all of them for a cell without a value."""
+    options = options or {}
+    text = F.coalesce(cell, F.lit(""))
+    bits = [F.when(test, F.lit(1 << k)).otherwise(F.lit(0)) for k, (_, test) in enumerate(_candidates(text, options))]
+    fits = bits[0]
+    for bit in bits[1:]:
+        fits = fits.bitwiseOR(bit)
+    return F.when(text.isin(*options.get("null_values", NULL_TOKENS)), F.lit(EMPTY | ANY)).otherwise(fits)
+
+
+def mask_type(mask: Column, options: dict[str, Any] | None = None) -> Column:
+    """The first type that is left in the masks of all cells."""
+    kind = F.lit("string")
+    for k, (name, _) in reversed(list(enumerate(_candidates(F.lit(""), options or {})))):
+        kind = F.when(mask.bitwiseAND(F.lit(1 << k)) != 0, name).otherwise(kind)
+    return F.when(mask.bitwiseAND(F.lit(EMPTY)) != 0, "null").otherwise(kind)
+
+
 def file_types(scan: Scan, options: dict[str, Any] | None = None) -> DataFrame:
     """``path, col_ord, name, type`` of every file and column of a scan.
 
-    A column without any value has the type ``null``.
+    Each cell is looked at once, for all types; what is left of its mask in all
+    cells of a file tells the type. A column without any value has the type ``null``.
     """
-    options = options or {}
-    nulls = options.get("null_values", NULL_TOKENS)
-    aggregates, kinds = [], None
-    for i, name in enumerate(scan.columns):
-        text = F.coalesce(F.col(f"`{name}`"), F.lit(""))
-        absent = text.isin(*nulls)
-        tests = _candidates(text, options)
-        kinds = [k for k, _ in tests]
-        fits = [F.bool_and(F.coalesce(test, F.lit(False)) | absent) for _, test in tests]
-        first = F.lit("string")
-        for kind, fit in reversed(list(zip(kinds, fits))):
-            first = F.when(fit, kind).otherwise(first)
-        kind = F.when(F.bool_and(absent), "null").otherwise(first)
-        aggregates.append(F.struct(F.lit(i).alias("col_ord"), F.lit(name).alias("name"), kind.alias("type")).alias(f"t{i}"))
-    wide = scan.df.groupBy("_fp").agg(*aggregates)
-    columns = F.array(*[F.col(f"t{i}") for i in range(len(aggregates))])
-    return wide.select(F.col("_fp").alias("path"), F.explode(columns).alias("t")).select("path", "t.*")
+    masks = [F.bit_and(cell_mask(F.col(f"`{name}`"), options)).alias(f"m{i}") for i, name in enumerate(scan.columns)]
+    wide = scan.df.groupBy("_fp").agg(*masks)
+    columns = [
+        F.struct(F.lit(i).alias("col_ord"), F.lit(name).alias("name"), mask_type(F.col(f"m{i}"), options).alias("type"))
+        for i, name in enumerate(scan.columns)
+    ]
+    return wide.select(F.col("_fp").alias("path"), F.explode(F.array(*columns)).alias("t")).select("path", "t.*")
+
+
+def stored_types(footers: DataFrame) -> DataFrame:
+    """As ``file_types``, from the footers of Parquet files (``path``, ``names``, ``types``)."""
+    each = F.posexplode(F.arrays_zip("names", "types")).alias("col_ord", "t")
+    return footers.select("path", each).select("path", "col_ord", F.col("t.names").alias("name"), F.col("t.types").alias("type"))
 
 
 def logical_type(kind: Column) -> Column:
@@ -134,16 +164,21 @@ def infer_manifest(scans: list[Scan], options: dict[str, Any] | None = None) ->
     for scan in scans:
         found = file_types(scan, options)
         types = found if types is None else types.unionByName(found)
-    types = types.persist()
-    try:
-        rows = fold_types(types).join(column_order(types), "name").orderBy("first_path", "first_ord").collect()
-    finally:
-        types.unpersist()
+    return manifest_of(types)
+
+
+def manifest_of(types: DataFrame, exact: dict[str, str] | None = None) -> dict[str, Any]:
+    """Manifest of ``path, col_ord, name, type``. Columns that all files have, with one
+    type, keep the name that ``exact`` has for that type, if any."""
+    types = materialize(types, "file-types")
+    same = types.groupBy("name").agg(F.count_distinct("path").alias("n"), F.min("type").alias("low"), F.max("type").alias("high"))
+    alike = F.when((F.col("low") == F.col("high")) & (F.col("n") == types.select("path").distinct().count()), F.col("low"))
+    rows = fold_types(types).join(column_order(types), "name").join(same.select("name", alike.alias("alike")), "name")
     entries = {
-        str(i): {"name": r["name"], "type": r["type"], "column_operation": REQUIRED, "nullable": True}
-        for i, r in enumerate(rows, start=1)
+        str(i): {"name": r["name"], "type": (exact or {}).get(r["alike"], r["type"]), "column_operation": REQUIRED, "nullable": True}
+        for i, r in enumerate(rows.orderBy("first_path", "first_ord").collect(), start=1)
     }
     return {"schema": entries}
 
 
-__all__ = ["TIMESTAMP_FORMATS", "column_order", "common_type", "file_types", "fold_types", "infer_manifest", "logical_type"]
+__all__ = ["TIMESTAMP_FORMATS", "column_order", "common_type", "file_types", "fold_types", "infer_manifest", "logical_type", "manifest_of", "stored_types"]

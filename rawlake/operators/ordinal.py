@@ -3,7 +3,8 @@
 A file split is read front to back by one task, so rows of a split are numbered
 by ``monotonically_increasing_id``. One small count per split and a running sum
 over those counts turn that into numbers per file or over all files. Only the
-counts are shuffled. Split counts grow with the data (one row per split), so
+counts are shuffled. Parquet readers number rows themselves, and footers have the
+counts, so there nothing is counted. Split counts grow with the data (one row per split), so
 they are written out, counted, and broadcast only when small; beyond that the
 rows are joined on the split key, of which no group exceeds one split.
 """
@@ -73,6 +74,20 @@ def split_offsets(df: DataFrame, decorate: Decorate | None = None) -> DataFrame:
     return materialize(decorate(offsets) if decorate else offsets, "split-offsets")
 
 
+def file_offsets(files: DataFrame, decorate: Decorate | None = None) -> tuple[DataFrame, bool]:
+    """As ``split_offsets`` for a scan whose reader numbers the rows of a file: one row
+    per file (``files`` has its ``_n``), hinted for broadcast if the flag is set."""
+    offsets = running_offsets(files, "_n", "file-counts").select("_fp", "_goff")
+    offsets = materialize(decorate(offsets) if decorate else offsets, "file-offsets")
+    return bounded_broadcast(offsets)
+
+
+def join_file_offsets(df: DataFrame, side: DataFrame) -> DataFrame:
+    """Bring file offsets to rows that have ``_findex``; filters on other columns pass through."""
+    joined = df.withColumn("_bs", F.lit(0).cast("bigint")).join(side, "_fp", "left")
+    return joined.withColumn("_gindex", F.col("_goff") + F.col("_findex")).drop("_goff")
+
+
 def join_offsets(df: DataFrame, offsets: DataFrame) -> tuple[DataFrame, bool]:
     """Bring split offsets to rows; the flag tells if rows kept their order."""
     side, small = bounded_broadcast(offsets)

@@ -6,16 +6,17 @@ import json
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlake.operators.infer import infer_manifest
+from rawlake.operators.infer import infer_manifest, manifest_of, stored_types
 from rawlake.plans.ingest import text_format
 from rawlake.session import configure, materialize
 from rawlake.sources import remote
 from rawlake.sources import scan as scans
 from rawlake.sources.inventory import discover_many, sample_files
 from rawlake.sources.templates import PathTemplate
-from rawlake.types import REQUIRED, type_name
+from rawlake.types import type_name
 
 
 def infer_table(
@@ -39,9 +40,13 @@ def infer_table(
     if files.isEmpty():
         raise FileNotFoundError(f"No raw files for table '{table}'")
     if spec.get("format") == "parquet":
-        schema = spark.read.option("mergeSchema", "true").parquet(*scans.path_list(files)).schema
-        entries = {str(i): _entry(f) for i, f in enumerate(schema, start=1)}
-        manifest = {"schema": entries}
+        stored = materialize(scans.footers(files), "footers")
+        # Types that all files share keep the names Spark's reader gives them; one look per distinct stored schema.
+        exact: dict[str, str] = {}
+        for example in stored.groupBy("stored").agg(F.min(F.struct("path", "names", "types")).alias("e")).select("e.*").collect():
+            have = {f.name: type_name(f.dataType) for f in spark.read.parquet(scans.escaped(example["path"])).schema}
+            exact.update({kind: have[name] for name, kind in zip(example["names"], example["types"])})
+        manifest = manifest_of(stored_types(stored), exact)
     else:
         fmt = text_format(spec)
         manifest = infer_manifest(scans.scan_text(files, fmt, T.StructType([]), extra="drop"), fmt.convert)
@@ -50,6 +55,3 @@ def infer_table(
             out.write(json.dumps(manifest, indent=2).encode())
     return manifest
 
-
-def _entry(field: T.StructField) -> dict[str, Any]:
-    return {"name": field.name, "type": type_name(field.dataType), "column_operation": REQUIRED, "nullable": True}

@@ -7,6 +7,8 @@ import os
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -14,9 +16,9 @@ from pyspark.sql import functions as F
 
 from rawlake.functions import ordered
 from rawlake.operators import ordinal, sink
-from rawlake.operators.columns import apply_filters
+from rawlake.operators.columns import apply_filters, condition
 from rawlake.operators.lineage import add_lineage, path_columns
-from rawlake.operators.schema import conform, native_columns, typed_columns
+from rawlake.operators.schema import Problem, conform, native_columns, tried_columns, typed_columns
 from rawlake.session import configure, materialize
 from rawlake.sources import scan as scans
 from rawlake.sources.inventory import base_name, discover, list_files, one_glob, range_globs
@@ -24,6 +26,9 @@ from rawlake.sources.scan import NUMBERS, Scan, TextFormat
 from rawlake.sources.templates import PathTemplate
 from rawlake.types import lineage_schema, load_manifest, output_schema, unify
 
+BAD = "_bad"
+
+
 def text_format(spec: dict[str, Any]) -> TextFormat:
     direct = {k: spec[k] for k in ("encoding", "skipfooter") if spec.get(k) is not None}
     kind = spec.get("format", "csv")
@@ -119,54 +124,107 @@ class Job:
         keyed: bool = False,
     ) -> DataFrame:
         """Typed rows with lineage columns, in manifest order; ``keyed`` adds
-        the path of the output each row belongs to."""
+        the place of the output each row belongs to."""
         if inventories is None:
             inventories = self.inventory(start, end, allow_empty)
-        target = unify(output_schema(self.schema), lineage_schema(self.metadata))
+        pieces = self._pieces(inventories, keyed)
+        return self._finished([self._typed(scan, decorate) for scan, decorate in pieces], [sink.OUT_KEY] * keyed)
+
+    def tried_rows(self, inventories: list[Found], refused: list[DataFrame], detail: bool = False) -> DataFrame:
+        """As keyed ``rows``, but nothing in the files raises.
+
+        Rows with something wrong have ``_bad`` set and nulls where it is. Files that
+        cannot be read at all go to ``refused`` as a table of ``path``, ``message`` and
+        ``target`` for each template. With ``detail``, only the rows with something wrong, as
+        ``path``, ``row`` (its number in the file, from 0), ``column`` and ``message``.
+        """
+        pieces = self._pieces(inventories, True, refused, detail)
+        if not detail:
+            return self._finished([self._typed(scan, decorate, True) for scan, decorate in pieces], [sink.OUT_KEY, BAD])
+        found = [self._problems(scan, decorate) for scan, decorate in pieces]
+        return scans.union_scans(found) if found else self.spark.createDataFrame([], "path string, row bigint, column string, message string")
+
+    def _pieces(
+        self, inventories: list[Found], keyed: bool, refused: list[DataFrame] | None = None, numbered: bool = False
+    ) -> list[tuple[Scan, ordinal.Decorate]]:
         pieces: list[tuple[Scan, ordinal.Decorate]] = []
         for i, (found, template) in enumerate(zip(inventories, self.templates)):
             if found.files.isEmpty():
                 continue
-            key = self.output_path(F.col("_path"), template) if keyed else None
+            key = sink.place(self.output_path(F.col("_path"), template)) if keyed else None
             decorate = path_columns(template, self.metadata, found.files, self.input.get("encoding") or "utf-8", key)
-            pieces += [(scan, decorate) for scan in self._scan(found, i, decorate)]
+            out = None if refused is None else []
+            pieces += [(scan, decorate) for scan in self._scan(found, i, decorate, out)]
+            if refused is not None:
+                refused += [t.withColumn("target", self.output_path(F.col("path"), template)) for t in out]
         if not pieces:
-            return self.spark.createDataFrame([], target)
-        if self._numbered():
+            return []
+        if numbered or self._numbered():
             pieces = [(scan.number(with_path(decorate, scan)), decorate) for scan, decorate in pieces]
             if self.aggregate and len(pieces) > 1:
                 counts = scans.union_scans([scan.counts for scan, _ in pieces])
                 pieces = [(replace(s, df=ordinal.number_across(s.df, counts)), d) for s, d in pieces]
-        df = scans.union_scans([self._typed(scan, decorate) for scan, decorate in pieces])
+        return pieces
+
+    def _finished(self, typed: list[DataFrame], more: list[str]) -> DataFrame:
+        """Columns of the output, and ``more`` behind them if there is any piece."""
+        target = unify(output_schema(self.schema), lineage_schema(self.metadata))
+        if not typed:
+            return self.spark.createDataFrame([], target)
+        df = scans.union_scans(typed)
         data = [f.name for f in target]
         extras = [c for c in df.columns if c not in data and not c.startswith("_")] if self.transforms else []
-        if keyed:
-            return df.select(*[F.col(f"`{c}`") for c in data + extras], sink.OUT_KEY)
-        return df.select(*[F.col(f"`{c}`") for c in data + extras]) if extras else conform(df, target)
+        lost = [c for c in more if c not in df.columns]
+        if lost:
+            raise ValueError(f"A custom stage dropped {lost}; columns that begin with '_' must stay")
+        if more or extras:
+            return df.select(*[F.col(f"`{c}`") for c in data + extras + more])
+        return conform(df, target)
 
     def _numbered(self) -> bool:
         """Whether rows need their number: for the output or a function."""
         functions = [f.get("func") for f in (self.metadata.get("additional_metadata") or {}).values()]
         return self.metadata.get("standard_metadata", True) or any(ordered.known(f) for f in functions if f)
 
-    def _scan(self, found: Found, i: int, decorate: ordinal.Decorate) -> list[Scan]:
-        files, glob = found.files, found.glob
+    def _scan(self, found: Found, i: int, decorate: ordinal.Decorate, refused: list[DataFrame] | None = None) -> list[Scan]:
+        files, glob, extra = found.files, found.glob, self.input.get("extra", "raise")
         if self.format is None:
-            paths = [glob] if glob else scans.path_list(files)
-            return [scans.scan_parquet(files, paths, self.schema, i, self.input.get("extra", "raise"))]
-        return scans.scan_text(files, self.format, self.schema, i, self.input.get("extra", "raise"), decorate, glob)
+            return scans.scan_parquet(files, [glob] if glob else None, self.schema, i, extra, refused)
+        return scans.scan_text(files, self.format, self.schema, i, extra, decorate, glob, refused)
+
+    def _tried(self, scan: Scan, df: DataFrame) -> tuple[list[Column], list[Problem]]:
+        convert = self.format.convert if self.format else None
+        values, problems = tried_columns(scan.columns, self.schema, convert, scan.sparse, df.schema if self.format is None else None)
+        if scans.CORRUPT in df.columns:
+            # Where cells are missing or too many, none of them is known to be what it seems.
+            broken = F.col(scans.CORRUPT).isNotNull()
+            problems = [(name, ~broken & wrong, what) for name, wrong, what in problems]
+            problems.append(("", broken, F.concat(F.lit("not as many cells as the header: "), F.col(scans.CORRUPT))))
+        return values, problems
+
+    def _problems(self, scan: Scan, decorate: ordinal.Decorate) -> DataFrame:
+        df = scan.df if scan.decorated else with_path(decorate, scan)(scan.df)
+        _, problems = self._tried(scan, df)
+        told = [F.when(wrong, F.struct(F.lit(name).alias("column"), what.alias("message"))) for name, wrong, what in problems]
+        each = F.explode(F.filter(F.array(*told), lambda p: p.isNotNull())) if told else F.explode(F.array().cast("array<struct<column:string,message:string>>"))
+        return df.select(F.col("_path").alias("path"), F.col("_findex").alias("row"), each.alias("_p")).select("path", "row", "_p.column", "_p.message")
 
-    def _typed(self, scan: Scan, decorate: ordinal.Decorate) -> DataFrame:
+    def _typed(self, scan: Scan, decorate: ordinal.Decorate, lenient: bool = False) -> DataFrame:
         df = scan.df if scan.decorated else with_path(decorate, scan)(scan.df)
-        if self.format is None:
-            values = native_columns(scan.columns, self.schema)
+        carried = [F.col(c) for c in df.columns if c.startswith("_") and c not in scan.columns]
+        if lenient:
+            values, problems = self._tried(scan, df)
+            carried.append(reduce(or_, [wrong for _, wrong, _ in problems], F.lit(False)).alias(BAD))
+        elif self.format is None:
+            values = native_columns(scan.columns, self.schema, df.schema)
         else:
             values = typed_columns(scan.columns, self.schema, self.format.convert, scan.sparse)
-        carried = [c for c in df.columns if c.startswith("_") and c not in scan.columns]
         df = df.select(*values, *carried)
         if self._numbered():
             df = df.withColumn("_index", F.col("_gindex" if self.aggregate else "_findex")).drop(*NUMBERS)
-        df = apply_filters(df, self.input.get("filters") or [])
+        filters = self.input.get("filters") or []
+        # What is wrong with a row stays known whether or not a filter would drop it.
+        df = df.where(F.col(BAD) | condition(filters)) if lenient and filters else apply_filters(df, filters)
         for transform in self.transforms:
             df = df.transform(transform)
         return add_lineage(df, self.metadata, self.creation_time)
@@ -185,25 +243,57 @@ class Job:
         }
         return fill_template(self.output_template, known)
 
-    def write(self, start: str | None = None, end: str | None = None, allow_empty: bool = False) -> dict[str, Any]:
+    def write(
+        self, start: str | None = None, end: str | None = None, allow_empty: bool = False, on_error: str = "raise"
+    ) -> sink.Written:
         """Ingest a key range: one output per raw file or, in aggregate mode,
         one per distinct output path. A file without rows gives an empty output
         (Spark lists no files of no bytes, so those give none), and every output
-        a text of checksums in it; two files with one output path raise, unless in aggregate mode."""
+        a text of checksums in it; two files with one output path raise, unless in aggregate mode.
+
+        Tells ``outputs`` (paths written), ``files``, ``rows``. With ``on_error="skip"`` what is
+        wrong in a file costs its own output only: that one stays as it was before, all others are
+        written; ``failed`` has the paths left out and ``errors`` a table of ``target``,
+        ``path``, ``row``, ``column`` and ``message`` (no row or column if a file cannot be read at all)."""
+        if on_error not in ("raise", "skip"):
+            raise ValueError(f"on_error is 'raise' or 'skip', not '{on_error}'")
         files = self.inventory(start, end, allow_empty)
         expected = self._outputs(files)
-        df = self.rows(start, end, allow_empty, files, keyed=True)
         options = {k: str(v) for k, v in (self.output.get("writer_kwargs") or {}).items()}
+        refused: list[DataFrame] | None = [] if on_error == "skip" else None
+        df = self.rows(start, end, allow_empty, files, keyed=True) if refused is None else self.tried_rows(files, refused)
         if sink.OUT_KEY not in df.columns:  # no file has as much as a header
-            empty = self._write_empty(df, expected, [], options)
-            sink.write_checksums(self.spark, empty)
-            return {"outputs": empty, "files": sum(f.files.count() for f in files), "rows": 0}
+            df = df.withColumn(sink.OUT_KEY, F.lit("none"))
+        bad = F.col(BAD) if BAD in df.columns else None
         watch = Observation()
-        df = df.observe(watch, F.count(F.lit(1)).alias("rows"))
-        outputs = sink.write_outputs(df, self.basedir, **options)
-        outputs = sorted(outputs + self._write_empty(df.drop(sink.OUT_KEY), expected, outputs, options))
-        sink.write_checksums(self.spark, outputs)
-        return {"outputs": outputs, "files": sum(f.files.count() for f in files), "rows": watch.get["rows"]}
+        df = df.observe(watch, F.count(F.lit(1)).alias("rows"), F.count_if(F.lit(False) if bad is None else bad).alias("bad"))
+        out = materialize(scans.union_scans(refused), "refused") if refused else None
+        done = sink.write_outputs(df, self.basedir, expected.select("target"), bad, out, **options)
+        done.update(files=sum(f.files.count() for f in files), rows=watch.get["rows"])
+        if refused is not None:
+            done["errors"] = self._errors(files, done, out, watch.get["bad"])
+        return done
+
+    def _errors(self, files: list[Found], done: sink.Written, refused: DataFrame | None, bad: int) -> DataFrame:
+        """What is wrong in the files of outputs left out; only these are read again."""
+        named = "target string, path string, row bigint, column string, message string"
+        unread = self.spark.createDataFrame([], named)
+        if refused is not None:
+            unread = refused.select("target", "path", F.lit(None).cast("bigint").alias("row"), F.lit(None).cast("string").alias("column"), "message")
+        if not bad:
+            return unread
+        failed = done.table.where("state = 'bad'").select("target")
+        again, targets = [], []
+        for found, template in zip(files, self.templates):
+            keyed = found.files.withColumn("target", self.output_path(F.col("path"), template))
+            keyed = keyed.join(failed, "target", "left_semi")
+            if refused is not None:
+                keyed = keyed.join(refused, "path", "left_anti")
+            keyed = materialize(keyed, "failed-files")
+            targets.append(keyed.select("path", "target"))
+            again.append(Found(keyed.drop("target")))
+        rows = self.tried_rows(again, [], detail=True).join(scans.union_scans(targets).distinct(), "path")
+        return unread.unionByName(rows.select("target", "path", "row", F.nullif("column", F.lit("")).alias("column"), "message"))
 
     def _outputs(self, found: list[Found]) -> DataFrame:
         """Output paths of all files, as a written table of ``target``."""
@@ -214,16 +304,7 @@ class Job:
             shared = paths.where("n > 1").orderBy("target").first()
             if shared is not None:
                 raise ValueError(f"Files '{shared['a']}' and '{shared['b']}' have the same output '{shared['target']}'")
-        return targets.select("target").distinct()
-
-    def _write_empty(self, df: DataFrame, expected: DataFrame, written: list[str], options: dict[str, str]) -> list[str]:
-        """Empty outputs for the expected paths that got no rows."""
-        base = self.basedir.rstrip("/")
-        done = self.spark.createDataFrame([(p,) for p in written], "target string")
-        full = expected.select(F.concat(F.lit(f"{base}/"), "target").alias("target"))
-        empty = [r[0] for r in full.join(done, "target", "left_anti").orderBy("target").collect()]
-        sink.write_empty(df, base, empty, **options)
-        return empty
+        return materialize(targets.select("target").distinct(), "outputs")
 
 
 def with_path(decorate: ordinal.Decorate, scan: Scan) -> ordinal.Decorate:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rawlake.fixtures.staging import csv_line, stage_lines
 from rawlake.operators import infer
+from rawlake.plans.bootstrap import infer_table
 from rawlake.plans.ingest import ingest
 from rawlake.queries import query
 from rawlake.queries.staged import config, month_path, once, table, text
@@ -139,3 +140,33 @@ def infer_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "stamp", "flag", "mixed", "o_orderpriority"
     )
+
+
+@query(
+    "infer_parquet_mixed",
+    """SELECT name, type FROM (VALUES ('o_orderkey', 'int64'), ('amount', 'double'), ('day', 'date32'), ('note', 'string'), ('level', 'string'),
+         ('flag', 'string')) AS t(name, type) WHERE EXISTS (SELECT 1 FROM orders)
+       UNION ALL SELECT 'sum of amounts', CAST(CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN o_custkey ELSE o_custkey + 0.5 END) AS DECIMAL(30, 1)) AS VARCHAR) FROM orders""",
+)
+def infer_parquet_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Parquet files of differing types: whole numbers and fractions give fractions, what some files
+    lack gives text, as does what is of two kinds. The manifest then reads all of them."""
+
+    def write(root: str) -> None:
+        orders = table(spark, sf, "orders")
+        even = F.col("o_orderkey") % 2 == 0
+        same = ["o_orderkey", F.col("o_orderdate").cast("date").alias("day")]
+        whole = orders.where(even).select(*same, F.col("o_custkey").cast("bigint").alias("amount"), F.lit("n").alias("note"), "o_orderpriority", F.lit(True).alias("flag"))
+        parts = orders.where(~even).select(*same, (F.col("o_custkey") + F.lit(0.5)).cast("double").alias("amount"), "o_orderpriority", F.lit("x").alias("flag"))
+        for d, part in (("01", whole), ("02", parts)):
+            part.withColumnRenamed("o_orderpriority", "level").write.parquet(f"{root}/day=202401{d}")
+
+    root = once(spark, sf, "orders-parquet-mixed", write)
+    settings = config([f"{root}/day={{YYYYMMDD}}/part-(.*).parquet"], {}, {"format": "parquet", "extra": "drop"}, metadata={})
+    settings["tables"]["t"]["raw_files"] = [f"{root}/day={{YYYYMMDD}}/part-*.parquet"]
+    manifest = infer_table(spark, settings, "t")
+    found = [(c["name"], c["type"]) for c in manifest["schema"].values()]
+    kept = {k: c for k, c in manifest["schema"].items() if c["name"] in ("o_orderkey", "amount", "day", "level")}
+    rows = ingest(spark, {**settings, "manifest": {"schema": kept}}, "t")
+    total = rows.agg(F.lit("sum of amounts").alias("name"), F.sum(F.col("amount").cast("decimal(30,1)")).cast("string").alias("type"))
+    return spark.createDataFrame(found, "name string, type string").unionByName(total)

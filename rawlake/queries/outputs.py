@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rawlake.fixtures.staging import csv_line, stage_lines
 from rawlake.functions.registry import build
 from rawlake.operators import sink
-from rawlake.operators.backfill import backfill
+from rawlake.operators.backfill import backfill, pending
 from rawlake.plans.ingest import Job
 from rawlake.queries import query
 from rawlake.queries.shaping import RUN
@@ -151,6 +151,50 @@ def backfill_range(spark: SparkSession, sf: str) -> DataFrame:
     return _read_outputs(spark, job.basedir, "/[0-9]*").select(*_COLUMNS, "output")
 
 
+@query(
+    "backfill_bad_date",
+    """WITH e AS (SELECT strftime(ts, '%Y%m%d') AS d, event_id, value FROM events),
+             b AS (SELECT d, row_number() OVER (PARTITION BY d ORDER BY event_id) - 1 AS r, event_id FROM e),
+             w AS (SELECT strftime(x, '%Y%m%d') AS d FROM range(DATE '2024-01-02', DATE '2024-01-22', INTERVAL 1 DAY) t(x)),
+             p AS (SELECT d, count(*) AS rows, sum(event_id) AS ids FROM e WHERE d IN (SELECT d FROM w) AND d NOT IN ('20240105', '20240111', '20240117') GROUP BY d)
+        SELECT d, 'published' AS state, CAST(NULL AS BIGINT) AS row, CAST(NULL AS VARCHAR) AS "column", rows, CAST(ids AS BIGINT) AS ids FROM p
+        UNION ALL SELECT d, 'pending', NULL, NULL, NULL, NULL FROM w WHERE d NOT IN (SELECT d FROM p)
+        UNION ALL SELECT '20240105', 'error', r, 'value', NULL, NULL FROM b WHERE d = '20240105' AND event_id % 7 = 0
+        UNION ALL SELECT '20240111', 'error', r, NULL, NULL, NULL FROM b WHERE d = '20240111' AND event_id % 7 = 0
+        UNION ALL SELECT '20240117', 'error', NULL, NULL, NULL, NULL WHERE EXISTS (SELECT 1 FROM b WHERE d = '20240117')""",
+)
+def backfill_bad_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Malformed files among many: all others are published, those are named, with row and column, and stay pending."""
+
+    def write(root: str) -> None:
+        events, day = table(spark, sf, "events"), F.date_format("ts", "yyyyMMdd")
+        odd = F.col("event_id") % 7 == 0
+        value = F.when(odd & (day == "20240105"), "oops").otherwise(text("value"))
+        cells = [text("event_id"), text("user_id"), F.col("event_type")]
+        time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        short = F.when(odd & (day == "20240111"), csv_line(*cells)).otherwise(csv_line(*cells, value, time))
+        line = F.when(day == "20240117", csv_line(*cells, time)).otherwise(short)
+        names = list(EVENT_TYPES)
+        head = F.when(day == "20240117", ",".join(n for n in names if n != "value")).otherwise(",".join(names))
+        path = F.concat(F.date_format("ts", "yyyy/MM/"), F.lit("events_"), day, F.lit(".csv"))
+        stage_lines(events, root, path, line, [F.col("event_id")], head)
+
+    root = once(spark, sf, "events-malformed", write)
+    settings = config(
+        [f"{root}/{DAILY}"], EVENT_TYPES, EVENTS_INPUT, metadata={}, basedir=work_path(spark, "lake"), file_template="{YYYYMMDD}"
+    )
+    job = Job(spark, settings, "t", creation_time=RUN)
+    done = backfill(job, "20240102", "20240121")
+    outputs = _read_outputs(spark, job.basedir, "/[0-9]*").withColumnRenamed("output", "d")
+    nothing = {c: F.lit(None).cast(t) for c, t in (("row", "bigint"), ("column", "string"), ("rows", "bigint"), ("ids", "bigint"))}
+    order = ["d", "state", "row", "column", "rows", "ids"]
+    published = outputs.groupBy("d").agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")).withColumn("state", F.lit("published"))
+    left = pending(spark, "20240102", "20240121", outputs).withColumn("state", F.lit("pending"))
+    errors = done["errors"].select(F.col("target").alias("d"), F.lit("error").alias("state"), "row", "column")
+    parts = [df.withColumns({c: v for c, v in nothing.items() if c not in df.columns}).select(*order) for df in (published, left, errors)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("incremental_ingest", _EVENTS_SQL.format(more="", where=""))
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Files in several micro-batches; a second run finds nothing new."""

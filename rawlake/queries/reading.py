@@ -472,3 +472,20 @@ def filter_pushdown(spark: SparkSession, sf: str) -> DataFrame:
     ]
     settings = config([f"{sf}/lineitem.parquet"], types, {"format": "parquet", "filters": filters, "extra": "drop"})
     return ingest(spark, settings, "t").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+
+
+@query(
+    "filter_pushdown_numbered",
+    """WITH l AS (SELECT *, row_number() OVER () - 1 AS r FROM (SELECT * FROM lineitem))
+       SELECT l_orderkey, l_linenumber, r AS _index, true AS pushed FROM l
+       WHERE l_quantity >= 45 AND l_returnflag IN ('A', 'R')""",
+)
+def filter_pushdown_numbered(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows keep their number in the file although the reader itself leaves out what the filters do not want."""
+    types = {"l_orderkey": "int64", "l_linenumber": "int64", "l_quantity": "double", "l_returnflag": "string"}
+    filters = [["l_quantity", ">=", 45.0], ["l_returnflag", "in", ["A", "R"]]]
+    settings = config([f"{sf}/lineitem.parquet"], types, {"format": "parquet", "filters": filters, "extra": "drop"}, metadata={"knowledge_time": {"from": "file_mtime"}})
+    rows = ingest(spark, settings, "t")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    pushed = "GreaterThanOrEqual(l_quantity,45.0)" in plan and "In(l_returnflag, [A,R])" in plan
+    return rows.select("l_orderkey", "l_linenumber", "_index", F.lit(pushed).alias("pushed"))

@@ -380,3 +380,23 @@ def meta_func_cast(spark: SparkSession, sf: str) -> DataFrame:
 
 
 __all__ = ["ORDER_COLUMNS", "RUN", "build", "order_cells"]
+
+
+@query(
+    "file_times",
+    """SELECT 'orders_' || strftime(o_orderdate, '%Y%m') || '01.csv' AS _source_file, count(*) AS rows, true AS mtime_told, true AS knowledge_told
+       FROM orders GROUP BY 1""",
+)
+def file_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Modification times as columns, and as knowledge times, against those of Spark's own listing of the files."""
+    root = monthly_orders(spark, sf)
+    settings = config([f"{root}/{MONTHLY}"], ORDER_TYPES, metadata={"knowledge_time": {"from": "file_mtime"}})
+    rows = ingest(spark, settings, "t")
+    listed = spark.read.format("binaryFile").load(f"{root}/*/*/*.csv")
+    listed = listed.select(F.substring_index("path", "/", -1).alias("_source_file"), "modificationTime")
+    told = rows.join(listed, "_source_file", "left")
+    same = [(F.col(c).isNotNull() & (F.col(c) == F.col("modificationTime"))) for c in ("_source_file_mtime", "_knowledge_time")]
+    return told.groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(F.coalesce(same[0], F.lit(False))).alias("mtime_told"),
+        F.bool_and(F.coalesce(same[1], F.lit(False))).alias("knowledge_told"),
+    )

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from rawlake.session import materialize
-from rawlake.sources import remote
+from rawlake.sources import records, remote
 
 BATCH_LINES = 20_000
 CHUNK_LINES = 500_000
@@ -35,8 +35,15 @@ def unpack_lines(
 ) -> DataFrame:
     """Numbered lines of all files of ``inventory``, as a written table.
 
-    With ``join_quoted`` (a quote character) a line is a whole CSV record.
+    With ``join_quoted`` (a quote character) a line is a whole CSV record. Files that a
+    column ``codec`` calls uncompressed (null) are then cut in ranges of bytes.
     """
+    if join_quoted and "codec" in inventory.columns and records.single_bytes(encoding, join_quoted, escape):
+        whole = inventory.where("codec IS NULL").drop("codec")
+        packed = inventory.where("codec IS NOT NULL").drop("codec")
+        if not whole.isEmpty():
+            lines = materialize(records.cut(whole, LINES_SCHEMA, template_ord, encoding, join_quoted, escape), "records")
+            return lines if packed.isEmpty() else lines.unionByName(unpack_lines(packed, template_ord, encoding, join_quoted, escape))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

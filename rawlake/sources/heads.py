@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rawlake.sources import remote
 
 HEAD_SCHEMA = (
-    "path string, codec string, head array<string>, names array<string>, data_start bigint"
+    "path string, codec string, head array<string>, names array<string>, data_start bigint, failure string"
 )
 
 # Markers and leading columns of sectioned files.
@@ -60,13 +60,23 @@ def peek(
     keep: int = 0,
     joined: bool = False,
     escape: str | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """Per file: codec, the first ``keep`` lines, header names, and the line
-    number at which data begins. With ``joined`` a line is a whole CSV record."""
+    number at which data begins. With ``joined`` a line is a whole CSV record.
+    A file that cannot be read so far raises; if ``lenient``, ``failure`` tells why."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([one(p) for p in batch["path"]], columns=columns)
+            yield pd.DataFrame([tried(p) for p in batch["path"]], columns=columns)
+
+    def tried(path: str) -> tuple:
+        try:
+            return (*one(path), None)
+        except Exception as e:
+            if not lenient:
+                raise
+            return path, None, [], None, 0, f"{type(e).__name__}: {e}"
 
     def one(path: str) -> tuple:
         stream, codec = remote.open_decoded(path)
@@ -96,7 +106,7 @@ def peek(
             pass
         return path, codec, head, names, start + skip_after
 
-    columns = ["path", "codec", "head", "names", "data_start"]
+    columns = ["path", "codec", "head", "names", "data_start", "failure"]
     width = inventory.sparkSession.sparkContext.defaultParallelism
     return inventory.select("path").repartition(width, "path").mapInPandas(read, HEAD_SCHEMA)
 

@@ -53,6 +53,45 @@ def open_input(path: str):
     return system.open_input_file(name)
 
 
+def exists(path: str) -> bool:
+    system, name = _locate(path)
+    return system.get_file_info(name).type != fs.FileType.NotFound
+
+
+def files(path: str) -> list[str]:
+    """Files below a folder, at any depth; none if there is no such folder."""
+    system, name = _locate(path)
+    found = system.get_file_info(fs.FileSelector(name, allow_not_found=True, recursive=True))
+    start = path[: len(path) - len(name)] if path.endswith(name) else ""
+    return sorted(start + f.path for f in found if f.type == fs.FileType.File)
+
+
+def delete(path: str) -> None:
+    """Delete a file or folder, if there is one."""
+    system, name = _locate(path)
+    kind = system.get_file_info(name).type
+    if kind == fs.FileType.Directory:
+        system.delete_dir(name)
+    elif kind != fs.FileType.NotFound:
+        system.delete_file(name)
+
+
+def move(source: str, target: str) -> None:
+    """Move a folder or file to a place where there is none; file by file where the store cannot rename folders."""
+    system, name = _locate(source)
+    goal = _locate(target)[1]
+    system.create_dir(goal.rsplit("/", 1)[0], recursive=True)
+    try:
+        system.move(name, goal)
+    except (NotImplementedError, OSError):
+        if not isinstance(system, fs.S3FileSystem):
+            raise
+        for file in files(source):
+            own = _locate(file)[1]
+            system.copy_file(own, goal + own[len(name) :])
+        delete(source)
+
+
 def md5(path: str) -> str:
     """Hex digest of a file, read piece by piece."""
     with open_input(path) as raw:
@@ -89,23 +128,32 @@ def lines(path: str, encoding: str = "utf-8") -> Iterator[str]:
             yield line.removesuffix("\n")
 
 
+# A longer record raises: most likely a quote is missing.
+RECORD_CHARS = 256 << 20
+
+
 def records(physical: Iterator[str], quote: str, escape: str | None = None) -> Iterator[str]:
     """Join physical lines while a quoted cell is open.
 
     An escape character hides the one behind it; doubled quotes close and open again.
+    A quote that is never closed raises, as does a record of more than ``RECORD_CHARS``.
     """
     marks = re.compile(f"{re.escape(escape)}.|{re.escape(quote)}" if escape and escape != quote else re.escape(quote), re.S)
     pending: list[str] = []
-    opened = False
-    for line in physical:
+    opened, size, begun = False, 0, 1
+    for number, line in enumerate(physical, 1):
+        begun = begun if pending else number
         pending.append(line)
+        size += len(line)
         if sum(mark == quote for mark in marks.findall(line)) % 2:
             opened = not opened
         if not opened:
             yield "\n".join(pending)
-            pending = []
+            pending, size = [], 0
+        elif size > RECORD_CHARS:
+            raise ValueError(f"The record that begins in line {begun} is longer than {RECORD_CHARS} characters")
     if pending:
-        yield "\n".join(pending)
+        raise ValueError(f"A quote in the record that begins in line {begun} is never closed")
 
 
 def csv_cells(line: str, delimiter: str = ",", quote: str | None = '"', escape: str | None = None) -> list[str]:
