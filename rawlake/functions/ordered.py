@@ -505,17 +505,85 @@ def sort_indices(
     return _put(df.join(answer, [group, at]), into, F.col("_c_i"))
 
 
+# A sketch of quantiles is off by less than one row in so many, and a band that
+# surely holds a wanted place has a few times that share of the rows.
+SKETCH = 10_000
+# Values of a group's band that one task puts in order; a larger band is sorted by ranges.
+BAND = 1 << 20
+
+
+def _at_places(values: DataFrame, group: str, places: dict[str, float]) -> DataFrame:
+    """``group`` and, for each name in ``places``, the value ``_val`` that stands at that share of a group's order.
+
+    Exact, without sorting: a sketch bounds each place from both sides, one pass
+    counts what lies below and picks what lies between, and only that is put in order.
+    """
+    values = materialize(values, "values")
+    integral = isinstance(values.schema["_val"].dataType, T.IntegralType)
+    shares = [min(max(p + side, 0.0), 1.0) for p in places.values() for side in (-3 / SKETCH, 3 / SKETCH)]
+    sketch = F.percentile_approx("_val", F.array(*[F.lit(s) for s in shares]), F.lit(SKETCH)).alias("_q")
+    ends = [F.min("_val").alias("_min"), F.max("_val").alias("_max")]
+    bounds = values.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), sketch, *ends)
+    # Of a small group everything lies between: a few shares of it may be no whole row.
+    few, edges = F.col("_n") <= SKETCH, {}
+    for i, (name, share) in enumerate(places.items()):
+        low, high = F.get("_q", F.lit(2 * i)), F.get("_q", F.lit(2 * i + 1))
+        if integral:  # the sketch holds doubles
+            low = F.coalesce(F.try_subtract(low.cast("bigint"), F.lit(1024)), F.lit(-(2**63)))
+            high = F.coalesce(F.try_add(high.cast("bigint"), F.lit(1024)), F.lit(2**63 - 1))
+        low, high = F.when(few, F.col("_min")).otherwise(low), F.when(few, F.col("_max")).otherwise(high)
+        edges |= {f"_low_{name}": low, f"_high_{name}": high, f"_at_{name}": F.round(F.lit(share) * (F.col("_n") - 1)).cast("bigint")}
+    bounds = materialize(bounds.withColumns(edges).drop("_q", "_n", "_min", "_max"), "bounds")
+    known = _join_side(values, bounds, [group])
+    below = [F.count_if(F.col("_val") < F.col(f"_low_{n}")).alias(f"_below_{n}") for n in places]
+    counts = materialize(known.groupBy(group).agg(*below, *[F.first(f"_at_{n}").alias(f"_at_{n}") for n in places]), "below")
+    found = None
+    for name in places:
+        band = known.where(F.col("_val").between(F.col(f"_low_{name}"), F.col(f"_high_{name}"))).select(group, "_val")
+        band = materialize(band.groupBy(group, "_val").agg(F.count(F.lit(1)).alias("_times")), "band")
+        most = band.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+        if most <= BAND:
+            upto = F.sum("_times").over(Window.partitionBy(group).orderBy("_val"))
+            placed = band.withColumns({"_upto": upto}).withColumn("_from", F.col("_upto") - F.col("_times"))
+        else:
+            number = band.withColumn("_at", F.monotonically_increasing_id())
+            placed = running_sums(positions(number, "_val", group, "_at"), band, group)
+        spot = F.col(f"_at_{name}") - F.col(f"_below_{name}")
+        hit = _join_side(placed, counts, [group]).where((F.col("_from") <= spot) & (spot < F.col("_upto")))
+        missed = F.raise_error(F.lit("A place lies outside of its bounds")).cast(values.schema["_val"].dataType)
+        hit = _join_side(counts.select(group), hit.select(group, "_val"), [group], "left").select(group, F.coalesce("_val", missed).alias(name))
+        found = hit if found is None else found.join(hit, group)
+    return found
+
+
+def running_sums(placed: DataFrame, times: DataFrame, group: str) -> DataFrame:
+    """``_from`` and ``_upto`` of sorted distinct values (of ``positions``) that stand for ``_times`` rows each."""
+    rows = placed.select(group, "_val", "_pos", "_range").join(times.select(group, "_val", "_times"), [group, "_val"])
+    rows = materialize(rows, "sorted-band")
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(group, "_range").agg(F.sum("_times").alias("_sum"))
+    starts = totals.select(group, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    within = F.sum("_times").over(Window.partitionBy(group, "_range").orderBy("_pos"))
+    summed = _join_side(rows, starts, [group, "_range"]).withColumn("_upto", F.col("_base") + within)
+    return summed.withColumn("_from", F.col("_upto") - F.col("_times"))
+
+
 def winsorize(
     df: DataFrame, column: str, into: str, group: str, at: str, lower_limit: float, upper_limit: float
 ) -> DataFrame:
     """Values beyond two quantiles become those quantiles' values."""
     value = F.col(f"`{column}`")
-    real = value.isNotNull() & (~F.isnan(value) if is_float(df.schema[column].dataType) else F.lit(True))
-    placed = positions(df.where(real), column, group, at)
-    spots = [F.round(F.lit(limit) * (F.col("_size") - 1)).cast("bigint") for limit in (lower_limit, upper_limit)]
-    # Only the two rows at those places are left per group.
-    picked = placed.where((F.col("_pos") == spots[0]) | (F.col("_pos") == spots[1]))
-    bounds = picked.groupBy(group).agg(F.min("_val").alias("_c_lo"), F.max("_val").alias("_c_hi"))
+    kind = df.schema[column].dataType
+    real = value.isNotNull() & (~F.isnan(value) if is_float(kind) else F.lit(True))
+    if is_float(kind) or isinstance(kind, T.IntegralType):
+        picked = _at_places(df.where(real).select(group, value.alias("_val")), group, {"_c_a": lower_limit, "_c_b": upper_limit})
+        bounds = picked.select(group, F.least("_c_a", "_c_b").alias("_c_lo"), F.greatest("_c_a", "_c_b").alias("_c_hi"))
+    else:
+        placed = positions(df.where(real), column, group, at)
+        spots = [F.round(F.lit(limit) * (F.col("_size") - 1)).cast("bigint") for limit in (lower_limit, upper_limit)]
+        # Only the two rows at those places are left per group.
+        picked = placed.where((F.col("_pos") == spots[0]) | (F.col("_pos") == spots[1]))
+        bounds = picked.groupBy(group).agg(F.min("_val").alias("_c_lo"), F.max("_val").alias("_c_hi"))
     clipped = F.least(F.greatest(value, F.col("_c_lo")), F.col("_c_hi"))
     return _put(_join_side(df, bounds, [group], "left"), into, F.when(real, clipped).otherwise(value))
 

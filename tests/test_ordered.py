@@ -98,3 +98,28 @@ def test_one_summary_for_many_functions(spark, monkeypatch):
     calls = [("v", f"cumulative_{k}", k, (), {}) for k in ("sum", "max", "min", "mean", "prod")]
     registry.apply_functions(df, calls, ("g", "i")).collect()
     assert written == ["summaries"]
+
+
+@pytest.mark.parametrize("band,sketch", [(1 << 20, 10_000), (3, 20)])
+@pytest.mark.parametrize("kind", ["double", "bigint"])
+def test_winsorize_selects_the_same_values_without_a_sort(spark, monkeypatch, band, sketch, kind):
+    import random
+
+    monkeypatch.setattr(ordered, "BAND", band)
+    monkeypatch.setattr(ordered, "SKETCH", sketch)
+    rng = random.Random(8)
+    big = 2**62
+    draw = {
+        "double": lambda: rng.choice([rng.gauss(0, 1), rng.gauss(0, 1e6), 0.0, 1.0, float("inf"), float("-inf")]),
+        "bigint": lambda: rng.choice([rng.randint(-big, big), big + rng.randint(0, 50), 7]),
+    }[kind]
+    groups = {"hot": [draw() for _ in range(2000)], "one": [draw()], "two": [draw(), draw()], "same": [draw()] * 50, "few": [draw() for _ in range(31)]}
+    rows = [(g, i, v) for g, vs in groups.items() for i, v in enumerate(vs)] + [("few", 31, None), ("none", 0, None)]
+    df = spark.createDataFrame(rows, f"g string, i bigint, v {kind}").repartition(5)
+    for low, high in ((0.05, 0.9), (0.5, 0.5)):
+        out = {(r["g"], r["i"]): r["r"] for r in ordered.winsorize(df, "v", "r", "g", "i", low, high).collect()}
+        for g, vs in groups.items():
+            own = sorted(vs)
+            a, b = (own[int(x * (len(own) - 1) + 0.5)] for x in (low, high))
+            assert [out[g, i] for i in range(len(vs))] == [min(max(v, a), b) for v in vs], (g, low, high)
+        assert out["few", 31] is None and out["none", 0] is None and len(out) == len(rows)
