@@ -174,7 +174,7 @@ def connect(values: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndar
 SHINGLE = 5  # words in a shingle of ``similar``
 BANDS, ROWS = 32, 5  # least hashes: at similarity 0.8 a pair shares none of the bands once in 300,000
 STARS = 2  # rounds in which members of a band meet one of them only
-GATHER = 256  # members of different groups, or of the largest, that are compared together
+GATHER = 1024  # members of the largest group, and of all others, that are compared together
 WIDE = 4  # 64-bit words of a wide fingerprint
 # A bit of it differs with a probability of at most 0.19 at similarity 0.8; this is six deviations above.
 APART = 86
@@ -193,8 +193,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     by their text like any other. No other columns of ``docs`` are read.
 
     Members of a bucket share a band of least hashes. At first each meets one of
-    them only, which joins most groups; then those still apart meet in buckets of
-    bounded size, where wide SimHash fingerprints and their distances to reference
+    them only, then one for each band, which joins most groups; those still apart meet
+    in buckets of bounded size, where wide SimHash fingerprints and their distances to reference
     fingerprints discard pairs. Every link is verified on the whole sets, and only
     links that join groups leave a bucket. Equal sets are one, told by 128 bits.
     """
@@ -211,7 +211,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     members = materialize(join_counted(level, counts, ["band"], "n").select("band", "key"), "band-members")
     needed = classes.join(members.select("key").distinct(), "key", "left_semi").select("key", "fp", F.col("first.id").alias("_id"), F.col("first._thash").alias("_hash"))
     whole = texts.join(needed, texts["id"].eqNullSafe(needed["_id"]) & texts["_thash"].eqNullSafe(needed["_hash"])).select("key", "fp", "text")
-    sets = materialize(whole.dropDuplicates(["key"]).mapInArrow(_sets, "key binary, fp binary, own binary"), "candidate-sets")
+    sets = materialize(whole.dropDuplicates(["key"]).mapInArrow(_sets, "key binary, fp binary, own binary, bands array<bigint>"), "candidate-sets")
     found, labels = None, None
     for k in range(STARS + 1):
         now = members.withColumn("root", F.col("key"))
@@ -219,7 +219,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             now = members.join(labels.withColumnRenamed("node", "key"), "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
             now = materialize(now, "labelled-members")
         # Only bands in which groups are still apart have anything to compare.
-        centre = F.min(F.struct(F.xxhash64("key", F.lit(k)), F.struct("key", "root").alias("at")))["at"].alias("centre")
+        number = F.xxhash64("key", *(["band"] if k else []))
+        centre = F.min(F.struct(number, F.struct("key", "root").alias("at")))["at"].alias("centre")
         open_bands = now.groupBy("band").agg(centre, F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
         open_bands = materialize(open_bands.filter("low < high").select("band", "n", "centre"), "open-bands")
         met = join_counted(now, open_bands, ["band"], "n").select("band", "key", "root", "centre")
@@ -242,7 +243,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _gathered(level: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between the groups that meet in the buckets of ``level`` (bucket, key, root).
 
-    No pair within a group is looked at again. If few members are not of a bucket's
+    No pair within a group is looked at again, and others in the first bucket they
+    share only: buckets that are closed hold one group each. If few members are not of a bucket's
     largest group, they meet that group in shares of bounded size. If they are many,
     they are mutually unlike for the most part, and are dealt out by more least hashes,
     as many as two sets of similarity 0.8 share in one of the tables all but surely
@@ -259,7 +261,8 @@ def _gathered(level: DataFrame, sets: DataFrame) -> DataFrame:
         shares = F.ceil(F.col("m") / GATHER).cast("int")
         number = F.xxhash64("key", F.lit(1000 + depth))
         dealt = F.when(F.col("root") == F.col("main"), F.array(F.pmod(number, shares).cast("int"))).otherwise(F.sequence(F.lit(0), shares - 1))
-        close = rows.filter(few).select("bucket", "key", "root", F.explode(dealt).alias("share"), F.lit(0).alias("other"))
+        aside = F.when(F.col("root") != F.col("main"), F.lit(1)).otherwise(F.lit(0)).alias("aside")
+        close = rows.filter(few).select("bucket", "key", "root", aside, F.explode(dealt).alias("share"), F.lit(0).alias("other"))
         many = rows.filter(~few)
         if depth == DEEPEST:
             blocks = F.ceil(F.col("n") / GATHER).cast("int")
@@ -267,9 +270,9 @@ def _gathered(level: DataFrame, sets: DataFrame) -> DataFrame:
             facing = F.explode(F.sequence(F.lit(0), blocks - 1))
             apart = many.select("bucket", "key", "root", block.alias("block"), facing.alias("facing"))
             share, other = F.least("block", "facing").alias("share"), F.greatest("block", "facing").alias("other")
-            close = close.unionByName(apart.select("bucket", "key", "root", share, other))
-        met = close.join(sets, "key").select("bucket", "share", "other", "key", "root", "fp", "own")
-        linked = met.groupBy("bucket", "share", "other").applyInPandas(_join_groups, "a binary, b binary")
+            close = close.unionByName(apart.select("bucket", "key", "root", F.lit(0).alias("aside"), share, other))
+        met = close.join(sets, "key").select("bucket", "share", "other", "key", "root", "aside", "fp", "own", "bands")
+        linked = met.groupBy("bucket", "share", "other").applyInPandas(_join_groups(depth == 0), "a binary, b binary")
         linked = materialize(linked.distinct(), "gathered-links")
         found = linked if found is None else found.unionByName(linked)
         if depth == DEEPEST or sizes.filter(~few).isEmpty():
@@ -343,8 +346,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        owns = [shingles(t).tobytes() for t in binary(batch.column(2))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(owns, pa.binary())], ["key", "fp", "own"])
+        owns = [shingles(t) for t in binary(batch.column(2))]
+        found = pa.array([bands(o).view(np.int64) if len(o) else [] for o in owns], pa.list_(pa.int64()))
+        columns = [batch.column(0), batch.column(1), pa.array([o.tobytes() for o in owns], pa.binary()), found]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "own", "bands"])
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
@@ -366,22 +371,36 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
 
-def _join_groups(members: pd.DataFrame) -> pd.DataFrame:
-    """Verified links that join the groups of a bucket's members as far as they can be joined."""
-    keys, owns = members["key"].tolist(), [np.frombuffer(o, np.uint64) for o in members["own"]]
-    prints = np.frombuffer(b"".join(members["fp"]), np.uint64).reshape(-1, WIDE)
-    label = pd.factorize(members["root"].map(bytes))[0]
-    # Distances to some of the members: two of them differ in no more bits than their rows do.
-    references = prints[np.unique(np.linspace(0, len(prints) - 1, 16).astype(int))]
-    table = np.stack([np.bitwise_count(prints ^ r).sum(axis=1) for r in references], axis=1).astype(np.int16)
-    links = []
-    for i in range(len(keys) - 1):
-        rest = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
-        rest = rest[(np.abs(table[rest] - table[i]) <= APART).all(axis=1)]
-        distance = np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1)
-        rest = rest[np.argsort(distance, kind="stable")[: int((distance <= APART).sum())]]
-        for j in rest.tolist():
-            if label[i] != label[j] and alike(owns[i], owns[j]):
-                links.append((keys[i], keys[j]))
-                label[label == label[j]] = label[i]
-    return pd.DataFrame(links, columns=["a", "b"])
+def _join_groups(by_band: bool):
+    """Verified links that join the groups of a bucket's members as far as they can be joined.
+
+    ``by_band``: buckets are bands, so pairs that share an earlier one are left to that.
+    Members ``aside`` of the largest group meet each other in the first share only.
+    """
+
+    def run(members: pd.DataFrame) -> pd.DataFrame:
+        keys, owns = members["key"].tolist(), [np.frombuffer(o, np.uint64) for o in members["own"]]
+        prints = np.frombuffer(b"".join(members["fp"]), np.uint64).reshape(-1, WIDE)
+        label = pd.factorize(members["root"].map(bytes))[0]
+        aside = members["aside"].to_numpy() * int(members["share"].iloc[0] > 0)
+        own_bands = np.stack(members["bands"].tolist()) if by_band else None
+        here = members["bucket"].iloc[0]
+        # Distances to some of the members: two of them differ in no more bits than their rows do.
+        references = prints[np.unique(np.linspace(0, len(prints) - 1, 16).astype(int))]
+        table = np.stack([np.bitwise_count(prints ^ r).sum(axis=1) for r in references], axis=1).astype(np.int16)
+        links = []
+        for i in range(len(keys) - 1):
+            rest = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & ~(aside[i + 1 :] & aside[i]).astype(bool))
+            rest = rest[(np.abs(table[rest] - table[i]) <= APART).all(axis=1)]
+            distance = np.bitwise_count(prints[rest] ^ prints[i]).sum(axis=1)
+            rest = rest[np.argsort(distance, kind="stable")[: int((distance <= APART).sum())]]
+            if by_band and len(rest):
+                same = own_bands[rest] == own_bands[i]
+                rest = rest[own_bands[i][same.argmax(axis=1)] == here]
+            for j in rest.tolist():
+                if label[i] != label[j] and alike(owns[i], owns[j]):
+                    links.append((keys[i], keys[j]))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(links, columns=["a", "b"])
+
+    return run
