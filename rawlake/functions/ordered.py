@@ -337,7 +337,10 @@ def positions(
     # Finding the ranges reads the rows once more: not from the raw files.
     narrow = materialize(narrow, "rank-keys")
     keys = [F.col(group), F.col("_cls"), F.col("_val").desc() if descending else F.col("_val").asc(), F.col(at)]
-    ranged = narrow.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # So many ranges that one task sorts no more than its share, however many rows there are.
+    width = -(-narrow.count() // RANGE)
+    many = [width] if width > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    ranged = narrow.repartitionByRange(*many, *keys).sortWithinPartitions(*keys)
     ranged = ranged.withColumns({"_range": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
     ranged = materialize(ranged, "sorted-ranges")
     # At most one row per shuffle partition and group.
@@ -505,6 +508,9 @@ def sort_indices(
     return _put(df.join(answer, [group, at]), into, F.col("_c_i"))
 
 
+# Rows of one range of a sort.
+RANGE = 5_000_000
+
 # A sketch of quantiles is off by less than one row in so many, and a band that
 # surely holds a wanted place has a few times that share of the rows.
 SKETCH = 10_000

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +15,9 @@ function("utf8_length")(lambda value, dtype: F.length(value))
 function("binary_length")(lambda value, dtype: F.octet_length(value))
 
 
+_REST = "restbehind"
+
+
 def _fold(value: Column, pattern: str, ignore_case: bool) -> tuple[Column, Column]:
     return (F.lower(value), F.lit(pattern.lower())) if ignore_case else (value, F.lit(pattern))
 
@@ -89,28 +91,22 @@ def extract_regex(value: Column, dtype: T.DataType, pattern: str) -> Column:
 
 @function("extract_regex_span")
 def extract_regex_span(value: Column, dtype: T.DataType, pattern: str) -> Column:
-    """Byte offset and length of each named group."""
-    compiled = re.compile(pattern)
-    fields = [T.StructField(n, T.ArrayType(T.LongType())) for n in compiled.groupindex]
-
-    # Group positions are not to be had from built-in functions.
-    @F.pandas_udf(T.StructType([T.StructField("hit", T.BooleanType()), *fields]))
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            match = compiled.search(text) if text is not None else None
-            spans = {}
-            for name in compiled.groupindex:
-                if match is None:
-                    spans[name] = None
-                else:
-                    low, high = match.span(name)
-                    spans[name] = [len(text[:low].encode()), len(text[low:high].encode())]
-            rows.append({"hit": match is not None, **spans})
-        return pd.DataFrame(rows, columns=["hit", *compiled.groupindex])
-
-    spans = run(value)
-    return F.when(spans["hit"], F.struct(*[spans[n].alias(n) for n in compiled.groupindex]))
+    """Byte offset and length of each named group, the latter 0 for one that has no part in the match.
+
+    A look ahead at the front of a group takes all that follows, which tells where the
+    group begins. It is a group of its own, so numbered back-references are refused.
+    """
+    if re.search(r"(?<!\\)(?:\\\\)*\\[1-9]", pattern):
+        raise ValueError("Spans are not to be had of a pattern with numbered back-references")
+    spans = []
+    for name in re.compile(pattern).groupindex:
+        opening = f"(?P<{name}>"
+        looking = pattern.replace(opening, f"{opening}(?=(?P<{_REST}>[\\s\\S]*))", 1)
+        at = re.compile(looking).groupindex
+        rest, own = (F.regexp_extract(value, _regex(looking), at[g]) for g in (_REST, name))
+        before = F.octet_length(value) - F.octet_length(rest)
+        spans.append(F.array(before.cast("bigint"), F.octet_length(own).cast("bigint")).alias(name))
+    return F.when(value.rlike(_regex(pattern)), F.struct(*spans))
 
 
 # -- splitting -------------------------------------------------------------------------

@@ -340,6 +340,20 @@ def test_span(spark):
     assert [r["v"] and list(r["v"]["n"]) for r in got] == [w and list(w["n"]) for w in want]
 
 
+@pytest.mark.parametrize("pattern", ["(?P<a>[a-z]+)-(?P<b>[0-9]+)", "x(?P<a>(?:y(?P<b>z))+)", "(?P<a>é|ü)(?:(?P<b>.)q|r)", "(?P<a>)b(?P<b>$)"])
+def test_spans_of_any_groups(spark, pattern):
+    texts = ["12 abc-45 de-6", "ßxyzyzyz", "éü üsq ér", "日本b", "", None, "a\\nb", "--", "éq-7 ab-"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").coalesce(1)
+    got = [r["v"] for r in df.select(registry.build("extract_regex_span", F.col("s"), T.StringType(), pattern).alias("v")).collect()]
+    for text, span in zip(texts, got):
+        match = re.search(pattern, text) if text is not None else None
+        assert (span is None) == (match is None)
+        for name in ("a", "b") if match else ():
+            low, high = match.span(name)
+            if low >= 0:
+                assert list(span[name]) == [len(text[:low].encode()), len(text[low:high].encode())], (text, name)
+
+
 ORDERED = [
     ("cumulative_sum", {}), ("cumulative_sum", {"start": 5.0, "skip_nulls": True}), ("cumulative_max", {}), ("cumulative_min", {}),
     ("cumulative_max", {"skip_nulls": True}), ("cumulative_mean", {"skip_nulls": True}), ("cumulative_mean", {}),
