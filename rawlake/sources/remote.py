@@ -8,6 +8,7 @@ import gzip
 import hashlib
 import io
 import lzma
+import os
 import re
 import zipfile
 from collections.abc import Iterator
@@ -104,6 +105,20 @@ def open_output(path: str):
     return system.open_output_stream(name, compression=None)
 
 
+def writes_in_place(path: str) -> bool:
+    """Whether tasks can write to different places of one file."""
+    return isinstance(_locate(path)[0], fs.LocalFileSystem)
+
+
+def open_place(path: str, at: int):
+    """Binary output that begins at byte ``at`` and leaves the rest of the file as it is."""
+    system, name = _locate(path)
+    system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    file = os.fdopen(os.open(name, os.O_WRONLY | os.O_CREAT, 0o666), "wb")
+    file.seek(at)
+    return file
+
+
 def open_decoded(path: str) -> tuple[io.BufferedIOBase, str | None]:
     """Decompressed byte stream of ``path`` or ``archive|member``, and its codec."""
     archive, bar, member = path.partition("|")
