@@ -43,11 +43,13 @@ def _candidates(text: Column, options: dict[str, Any]) -> list[tuple[str, Column
     lead = F.substring(text, 1, 1)
     digit = lead.between("0", "9")
     number = digit | lead.isin("-", " ", "\t")
+    # No date lacks this dash, and no whole number that begins with a digit has it; fractions may (123e-5).
+    dated = digit & (F.substring(text, 5, 1) == "-")
     fits = F.length(text) <= 18
     found = [
-        ("int64", number & text.rlike(_INT) & (fits | text.rlike("^[ \t]*0[xX]") | text.try_cast("decimal(38,0)").between(-(2**63), 2**63 - 1))),
+        ("int64", number & ~dated & text.rlike(_INT) & (fits | text.rlike("^[ \t]*0[xX]") | text.try_cast("decimal(38,0)").between(-(2**63), 2**63 - 1))),
         ("bool", text.isin(*options.get("true_values", TRUE_TOKENS), *options.get("false_values", FALSE_TOKENS))),
-        ("date32", digit & (F.length(text) == 10) & text.rlike(_DATE) & text.try_cast("date").isNotNull()),
+        ("date32", dated & (F.length(text) == 10) & text.rlike(_DATE) & text.try_cast("date").isNotNull()),
     ]
     patterns = [f for f in formats if f != ISO8601]
     if patterns:
@@ -61,9 +63,9 @@ def _candidates(text: Column, options: dict[str, Any]) -> list[tuple[str, Column
         padded = F.when(text.rlike(r"[ T]\d{2}$"), F.concat(text, F.lit(":00"))).otherwise(text)
         real = padded.try_cast("timestamp_ntz").isNotNull()
         found += [
-            ("timestamp[s]", digit & text.rlike(_SECONDS) & real),
-            ("timestamp[s, tz=UTC]", digit & text.rlike(_ZONED) & F.try_to_timestamp(text).isNotNull()),
-            ("timestamp[us]", digit & text.rlike(_FRACTION) & real),
+            ("timestamp[s]", dated & text.rlike(_SECONDS) & real),
+            ("timestamp[s, tz=UTC]", dated & text.rlike(_ZONED) & F.try_to_timestamp(text).isNotNull()),
+            ("timestamp[us]", dated & text.rlike(_FRACTION) & real),
         ]
     found.append(("double", (number | lead.isin(".", "+", "i", "I", "n", "N")) & text.rlike(_DOUBLE)))
     return found
@@ -93,14 +95,13 @@ def file_types(scan: Scan, options: dict[str, Any] | None = None) -> DataFrame:
 
     Each cell is looked at once, for all types; what is left of its mask in all
     cells of a file tells the type. A column without any value has the type ``null``.
+    Cells come as rows of their own, so one piece of code, short enough for the JVM
+    to compile, looks at those of all columns.
     """
-    masks = [F.bit_and(cell_mask(F.col(f"`{name}`"), options)).alias(f"m{i}") for i, name in enumerate(scan.columns)]
-    wide = scan.df.groupBy("_fp").agg(*masks)
-    columns = [
-        F.struct(F.lit(i).alias("col_ord"), F.lit(name).alias("name"), mask_type(F.col(f"m{i}"), options).alias("type"))
-        for i, name in enumerate(scan.columns)
-    ]
-    return wide.select(F.col("_fp").alias("path"), F.explode(F.array(*columns)).alias("t")).select("path", "t.*")
+    cells = F.posexplode(F.array(*[F.col(f"`{name}`") for name in scan.columns])).alias("col_ord", "cell")
+    masks = scan.df.select(F.col("_fp").alias("path"), cells).groupBy("path", "col_ord").agg(F.bit_and(cell_mask(F.col("cell"), options)).alias("mask"))
+    name = F.element_at(F.array(*[F.lit(name) for name in scan.columns]), F.col("col_ord") + 1)
+    return masks.select("path", "col_ord", name.alias("name"), mask_type(F.col("mask"), options).alias("type"))
 
 
 def stored_types(footers: DataFrame) -> DataFrame:

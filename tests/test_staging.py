@@ -73,3 +73,24 @@ def test_blank_lines_and_shorter_files(spark, tmp_path, small_parts):
     staging.stage_lines(rows, str(tmp_path), F.lit("f.csv"), F.when(F.col("id") % 2 == 0, "").otherwise(F.col("id").cast("string")), [F.col("id")])
     assert old.read_text() == "".join(f"{'' if i % 2 == 0 else i}\n" for i in range(500))
     assert staging.stage_lines(rows.where("id < 0"), str(tmp_path), F.lit("none.csv"), F.lit("x"), [F.col("id")]) == 0
+
+
+def test_cells_of_all_columns_are_looked_at_by_one_piece_of_code(spark):
+    from rawlake.operators import infer
+    from rawlake.sources.scan import Scan
+
+    cells = {"n": ["1", "-2"], "r": ["123e-5", "1234"], "d": ["2024-01-31", ""], "t": ["2024-01-31 10", "2024-01-31T10:20:30"],
+             "z": ["2024-01-31 10:20:30Z", None], "f": ["2024-01-31 10:20:30.5", "2024-01-31"], "b": ["true", "False"],
+             "s": ["1-URGENT", "2"], "x": [None, ""], "big": ["9223372036854775808", "1"], "bad": ["2024-02-31", "2024-01-01"]}
+    want = {"n": "int64", "r": "double", "d": "date32", "t": "timestamp[s]", "z": "timestamp[s, tz=UTC]", "f": "timestamp[us]", "b": "bool",
+            "s": "string", "x": "null", "big": "double", "bad": "string"}
+    df = spark.createDataFrame([("p", *row) for row in zip(*cells.values())], ", ".join(f"{n} string" for n in ("_fp", *cells)))
+    options = {"timestamp_parsers": ["ISO8601"]}
+    types = infer.file_types(Scan(df, list(cells)), options)
+    assert {r["name"]: r["type"] for r in types.collect()} == want
+    assert [r["name"] for r in types.orderBy("col_ord").collect()] == list(cells)
+
+    def tests(columns):
+        return infer.file_types(Scan(df, columns), options)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+
+    assert tests(["n"]) == tests(list(cells))
