@@ -38,7 +38,7 @@ def unpack_lines(
     With ``join_quoted`` (a quote character) a line is a whole CSV record. Files that a
     column ``codec`` calls uncompressed (null) are then cut in ranges of bytes.
     """
-    if join_quoted and "codec" in inventory.columns and records.single_bytes(encoding, join_quoted, escape):
+    if join_quoted and "codec" in inventory.columns and records.cuttable(encoding, join_quoted, escape):
         whole = inventory.where("codec IS NULL").drop("codec")
         packed = inventory.where("codec IS NOT NULL").drop("codec")
         if not whole.isEmpty():

@@ -33,7 +33,20 @@ def single_bytes(encoding: str, *marks: str | None) -> bool:
     """Whether ``marks`` and line ends are single bytes that occur in no other character of the encoding."""
     name = codecs.lookup(encoding).name
     narrow = name in ("utf-8", "ascii", "utf-8-sig") or name.startswith(("iso8859", "cp125", "koi8"))
-    return narrow and all(m is None or (len(m) == 1 and m.isascii()) for m in marks)
+    return narrow and _marks(marks)
+
+
+# Every character takes whole units, and no unit of a longer one is that of a mark or line end.
+_UNITS = {"utf-16-le": "<u2", "utf-16-be": ">u2", "utf-32-le": "<u4", "utf-32-be": ">u4"}
+
+
+def cuttable(encoding: str, *marks: str | None) -> bool:
+    """Whether ``marks`` and line ends are single bytes, or units of known order, of no other character."""
+    return single_bytes(encoding, *marks) or (codecs.lookup(encoding).name in _UNITS and _marks(marks))
+
+
+def _marks(marks: tuple[str | None, ...]) -> bool:
+    return all(m is None or (len(m) == 1 and m.isascii()) for m in marks)
 
 
 def range_bytes(spark) -> int:
@@ -49,20 +62,20 @@ def cut(
     """Numbered records of uncompressed files, as a frame of tagged lines (``schema``).
 
     ``files`` has ``path`` and the facts of an inventory. Ranges take ``width`` bytes, by
-    default ``spark.sql.files.maxPartitionBytes``; records do not depend on it. A doubled
+    default ``spark.sql.files.maxPartitionBytes``, rounded down to whole units; records do not depend on it. A doubled
     quote closes and opens again; an ``escape`` character hides the one behind it within
     its line. A quote that is open at the end of a file raises, naming file and line, and so
     does a record longer than ``RECORD_BYTES``.
     """
     spark = files.sparkSession
-    width = width or range_bytes(spark)
+    look = _Look(width or range_bytes(spark), encoding, quote, escape)
+    width = look.width
     begins = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("file_size") - 1, F.lit(0)), F.lit(width).cast("bigint")))
     ranges = files.select("path", *_FACTS, begins.alias("begin"))
     # Neighbours in a file are far apart in tasks, so big files do not queue behind each other.
     many = files.agg(F.sum(F.ceil(F.col("file_size") / width))).first()[0] or 0
     many = max(spark.sparkContext.defaultParallelism, min(many, 100_000))
     ranges = materialize(ranges.repartition(many, "path", "begin"), "byte-ranges")
-    look = _Look(width, encoding, quote, escape)
     facts = ranges.mapInPandas(look.facts, "path string, begin bigint, odd bigint, outside bigint, inside bigint, ends bigint, last_outside bigint, last_inside bigint")
     split = [F.lit(template_ord).alias("_tord"), F.col("path").alias("_fp"), F.col("begin").alias("_bs")]
     facts = materialize(facts.select(*split, "odd", "outside", "inside", "ends", "last_outside", "last_inside"), "range-facts")
@@ -92,39 +105,45 @@ class _Look:
     """How bytes of one layout are read."""
 
     def __init__(self, width: int, encoding: str, quote: str, escape: str | None) -> None:
-        self.width, self.encoding, self.quote = width, encoding, ord(quote)
+        self.encoding, self.quote = encoding, ord(quote)
         self.escape = ord(escape) if escape and escape != quote else None
+        self.kind = np.dtype(_UNITS.get(codecs.lookup(encoding).name, "u1"))
+        self.unit = self.kind.itemsize  # bytes
+        self.width, self.chunk = (max(1, n // self.unit) * self.unit for n in (width, CHUNK))
+
+    def _units(self, data: bytes) -> np.ndarray:
+        return np.frombuffer(data, self.kind, len(data) // self.unit)
 
     def chunks(self, file, begin: int, size: int) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
-        """From ``begin`` on: place and bytes, and the places of quotes and of line ends in them."""
+        """From ``begin`` on: place and bytes, and where in them quotes and line ends begin."""
         at, run = begin, self._escapes_before(file, begin)
         while at < size:
             file.seek(at)
-            data = file.read(CHUNK + 1)
-            ahead = data[CHUNK:]
-            data = data[:CHUNK]
-            values = np.frombuffer(data, np.uint8)
+            data = file.read(self.chunk + self.unit)
+            ahead = self._units(data[self.chunk :])
+            data = data[: self.chunk]
+            values = self._units(data)
             feeds, returns = values == 10, values == 13
             # A line feed behind a return is one end with it: that of the line feed.
-            following = np.append(feeds[1:], ahead == b"\n")
+            following = np.append(feeds[1:], ahead == 10 if len(ahead) else False)[: len(values)]
             ends = np.flatnonzero(feeds | (returns & ~following))
             quotes = np.flatnonzero(values == self.quote)
             if self.escape is not None:
                 quotes, run = self._unescaped(values, quotes, run)
-            yield at, data, quotes, ends
+            yield at, data, quotes * self.unit, ends * self.unit
             at += len(data)
 
     def _escapes_before(self, file, begin: int) -> int:
         """How many escape characters in a row stand right before ``begin``."""
         run = 0
-        while self.escape is not None and begin - run > 0:
-            step = min(4096, begin - run)
-            file.seek(begin - run - step)
-            before = file.read(step)
-            own = len(before) - len(before.rstrip(bytes([self.escape])))
-            run += own
-            if own < step:
+        while self.escape is not None and begin - run * self.unit > 0:
+            step = min(4096, begin - run * self.unit)
+            file.seek(begin - run * self.unit - step)
+            others = np.flatnonzero(self._units(file.read(step)) != self.escape)
+            if len(others):
+                run += step // self.unit - 1 - int(others[-1])
                 break
+            run += step // self.unit
         return run
 
     def _unescaped(self, values: np.ndarray, quotes: np.ndarray, run: int) -> tuple[np.ndarray, int]:
@@ -139,9 +158,9 @@ class _Look:
         """Whether a line end stands right before ``begin``."""
         if begin == 0:
             return False
-        file.seek(begin - 1)
-        pair = file.read(2)
-        return pair[:1] == b"\n" or (pair[:1] == b"\r" and pair[1:] != b"\n")
+        file.seek(begin - self.unit)
+        pair = self._units(file.read(2 * self.unit)).tolist()
+        return pair[:1] == [10] or (pair[:1] == [13] and pair[1:] != [10])
 
     def facts(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -163,7 +182,7 @@ class _Look:
                 break
             quotes, ends = quotes[quotes + at < stop], ends[ends + at < stop]
             inside = (np.searchsorted(quotes, ends) + odd) % 2 == 1
-            leads = ends + at + 1 < stop  # another record can begin behind it in this range
+            leads = ends + at + self.unit < stop  # another record can begin behind it in this range
             for state in (0, 1):
                 own = np.flatnonzero((inside == bool(state)) & leads)
                 if len(own):
@@ -199,10 +218,10 @@ class _Look:
                 held, start = [], 0
                 for end in ends[outside].tolist():
                     if going:
-                        pending.append(data[start : end + 1])
+                        pending.append(data[start : end + self.unit])
                         held.append(self._plain(b"".join(pending)))
                         pending, waiting = [], 0
-                    start = end + 1
+                    start = end + self.unit
                     going = at + start < stop
                     if not going and at + start >= stop:
                         break
@@ -220,7 +239,9 @@ class _Look:
                 yield [self._plain(b"".join(pending))]
 
     def _plain(self, record: bytes) -> bytes:
-        """Without its end; other line ends as line feeds."""
+        """Without its end; other line ends as line feeds. What has units of several bytes becomes UTF-8."""
+        if self.unit > 1:
+            record = record.decode(self.encoding).encode()
         if b"\r" in record:
             record = record.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
         return record.removesuffix(b"\n")
@@ -228,7 +249,7 @@ class _Look:
     def _batch(self, row: dict, template_ord: int, number: int, held: list[bytes]) -> pa.RecordBatch:
         if number == 0 and held[0].startswith(codecs.BOM_UTF8) and codecs.lookup(self.encoding).name.startswith("utf-8"):
             held[0] = held[0].removeprefix(codecs.BOM_UTF8)  # a byte order mark is no data
-        if codecs.lookup(self.encoding).name in ("utf-8", "utf-8-sig", "ascii"):
+        if self.unit > 1 or codecs.lookup(self.encoding).name in ("utf-8", "utf-8-sig", "ascii"):
             values = pa.array(held, pa.binary()).cast(pa.string())
         else:
             values = pa.array([h.decode(self.encoding) for h in held], pa.string())
