@@ -8,7 +8,7 @@ from rawlake.fixtures import staging
 from rawlake.queries import staged
 
 
-@pytest.mark.parametrize("name", ["convert_timestamps", "optional_columns_lines", "scan_encoding", "enforce_types", "scan_pipe_preset"])
+@pytest.mark.parametrize("name", ["convert_timestamps", "optional_columns_lines", "scan_encoding", "enforce_types", "scan_pipe_preset", "scan_sectioned"])
 def test_files_in_parts(spark, sf, monkeypatch, name):
     seen, placed = [], staging._placed
 
