@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from rawlake.session import materialize, measured_bytes
 from rawlake.sources import remote
 
-# A task puts rows of about this size in order, as measured in memory.
+# A task puts rows of about this size in order, as measured in memory, and of FULLEST times it at most.
 PART_BYTES = 64 << 20
+FULLEST = 4
 
 _WRITERS = {"gzip": gzip.open, "bz2": bz2.open, "xz": lzma.open}
 _PARTS = "path string, part int, place string, size bigint, head bigint, tail bigint"
@@ -51,8 +52,8 @@ def stage_lines(
     """
     root = root.rstrip("/")
     width = rows.sparkSession.sparkContext.defaultParallelism
-    size = measured_bytes(rows)
-    tasks = max(1, min(width, size >> 20), -(-size // PART_BYTES))
+    streamed = int(rows.sparkSession.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    tasks = _ranges(measured_bytes(rows), width, streamed)
     keys = {"_path": path, **{f"_order{i}": c for i, c in enumerate(order)}}
     ordered = rows.withColumns(keys).repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     texts = [(F.lit("") if text is None else text).alias(name) for name, text in (("head", head), ("tail", tail))]
@@ -69,6 +70,15 @@ def stage_lines(
     return placed.select("target").distinct().count()
 
 
+def _ranges(size: int, width: int, streamed: int) -> int:
+    """Into how many ranges rows of ``size`` bytes go. Spark writes rows to ``streamed`` ranges or fewer as they
+    come, but for more a task gathers all it has read, so parts get fuller before there are more of them."""
+    many = -(-size // PART_BYTES)
+    if many > streamed:
+        many = max(streamed, -(-size // (FULLEST * PART_BYTES)))
+    return max(1, min(width, size >> 20), many)
+
+
 def _placed(parts: DataFrame, root: str) -> DataFrame:
     """What of each part goes where: only the first of a file keeps its head, only the last its tail."""
     # One row for each task that has rows of a file.

@@ -42,6 +42,19 @@ def test_one_file_by_many_tasks(spark, tmp_path, small_parts, name, opener):
     assert [p.name for p in tmp_path.iterdir()] == ["raw"]
 
 
+def test_parts_get_fuller_before_tasks_gather_what_they_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "PART_BYTES", 200)
+    _stage(spark, tmp_path, "f.csv")  # of 64,000 bytes
+    text = (tmp_path / "f.csv").read_text()
+    _check(text)
+    assert len({x.split(",")[1] for x in text.split("\n")[2:-2]}) <= 200
+
+
+@pytest.mark.parametrize("parts, ranges", [(1, 8), (199, 199), (201, 200), (800, 200), (801, 201), (8000, 2000)])
+def test_number_of_ranges(parts, ranges):
+    assert staging._ranges(parts * staging.PART_BYTES, 8, 200) == ranges
+
+
 def test_wide_encoding_and_hidden_codec(spark, tmp_path, small_parts):
     _stage(spark, tmp_path, "f.csv", encoding="utf-16-le")
     _check((tmp_path / "f.csv").read_bytes().decode("utf-16-le"))
