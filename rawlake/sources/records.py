@@ -91,7 +91,8 @@ def cut(
     numbered = ordinal.running_offsets(states, "_n", "range-records").where("_n > 0")
     numbered = numbered.select(F.col("_fp").alias("path"), F.col("_bs").alias("begin"), "within", F.col("_foff").alias("first"))
     todo = ranges.join(numbered, ["path", "begin"]).select("path", *_FACTS, "begin", "within", "first")
-    return todo.mapInArrow(look.records(template_ord), schema)
+    # The table is small, whatever its ranges hold: joined rows may have come together in one task.
+    return todo.repartition(many, "path", "begin").mapInArrow(look.records(template_ord), schema)
 
 
 def _raise_open(states: DataFrame, path: str) -> None:

@@ -4,6 +4,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rawlake.plans.ingest import ingest
 from rawlake.queries.staged import config
@@ -113,3 +114,10 @@ def test_an_ingest_does_not_depend_on_the_size_of_ranges(spark, tmp_path, size):
 def test_marks_that_ranges_cannot_find_are_known():
     assert records.single_bytes("utf-8", '"', "\\") and records.single_bytes("latin-1", '"', None) and records.single_bytes("cp1252", "'")
     assert not records.single_bytes("utf-16", '"') and not records.single_bytes("shift_jis", '"') and not records.single_bytes("utf-8", "«")
+
+
+def test_ranges_are_cut_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "d.csv"
+    path.write_text("".join(f'{k},"a\nb"\n' for k in range(400)))
+    got = records.cut(inventory(spark, path), archive.LINES_SCHEMA, 0, "utf-8", '"', width=400)
+    assert got.count() == 400 and got.select(F.spark_partition_id()).distinct().count() > 3
